@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Words a string-to-double cast takes in any letter case; only these spellings count as numbers.
-_SPECIAL_ANY_CASE = r"(?i)^[+-]?(inf|infinity|nan)$"
-_SPECIAL_EXACT = r"^[+-]?(Infinity|NaN)$"
+# The only words that are numbers, in these spellings; a cast would take any letter case.
+_NUMBER_WORD = r"^\s*[+-]?(Infinity|NaN)\s*$"
 _GROUPED_INTEGER = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
 
@@ -18,21 +17,20 @@ def parse_number(text: Column, dtype: str) -> Column:
     For ``bigint``, ``1_000`` is an integer and ``1.5`` is not; an integer beyond 64
     bits raises instead of turning into a bad value (use a decimal type for those).
     """
-    parsed = text.try_cast(dtype)
     if dtype == "double":
-        # The regular expressions run only for the rare infinite and NaN results.
-        special = F.isnan(parsed) | (F.abs(parsed) == float("inf"))
-        word = F.btrim(text)
-        return F.when(
-            special & word.rlike(_SPECIAL_ANY_CASE) & ~word.rlike(_SPECIAL_EXACT), F.lit(None)
-        ).otherwise(parsed)
+        # Every such word holds an n and no other number does.
+        word = (F.instr(text, "n") > 0) | (F.instr(text, "N") > 0)
+        return F.when(~word | text.rlike(_NUMBER_WORD), text).try_cast(dtype)
+    parsed = text.try_cast(dtype)
     if dtype == "bigint":
         digits = F.regexp_replace(text, "[_\\s]", "")
         loud = F.coalesce(
             digits.try_cast(dtype),
             F.raise_error(F.concat(F.lit("integer outside 64 bits: "), text)).cast(dtype),
         )
-        return F.coalesce(parsed, F.when(text.rlike(_GROUPED_INTEGER), loud))
+        # Only a value with an underscore or too many digits is worth a regular expression.
+        odd = (F.instr(text, "_") > 0) | (F.length(text) > 18)
+        return F.coalesce(parsed, F.when(odd & text.rlike(_GROUPED_INTEGER), loud))
     return parsed
 
 

@@ -4,7 +4,13 @@ from .activity import active_days, active_days_by_group, active_user_count, days
 from .balance import TOP_USERS_SQL, city_average_balance, top_users_by_city, top_users_by_city_sql
 from .counting import count_by_key, count_tokens, last_per_key, without
 from .flow import daily_flow, in_days, in_month, merge_by_day, weekday_flow
-from .forecast import fit_forecasters, forecast_flow, future_features, with_day_features
+from .forecast import (
+    fit_forecasters,
+    forecast_flow,
+    future_features,
+    training_series,
+    with_day_features,
+)
 from .ranking import global_rank, rank_in_groups, top_k, top_n_per_group
 
 __all__ = [
@@ -30,6 +36,7 @@ __all__ = [
     "top_n_per_group",
     "top_users_by_city",
     "top_users_by_city_sql",
+    "training_series",
     "weekday_flow",
     "with_day_features",
     "without",

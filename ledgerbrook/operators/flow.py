@@ -42,14 +42,17 @@ def weekday_flow(
     date = F.col(day)
     if isinstance(daily.schema[day].dataType, T.StringType):
         date = parse_day(date, lenient=lenient)
-    dated = daily.select(date.alias("__date"), inflow, outflow).where(F.col("__date").isNotNull())
+    dated = daily.select(date.alias("__date"), inflow, outflow)
 
     def average(name: str):
         return F.sum(name).cast("double") / F.count(name)
 
+    # Bad days form one group of their own, dropped by an aggregate: a condition on the
+    # date itself would be pushed below the daily sums and parse every balance row.
     return (
         dated.groupBy(F.dayofweek("__date").alias("__dow"), day_name(F.col("__date")).alias("weekday"))
-        .agg(average(inflow).alias("avg_in"), average(outflow).alias("avg_out"))
+        .agg(average(inflow).alias("avg_in"), average(outflow).alias("avg_out"), F.max(F.dayofweek("__date")).alias("__ok"))
+        .where(F.col("__ok").isNotNull())
         .orderBy(F.desc("avg_in"), "__dow")
         .select("weekday", "avg_in", "avg_out")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -16,6 +17,7 @@ from ..functions import day_features, day_key, future_days, parse_day
 from ..session import ensure_checkpoint_dir
 
 FEATURES = ["day_of_year", "month", "day_of_week"]
+TARGETS = {"total_purchase_amt": "purchase", "total_redeem_amt": "redeem"}
 
 
 def with_day_features(series: DataFrame, *, day: str = "report_date") -> DataFrame:
@@ -27,30 +29,34 @@ def with_day_features(series: DataFrame, *, day: str = "report_date") -> DataFra
     return assembler.transform(series.withColumns(day_features(date)))
 
 
+def training_series(daily: DataFrame, targets: Iterable[str], *, day: str = "report_date") -> DataFrame:
+    """Features and targets of each day, computed once and checkpointed.
+
+    The checkpoint keeps the many small training jobs from reading the balance table
+    again.  There is one row per calendar day, so one partition holds centuries of
+    them; the fixed order makes the forests reproducible.
+    """
+    ensure_checkpoint_dir(daily.sparkSession)
+    series = with_day_features(daily, day=day).select(
+        day, "features", *[F.col(target).cast("double").alias(target) for target in targets]
+    )
+    return series.repartition(1).sortWithinPartitions(day).checkpoint()
+
+
 def fit_forecasters(
-    daily: DataFrame,
+    training: DataFrame,
     *,
-    day: str = "report_date",
-    targets: dict[str, str] | None = None,
+    targets: dict[str, str] = TARGETS,
     num_trees: int = 100,
     max_depth: int = 10,
     seed: int = 42,
 ) -> PipelineModel:
     """One forest per target, chained so that one pass over a frame fills all predictions.
 
-    ``targets`` maps a column of ``daily`` to the name of its prediction.
+    ``targets`` maps a column of ``training`` to the name of its prediction.
     """
-    targets = targets or {"total_purchase_amt": "purchase", "total_redeem_amt": "redeem"}
-    ensure_checkpoint_dir(daily.sparkSession)
-    # The series has one row per calendar day, so one partition holds centuries of it;
-    # the fixed order makes the forests reproducible.  The checkpoint keeps the many
-    # small training jobs from reading the balance table again.
-    series = with_day_features(daily, day=day).select(
-        day, "features", *[F.col(t).cast("double").alias(t) for t in targets]
-    )
-    training = series.repartition(1).sortWithinPartitions(day).checkpoint()
 
-    @inheritable_thread_target(daily.sparkSession)
+    @inheritable_thread_target(training.sparkSession)
     def fit(target: str) -> RandomForestRegressionModel:
         forest = RandomForestRegressor(
             labelCol=target,
@@ -58,7 +64,6 @@ def fit_forecasters(
             numTrees=num_trees,
             maxDepth=max_depth,
             seed=seed,
-            maxMemoryInMB=1024,
         )
         return forest.fit(training)
 
@@ -97,10 +102,9 @@ def forecast_flow(
 
     Trees cannot extrapolate: days beyond the training range differ only by weekday.
     """
-    models = fit_forecasters(
-        daily, day=day, num_trees=num_trees, max_depth=max_depth, seed=seed
-    )
-    scored = models.transform(future_features(daily, start=start, horizon=horizon, day=day))
+    training = training_series(daily, TARGETS, day=day)
+    models = fit_forecasters(training, num_trees=num_trees, max_depth=max_depth, seed=seed)
+    scored = models.transform(future_features(training, start=start, horizon=horizon, day=day))
     return scored.select(
         day_key(F.col("report_date")).alias("report_date"),
         F.col("purchase").cast("bigint").alias("purchase"),

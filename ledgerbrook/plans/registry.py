@@ -40,7 +40,7 @@ def query(sql: str | None = None):
 
 
 def _stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(word,) for word in STOP_WORDS], "word string")
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, STOP_WORDS))).alias("word"))
 
 
 def _stop_list_sql() -> str:

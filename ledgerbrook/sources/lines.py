@@ -49,7 +49,7 @@ def read_lines(
 
 
 def first_line(spark: SparkSession, path: str | Sequence[str]) -> str | None:
-    """The first line of the input's first file; reads one line of each split that starts a file."""
+    """The first line of one of the files (they share a header); stops after the first one found."""
     paths = path if isinstance(path, str) else list(path)
     starts = spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0)
     row = starts.select("value").head()

@@ -138,9 +138,11 @@ def news_from_lines(lines: DataFrame, *, quoting: str = "naive") -> DataFrame:
         )
     if quoting == "csv":
         corrupt = "wrong_arity"
-        schema = schemas.NEWS.simpleString()[len("struct<") : -1] + f",{corrupt}:string"
+        names = [*schemas.NEWS.fieldNames(), corrupt]
         record = F.from_csv(
-            F.col("value"), schema, {"columnNameOfCorruptRecord": corrupt, "escape": '"'}
+            F.col("value"),
+            ", ".join(f"{name} string" for name in names),
+            {"columnNameOfCorruptRecord": corrupt, "escape": '"'},
         )
         # Exploded once for the same reason as in split_fields.
         rows = lines.select(F.explode(F.array(record)).alias("r")).where(f"r.{corrupt} IS NULL")
