@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import positive
 from .flow import in_month
@@ -54,6 +55,15 @@ def active_user_count(
     user: str = "user_id",
     day: str = "report_date",
 ) -> DataFrame:
-    """One row: how many users were seen on at least ``min_days`` days of ``month`` (``yyyyMM``)."""
-    days = days_per_user(in_month(records, month, day=day), user=user, day=day)
+    """One row: how many users were seen on at least ``min_days`` days of ``month`` (``yyyyMM``).
+
+    The days of a month fit the bits of a number, so dates need one aggregation per
+    user; days kept as text may hold anything and are counted as distinct values.
+    """
+    seen = in_month(records, month, day=day)
+    if isinstance(records.schema[day].dataType, T.StringType):
+        days = days_per_user(seen, user=user, day=day)
+    else:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(day) - 1)
+        days = seen.groupBy(user).agg(F.bit_count(F.bit_or(bit)).alias("days"))
     return days.where(F.col("days") >= min_days).agg(F.count("*").alias("active_users"))

@@ -82,14 +82,15 @@ def balance_from_lines(
     if rules.header == "named" and amounts:
         name = "total_purchase_amt"
         rows = rows.where(field(schemas.BALANCE_POSITIONS[name]) != name)
-    table = rows.select(
+    columns = [
         field(schemas.BALANCE_POSITIONS["user_id"]).alias("user_id"),
         field(schemas.BALANCE_POSITIONS["report_date"]).alias("report_date"),
         *[_amount(name, rules).alias(name) for name in amounts],
-    )
+    ]
     if rules.bad_amounts == "drop_row" and amounts:
-        table = table.dropna(subset=list(amounts))
-    return table
+        # Inlined, or the condition below would be evaluated on a second parse of every amount.
+        return rows.select(F.inline(F.array(F.struct(*columns)))).dropna(subset=list(amounts))
+    return rows.select(*columns)
 
 
 def read_balance(
