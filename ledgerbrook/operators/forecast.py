@@ -29,18 +29,20 @@ def with_day_features(series: DataFrame, *, day: str = "report_date") -> DataFra
     return assembler.transform(series.withColumns(day_features(date)))
 
 
-def training_series(daily: DataFrame, targets: Iterable[str], *, day: str = "report_date") -> DataFrame:
+def training_series(
+    daily: DataFrame, targets: Iterable[str], *, day: str = "report_date", partitions: int = 1
+) -> DataFrame:
     """Features and targets of each day, computed once and checkpointed.
 
     The checkpoint keeps the many small training jobs from reading the balance table
-    again.  There is one row per calendar day, so one partition holds centuries of
-    them; the fixed order makes the forests reproducible.
+    again.  The fixed layout makes the forests reproducible; one partition is enough
+    for one row per calendar day (365 a year), and more can be asked for.
     """
     ensure_checkpoint_dir(daily.sparkSession)
     series = with_day_features(daily, day=day).select(
         day, "features", *[F.col(target).cast("double").alias(target) for target in targets]
     )
-    return series.repartition(1).sortWithinPartitions(day).checkpoint()
+    return series.repartition(partitions, day).sortWithinPartitions(day).checkpoint()
 
 
 def fit_forecasters(

@@ -229,9 +229,10 @@ def parse_lines_drop_bad_rows(spark, sf_dir):
     FROM lineitem GROUP BY 1"""
 )
 def parse_lines_zero_bad_values(spark, sf_dir):
-    rows = sources.balance_from_lines(
-        data.dirty_balance_lines(spark, sf_dir), sources.ZERO_BAD_VALUES, header_line="user_id,report_date"
-    )
+    header = "user_id,report_date"
+    lines = data.dirty_balance_lines(spark, sf_dir)
+    lines = lines.union(spark.range(2).select(F.lit(header)))
+    rows = sources.balance_from_lines(lines, sources.ZERO_BAD_VALUES, header_line=header)
     return ops.daily_flow(rows)
 
 
@@ -305,6 +306,29 @@ def active_user_count_text_days(spark, sf_dir):
     return ops.active_user_count(rows, "199608", min_days=2)
 
 
+@query("SELECT DISTINCT user_id, strftime(ts, '%Y%m%d') AS report_date FROM events")
+def user_days(spark, sf_dir):
+    """Each user and day once."""
+    seen = data.events_balance(spark, sf_dir).select("user_id", "report_date").distinct()
+    return seen.withColumn("report_date", fn.day_key(F.col("report_date")))
+
+
+@query(
+    """SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY 1
+    HAVING count(DISTINCT CAST(ts AS DATE)) >= 5"""
+)
+def active_users(spark, sf_dir):
+    """The users behind the count, over all days."""
+    return ops.days_per_user(data.events_balance(spark, sf_dir)).where(F.col("days") >= 5)
+
+
+@query(f"SELECT user_id || chr(9) || active_days AS value FROM ({_EVENT_DAYS})")
+def active_days_text(spark, sf_dir):
+    """The lines as they are written."""
+    days = ops.active_days(data.events_balance(spark, sf_dir))
+    return sinks.key_value_lines(days, "user_id", ["active_days"])
+
+
 @query("SELECT user_id, count(DISTINCT CAST(ts AS DATE)) AS days FROM events GROUP BY 1")
 def days_per_user(spark, sf_dir):
     return ops.days_per_user(data.events_balance(spark, sf_dir))
@@ -348,6 +372,18 @@ def city_average_balance_all_days(spark, sf_dir):
     )
 
 
+@query(
+    f"""SELECT o_custkey AS user_id, CAST(sum(CASE WHEN o_orderstatus = 'O' THEN {_TOTAL} END)
+    + sum(CASE WHEN o_orderstatus = 'F' THEN {_TOTAL} END) AS BIGINT) AS total_flow
+    FROM orders WHERE strftime(o_orderdate, '%Y%m') = '199608' GROUP BY 1"""
+)
+def user_flow_unknown_sides(spark, sf_dir):
+    """Sum of two sums in one month: unknown (NULL) for users with one side only."""
+    rows = ops.in_month(data.orders_balance(spark, sf_dir), "199608")
+    both = F.sum("total_purchase_amt") + F.sum("total_redeem_amt")
+    return rows.groupBy("user_id").agg(both.alias("total_flow"))
+
+
 @query(_TOP_USERS)
 def top_users_by_city(spark, sf_dir):
     return ops.top_users_by_city(
@@ -450,6 +486,15 @@ def word_counts(spark, sf_dir):
     return ops.count_tokens(data.documents_news(spark, sf_dir), "headline")
 
 
+@query(
+    f"""SELECT word, count(*) AS n FROM ({_WORDS.format(lines=_LINES)})
+    WHERE word <> '' AND word NOT IN ({_stop_list_sql()}) GROUP BY 1"""
+)
+def word_counts_without_stop_words(spark, sf_dir):
+    counts = ops.count_tokens(data.documents_news(spark, sf_dir), "headline")
+    return ops.without(counts, _stop_words(spark), "word")
+
+
 @query(
     f"""SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rank FROM (
     SELECT word, count(*) AS n FROM ({_WORDS.format(lines=_LINES)}) WHERE word <> '' GROUP BY 1)"""

@@ -97,8 +97,8 @@ def keep_arity(
         return rows.where(good)
     if otherwise == "fail":
         message = F.concat(F.lit("unexpected number of fields: "), F.concat_ws("|", "fields"))
-        checked = F.when(good, F.col("fields")).otherwise(F.raise_error(message))
-        return rows.withColumn("fields", checked)
+        # A condition, so that the fields themselves stay a plain column.
+        return rows.where(good | F.raise_error(message).cast("boolean"))
     if otherwise == "null":
         return rows
     raise ValueError(f"unknown rule {otherwise!r}")

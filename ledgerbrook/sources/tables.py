@@ -87,10 +87,12 @@ def balance_from_lines(
         field(schemas.BALANCE_POSITIONS["report_date"]).alias("report_date"),
         *[_amount(name, rules).alias(name) for name in amounts],
     ]
+    # Inlined, or a later condition on an amount would parse it a second time, in generated
+    # code that outgrows what the JVM compiles (seven times slower for the failing rules).
+    table = rows.select(F.inline(F.array(F.struct(*columns))))
     if rules.bad_amounts == "drop_row" and amounts:
-        # Inlined, or the condition below would be evaluated on a second parse of every amount.
-        return rows.select(F.inline(F.array(F.struct(*columns)))).dropna(subset=list(amounts))
-    return rows.select(*columns)
+        return table.dropna(subset=list(amounts))
+    return table
 
 
 def read_balance(
