@@ -30,13 +30,13 @@ def with_day_features(series: DataFrame, *, day: str = "report_date") -> DataFra
 
 
 def training_series(
-    daily: DataFrame, targets: Iterable[str], *, day: str = "report_date", partitions: int = 1
+    daily: DataFrame, targets: Iterable[str], *, day: str = "report_date", partitions: int = 2
 ) -> DataFrame:
     """Features and targets of each day, computed once and checkpointed.
 
     The checkpoint keeps the many small training jobs from reading the balance table
-    again.  The fixed layout makes the forests reproducible; one partition is enough
-    for one row per calendar day (365 a year), and more can be asked for.
+    again.  Days are hashed to a fixed number of partitions and sorted there: forests
+    draw their samples per partition, so a fixed layout makes them reproducible.
     """
     ensure_checkpoint_dir(daily.sparkSession)
     series = with_day_features(daily, day=day).select(

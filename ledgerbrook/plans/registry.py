@@ -523,8 +523,8 @@ def calendar_features(spark, sf_dir):
 @query(
     """SELECT strftime(d, '%Y%m%d') AS report_date, CAST(dayofyear(d) AS INT) AS day_of_year,
     CAST(month(d) AS INT) AS month, CAST(isodow(d) AS INT) AS day_of_week
-    FROM (SELECT CAST(max(l_shipdate) AS DATE) + CAST(i AS INT) AS d
-          FROM lineitem CROSS JOIN range(1, 31) r(i) GROUP BY i)"""
+    FROM (SELECT (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem) + CAST(i AS INT) AS d
+          FROM range(1, 31) r(i))"""
 )
 def future_days(spark, sf_dir):
     daily = ops.daily_flow(data.lineitem_balance(spark, sf_dir))
