@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality
+from . import bpe, jaccard_join, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 _PHRASES = " OR ".join(f"contains(line, '{phrase}')" for phrase in quality.BOILERPLATE)
 
 # Words, lines and windows of the documents; a row number stands for the document, whose id may repeat.
