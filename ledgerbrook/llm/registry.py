@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard_join, quality
+from . import bpe, jaccard_join, quality, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,16 @@ def op1_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeated_words(_table(spark, sf_dir, "documents"), digests=True)
+
+
+@query()
+def op4_suffix_array_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeated_bytes(_table(spark, sf_dir, "documents"), digests=True)
+
+
 _PHRASES = " OR ".join(f"contains(line, '{phrase}')" for phrase in quality.BOILERPLATE)
 
 # Words, lines and windows of the documents; a row number stands for the document, whose id may repeat.
