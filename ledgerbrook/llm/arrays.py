@@ -24,6 +24,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# Lower case, and ASCII punctuation as blanks.
+FOLDED = _LOWER.copy()
+FOLDED[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 0x20
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -93,10 +96,11 @@ def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return state
 
 
-def words_of(texts: Texts, *, lower: bool = False) -> Words:
+def words_of(texts: Texts, *, lower: bool = False, folded: bool = False) -> Words:
+    """The words as they are, with A-Z in lower case, or ``folded``: without ASCII punctuation, too."""
     data, offsets = texts
-    if lower:
-        data = _LOWER[data]
+    if lower or folded:
+        data = (FOLDED if folded else _LOWER)[data]
     inside = ~_SPACE[data]
     starts = inside.copy()
     ends = inside.copy()

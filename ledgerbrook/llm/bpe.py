@@ -164,6 +164,16 @@ class Encoder(dict):
         return b"".join(map(self.tokens.__getitem__, unpack(packed)))
 
 
+# What an encoded row can hold: the type in Spark and in Arrow, and how it is made.
+_RESULTS = {
+    "n_tokens": ("bigint", pa.int64(), lambda packed, decoded: len(packed) // 4),
+    "ids": ("array<int>", pa.list_(pa.int32()), lambda packed, decoded: unpack(packed)),
+    "decoded": ("binary", pa.binary(), lambda packed, decoded: decoded),
+    "ids_sha256": ("string", pa.string(), lambda packed, decoded: hashlib.sha256(packed).hexdigest()),
+    "decoded_sha256": ("string", pa.string(), lambda packed, decoded: hashlib.sha256(decoded).hexdigest()),
+}
+
+
 def encode(
     table: DataFrame,
     ranks: dict[bytes, int],
@@ -171,23 +181,20 @@ def encode(
     *,
     text: str = "text",
     keep: Sequence[str] = ("doc_id",),
-    digests: bool = False,
+    give: Sequence[str] = ("n_tokens", "ids", "decoded"),
 ) -> DataFrame:
-    """Every text as token ids (``ids``), with ``n_tokens`` and the ``decoded`` bytes.
+    """Every text as token ids, and decoded again: the columns ``keep`` and those of ``give``.
 
-    With ``digests`` the ids and the decoded bytes are given by their SHA-256 only, as
-    ``ids_sha256`` and ``decoded_sha256``.  ``ranks`` is a vocabulary (a few megabytes whatever
-    the table holds) and is broadcast.  Each row is encoded on its own: no shuffle.
+    ``give`` names any of ``n_tokens``, ``ids``, ``decoded`` (bytes), and ``ids_sha256`` (of the
+    ids as little-endian 32-bit numbers) and ``decoded_sha256``.  ``ranks`` is a vocabulary (a few
+    megabytes whatever the table holds) and is broadcast.  Each row is encoded on its own: no
+    shuffle.
     """
-    spark = table.sparkSession
-    shipped = spark.sparkContext.broadcast((ranks, pattern))
-    out = ["n_tokens bigint"]
-    out += ["ids_sha256 string", "decoded_sha256 string"] if digests else ["ids array<int>", "decoded binary"]
-    made = {field.split()[0] for field in out}
-    keep = [name for name in keep if name not in made]
-    source = table.select(*[F.col(f"`{name}`") for name in keep], F.col(f"`{text}`").alias("__text"))
-    head = source.drop("__text").schema
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in head] + out
+    shipped = table.sparkSession.sparkContext.broadcast((ranks, pattern))
+    keep = [name for name in keep if name not in give]
+    source = table.select(*[F.col(f"`{name}`") for name in keep], F.col(f"`{text}`").cast("string").alias("__text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]]
+    fields += [f"{name} {_RESULTS[name][0]}" for name in give]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The broadcast object lives as long as the Python worker: later tasks find what is remembered.
@@ -195,18 +202,14 @@ def encode(
         if encoder is None:
             encoder = shipped.encoder = Encoder(*shipped.value)
         for batch in batches:
-            counts, first, second = [], [], []
+            made: list[list] = [[] for _ in give]
             for value in batch.column(batch.num_columns - 1):
                 packed = encoder.encode(value.as_py() or "")
                 decoded = encoder.decode(packed)
-                counts.append(len(packed) // 4)
-                first.append(hashlib.sha256(packed).hexdigest() if digests else unpack(packed))
-                second.append(hashlib.sha256(decoded).hexdigest() if digests else decoded)
+                for column, name in zip(made, give):
+                    column.append(_RESULTS[name][2](packed, decoded))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            columns.append(pa.array(counts, pa.int64()))
-            columns.append(pa.array(first, pa.string() if digests else pa.list_(pa.int32())))
-            columns.append(pa.array(second, pa.string() if digests else pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *made_order])
+            columns += [pa.array(column, _RESULTS[name][1]) for column, name in zip(made, give)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *give])
 
-    made_order = [field.split()[0] for field in out]
     return source.mapInArrow(run, ", ".join(fields))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard_join, quality, substring_dedup, suffix_dedup
+from . import bpe, decontaminate, jaccard_join, quality, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op4_suffix_array_dedup(spark, sf_dir):
     return suffix_dedup.remove_repeated_bytes(_table(spark, sf_dir, "documents"), digests=True)
 
 
+@query()
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 _PHRASES = " OR ".join(f"contains(line, '{phrase}')" for phrase in quality.BOILERPLATE)
 
 # Words, lines and windows of the documents; a row number stands for the document, whose id may repeat.
@@ -104,4 +109,6 @@ def public_ranks() -> dict[bytes, int]:
 
 @query()
 def op9_byte_bpe(spark, sf_dir):
-    return bpe.encode(_table(spark, sf_dir, "documents"), public_ranks(), public_tokenizers.PATTERN, digests=True)
+    documents = _table(spark, sf_dir, "documents")
+    give = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    return bpe.encode(documents, public_ranks(), public_tokenizers.PATTERN, give=give)
