@@ -135,6 +135,10 @@ class Sequences:
         self._sums = np.zeros(len(names) + 1, np.uint64)
         np.cumsum(names * up[: len(names)], out=self._sums[1:])
 
+    def all_of(self, length: int) -> np.ndarray:
+        """A number for each stretch of a length: equal for equal stretches, in no meaningful order."""
+        return (self._sums[length:] - self._sums[: len(self._sums) - length]) * self._down[: len(self._sums) - length]
+
     def stretch(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self._sums[end] - self._sums[start]) * self._down[start])
 

@@ -7,10 +7,12 @@
    a passage that thousands of texts share makes a region only for texts that consist of it.
 3. In each region a node becomes *pivot*; the exact distance of the others to it cuts the region.
    With r = 1 - t, nodes within r of the pivot form its cell: they link with it, so they
-   are one component already.  Nodes beyond r go on to the outer region.  By the triangle
+   are one component already.  Nodes beyond r form the outer region.  By the triangle
    inequality a node in the cell can only link with one within 2r of the pivot: nodes in
-   that window are put into both.  The new regions are joined the same way until all
-   nodes of a region are one component; regions of at most ``LEAF`` nodes compare their rest.
+   that window are put into both regions.
+   A region whose nodes are all one component is done.  Otherwise more nodes become pivots, those
+   of the region's rarest components first; a pivot is compared with the nodes of other
+   components and leaves.  In regions of at most ``LEAF`` nodes all do so at once.
 4. Before two sets are compared, a metric that never exceeds the Jaccard distance (that of
    bucket counts of the shingles) drops the pairs beyond 2r.
 
@@ -42,9 +44,9 @@ SIMILAR_PERCENT = 80
 FREQUENT = 32
 # What is counted: this share of a set's shingles, and all of a short text.
 COUNTED_PERCENT, COUNTED_SHORT = 30, 128
-# Regions of this size are compared without a pivot; larger ones have a pivot for so many nodes.
+# In regions up to this size every node becomes a pivot at once; in larger ones up to so many.
 LEAF = 32
-NODES_PER_PIVOT = 16
+PIVOTS = 64
 
 
 def shingles(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -219,44 +221,42 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     region = Window.partitionBy("region")
     rows = rows.select("*", F.min("node").over(region).alias("pivot"), F.count("*").over(region).alias("m"))
     rows = saved(rows.where("m > 1").select("region", "node", "pivot"), "regions")
-    asked = near = found = None
+    asked = None
+    pairs = saved(rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
+    near = saved(near_pairs(pairs, nodes, texts, size, percent), "near")
+    found = components(near.where("zone = 0"))
+    # The cell of each pivot with its window, and what lies beyond the cell.
+    zones = rows.where("node <> pivot").join(
+        near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "zone"), ["node", "pivot"], "left"
+    )
+    zones = zones.select("region", "node", F.coalesce("zone", F.lit(2)).alias("zone"))
+    window = zones.where("zone = 1").select("region").distinct()
+    inner = zones.where("zone < 2").join(window, "region", "left_semi").select(F.xxhash64("region").alias("region"), "node")
+    rows = inner.unionByName(zones.where("zone > 0").select("region", "node"))
     while True:
-        pairs = rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-        if found is not None:
-            pairs = pairs.unionByName(leaves)
-        pairs = pairs.distinct()
-        if asked is not None:
-            pairs = pairs.join(asked, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
+        rows = rows.join(found, "node", "left").select("region", "node", F.coalesce("component", "node").alias("c"))
+        bounds = rows.groupBy("region").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
+        rows = rows.join(bounds.where("low < high").select("region", "m"), "region")
+        # Nodes of the rarest components first: what is left of a region soon is one component.
+        share = rows.groupBy("region", "c").agg(F.count("*").alias("share"))
+        rows = saved(rows.join(share, ["region", "c"]), "rest")
+        if rows.isEmpty():
+            return found
+        number = F.row_number().over(Window.partitionBy("region").orderBy("share", "c", "node"))
+        wanted = F.when(F.col("m") <= LEAF, F.col("m")).otherwise(F.least(F.ceil(F.col("m") / 3), F.lit(PIVOTS)))
+        pivots = rows.select("region", "m", "node", "c", number.alias("k")).where(F.col("k") <= wanted)
+        pivots = saved(pivots.select("region", F.col("node").alias("pivot"), F.col("c").alias("pivot_c"), "k"), "pivots")
+        asked = pairs if asked is None else saved(asked.unionByName(pairs), "asked")
+        rows = rows.select("region", "node", "c")
+        ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
+        pairs = rows.join(pivots, "region").where("c <> pivot_c").select(*ends).distinct()
+        done = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            new = saved(near_pairs(pairs, nodes, texts, size, percent), "near")
-            asked = pairs if asked is None else asked.unionByName(pairs)
-            near = new if near is None else near.unionByName(new)
+            near = near.unionByName(near_pairs(pairs, nodes, texts, size, percent))
+            near = saved(near, "near")
             found = components(near.where("zone = 0"))
-        if near is None:
-            return rows.select("node", F.col("node").alias("component")).limit(0)
-        # The cell with its window, and what lies beyond the cell.
-        zones = rows.join(
-            near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "zone"), ["node", "pivot"], "left"
-        ).select("region", "node", "pivot", F.when(F.expr("node = pivot"), 0).otherwise(F.coalesce("zone", F.lit(2))).alias("zone"))
-        window = zones.where("zone = 1").select("region", "pivot").distinct()
-        inner = zones.where("zone < 2 and node <> pivot").join(window, ["region", "pivot"], "left_semi")
-        inner = inner.select(F.xxhash64("region", "pivot").alias("region"), "node")
-        outer = zones.groupBy("region", "node").agg(F.min("zone").alias("zone")).where("zone > 0").select("region", "node")
-        rest = inner.unionByName(outer).join(found, "node", "left")
-        rest = rest.select("region", "node", F.coalesce("component", "node").alias("c"))
-        bounds = rest.groupBy("region").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
-        rest = saved(rest.join(bounds.where("low < high"), "region").select("region", "node", "c", "m"), "rest")
-        if rest.isEmpty():
-            return found
-        leaf = rest.where(F.col("m") <= LEAF)
-        other = leaf.select("region", F.col("node").alias("b"), F.col("c").alias("d"))
-        leaves = leaf.join(other, "region").where("node > b and c <> d").select(F.col("node").alias("a"), "b")
-        large = rest.where(F.col("m") > LEAF)
-        number = F.row_number().over(Window.partitionBy("region").orderBy("node"))
-        pivots = large.select("region", "m", F.col("node").alias("pivot"), number.alias("k"))
-        pivots = pivots.where(F.col("k") <= F.ceil(F.col("m") / NODES_PER_PIVOT)).select("region", "pivot")
-        rows = saved(large.select("region", "node").join(pivots, "region"), "regions")
+        rows = rows.join(pivots.select("region", F.col("pivot").alias("node")), ["region", "node"], "left_anti")
 
 
 def jaccard_components(

@@ -11,8 +11,8 @@ looked at by itself only at the rims of repeated stretches:
 * an anchor whose *core* (the part all its windows share) is found once has no repeated window;
 * anchors that own the same starts, with the same units from the first start to the end of
   the last window, are a *class*; in a class of two or more all windows are repeated;
-* where a core also has classes of one, the windows of those, and of one member of every other
-  class, are compared one by one.  Each is a row; rows of a window are counted map-side first.
+* where a core has classes of one beside others, the windows of those, and of one member of every
+  other class, are compared one by one.  Each is a row; rows of a window are counted map-side first.
 
 No step gathers the places of a window, so a passage that a third of the texts share is as many
 rows as it has places, dealt by joins that can be split.  Texts are identified by a hash of
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import Sequences, Texts, mix, signed, slices, texts_of, words_of
-from .tables import saved
+from .tables import bitmap, in_bitmap, saved
 
 BYTE_SLICE = 1 << 20
 _BYTE_NAMES = mix(np.arange(1, 257, dtype=np.uint64))
@@ -101,8 +101,7 @@ def anchors_of(units: Units, sums: Sequences, shape: Shape) -> Anchors:
     starts = np.flatnonzero(starts)
     if not len(starts):
         return Anchors(none, none, none, none)
-    at = np.arange(n - shape.gram + 1)
-    anchor = _leftmost_smallest(sums.stretch(at, at + shape.gram), shape.spread)[starts].astype(np.int64)
+    anchor = _leftmost_smallest(sums.all_of(shape.gram), shape.spread)[starts].astype(np.int64)
     cut = np.flatnonzero((anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1))
     begin = np.concatenate([[0], cut + 1])
     end = np.concatenate([cut, [len(starts) - 1]])
@@ -128,19 +127,37 @@ def scan(texts: DataFrame, shape: Shape, emit: Scan, schema: str) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def places(batch: pa.RecordBatch, units: Units, found: Anchors) -> list[np.ndarray]:
-    """The columns key, at, low, high of anchors, counted from the start of their text."""
+ANCHORS = "key bigint, low int, high int, core bigint, class bigint"
+
+
+def anchor_columns(
+    batch: pa.RecordBatch, units: Units, sums: Sequences, found: Anchors, shape: Shape, core: int
+) -> list[np.ndarray]:
+    """The columns of ``ANCHORS``: the key of the text, the first and last start (from the text's
+    start), the name of ``core`` units from the anchor on, and the name of the class."""
     key = batch.column(0).to_numpy(zero_copy_only=False)
     begin = units.first[found.text]
-    return [key[found.text]] + [(x - begin).astype(np.int32) for x in (found.at, found.low, found.high)]
+    whole = sums.stretch(found.low, found.high + shape.window)
+    offsets = (found.at - found.low).astype(np.uint64) << np.uint64(32) | (found.high - found.low).astype(np.uint64)
+    return [
+        key[found.text],
+        (found.low - begin).astype(np.int32),
+        (found.high - begin).astype(np.int32),
+        signed(sums.stretch(found.at, found.at + core)),
+        signed(mix(whole ^ mix(offsets))),
+    ]
 
 
-PLACES = "key bigint, at int, low int, high int"
+def chosen(texts: DataFrame, keys: np.ndarray) -> DataFrame:
+    """The texts whose key is in a bitmap (and a few others): what need not be shuffled is left out."""
+    shipped = texts.sparkSession.sparkContext.broadcast(keys)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = in_bitmap(shipped.value, batch.column(0).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(hit))
 
-def whole_stretch(sums: Sequences, found: Anchors, shape: Shape) -> np.ndarray:
-    """Names of the stretches from the first start to the end of the last window of anchors."""
-    return signed(sums.stretch(found.low, found.high + shape.window))
+    return texts.mapInArrow(run, texts.schema)
 
 
 def _compared(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
@@ -168,38 +185,34 @@ def _compared(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
                 names=["name", "key", "start"],
             )
 
-    joined = texts.join(ranges, "key").select("key", "text", "ranges")
+    some = chosen(texts, bitmap(wanted.select("key").distinct(), F.col("key")))
+    joined = some.dropDuplicates(["key"]).join(ranges, "key").select("key", "text", "ranges")
     return joined.mapInArrow(run, "name bigint, key bigint, start int")
 
 
 def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFrame:
     """``key, start, end`` of stretches that together are all units in repeated windows.
 
-    ``anchors`` has ``key, at, low, high, core, whole`` for at least all anchors whose core is
-    found twice or more, and ``core`` names the core.
+    ``anchors`` has the columns ``ANCHORS`` for at least all anchors whose core is found twice or more.
     """
-    before, behind = (F.col("at") - F.col("low")).alias("before"), (F.col("high") - F.col("at")).alias("behind")
-    of = ["core", "before", "behind", "whole"]
-    anchors = anchors.select("key", "low", "high", "core", before, behind, "whole")
-    classes = anchors.groupBy(*of).agg(
-        F.count("*").alias("n"), F.min(F.struct("key", "low", "high")).alias("one")
-    )
+    one = F.min(F.struct("key", "low", "high")).alias("one")
+    classes = anchors.groupBy("class").agg(F.count("*").alias("n"), F.first("core").alias("core"), one)
     classes = saved(classes, "classes")
-    sure = anchors.join(classes.where("n > 1").select(*of), of, "left_semi")
+    sure = anchors.join(classes.where("n > 1").select("class"), "class", "left_semi")
     sure = sure.select("key", F.col("low").alias("start"), (F.col("high") + shape.window).alias("end"))
     open_cores = classes.groupBy("core").agg(F.count("*").alias("classes"), F.min("n").alias("least"))
-    open_cores = open_cores.where("classes > 1 and least = 1")
-    wanted = classes.join(open_cores, "core", "left_semi").select("one.*")
+    open_cores = open_cores.where("classes > 1 and least = 1").select("core")
+    wanted = saved(classes.join(open_cores, "core", "left_semi").select("one.*"), "wanted")
     windows = saved(_compared(texts, wanted, shape), "windows")
     twice = windows.groupBy("name").count().where("count > 1").select("name")
     found = windows.join(twice, "name", "left_semi")
     found = found.select("key", "start", (F.col("start") + shape.window).alias("end"))
-    return sure.unionByName(found).distinct()
+    return sure.unionByName(found)
 
 
 def covered(texts: DataFrame, spans: DataFrame) -> DataFrame:
     """The texts with ``spans``, the list of a text's spans; null where it has none."""
-    lists = spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    lists = spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     return texts.join(lists, "key", "left")
 
 

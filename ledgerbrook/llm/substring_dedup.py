@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import signed
-from .repeats import PLACES, Shape, covered, keyed, mask_of, places, repeated_spans, scan, whole_stretch
+from .repeats import ANCHORS, Shape, anchor_columns, covered, keyed, mask_of, repeated_spans, scan
 from .tables import bitmap, in_bitmap, saved
 
 SHAPE = Shape("word", window=35, spread=24, gram=6)
@@ -60,10 +60,9 @@ def repeated_word_spans(texts: DataFrame, shape: Shape = SHAPE) -> DataFrame:
 
     def emit(batch, units, sums, found):
         found = type(found)(*(x[_survivors(sums, found, earlier)] for x in found))
-        names = signed(sums.stretch(found.at, found.at + core))
-        return [*places(batch, units, found), names, whole_stretch(sums, found, shape)]
+        return anchor_columns(batch, units, sums, found, shape, core)
 
-    anchors = saved(scan(texts, shape, emit, f"{PLACES}, core bigint, whole bigint"), "anchors")
+    anchors = saved(scan(texts, shape, emit, ANCHORS), "anchors")
     return repeated_spans(texts, anchors, shape)
 
 

@@ -1,12 +1,12 @@
 """Suffix-array dedup of bytes by distributed prefix doubling.
 
-The suffixes that start at anchors (see ``repeats``: every 200-byte string has one, at the same
-offset wherever it is found) are ranked by their first 36 bytes, then by 72.  A round
-sorts the pairs (rank so far, name of the next stretch of the same length) across the cluster
-and numbers the distinct pairs in that order, which is the rank for the next round; a
-suffix whose pair is found once is unique from here on and leaves.  The ranks need only tell equal from
-unequal, so stretches are ordered by their 64-bit fingerprints.  Doubling stops where twice the
-length would pass what all windows of an anchor share; the 200 bytes are then decided exactly.
+Ranked are the suffixes that start at anchors (see ``repeats``: every 200-byte string has one, at
+the same offset wherever it is found).  A suffix's rank at one length and the rank of what
+follows at that offset are a pair; Spark brings equal pairs together, a pair found twice or more is a
+rank at twice the length, and suffixes whose pair is found once are unique and leave.
+The rounds are 52 and 104 bytes; the next doubling would pass the threshold, so what is left is
+decided at 200 bytes exactly.  Ranks are fingerprints instead of places in sorted order: removal
+only asks which suffixes are equal, and names need no global sort or renumbering.
 
 Each byte covered by a 200-byte string that also starts elsewhere (in the same text, too) is
 removed, the first copy included; strings are judged on the input and never cross texts.  A
@@ -24,48 +24,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import signed
-from .repeats import PLACES, Anchors, Shape, covered, keyed, mask_of, places, repeated_spans, scan, whole_stretch
+from .repeats import ANCHORS, Anchors, Shape, anchor_columns, covered, keyed, mask_of, repeated_spans, scan
 from .tables import bitmap, in_bitmap, saved
 
-SHAPE = Shape("byte", window=200, spread=128, gram=36)
-
-
-def _ranked(suffixes: DataFrame, by: list[str]) -> DataFrame:
-    """The suffixes whose pair is found twice or more, with ``rank``: the place of the pair in sorted order."""
-    pairs = suffixes.groupBy(*by).count().where("count > 1").select(*by)
-    order = pairs.orderBy(*by).select(*by, F.monotonically_increasing_id().alias("next_rank"))
-    order = saved(order, "ranks")  # the numbers depend on the layout: they must not be computed twice
-    return suffixes.join(order, by).withColumn("rank", F.col("next_rank")).drop("next_rank")
+SHAPE = Shape("byte", window=200, spread=96, gram=26)
 
 
 def repeated_byte_spans(texts: DataFrame, shape: Shape = SHAPE) -> DataFrame:
     """``key, start, end`` (in bytes) that cover the bytes of all repeated windows."""
-    rounds = []
-    length = shape.gram
-    while 2 * length <= shape.core:
-        rounds.append(length)
-        length *= 2
+    half = shape.core // 2
 
-    def first(batch, units, sums, found):
-        return [signed(sums.stretch(found.at, found.at + shape.gram))]
+    def pairs(batch, units, sums, found):
+        first = sums.stretch(found.at, found.at + half) >> np.uint64(32)
+        second = sums.stretch(found.at + half, found.at + 2 * half) >> np.uint64(32)
+        return [first.astype(np.uint32).view(np.int32), second.astype(np.uint32).view(np.int32)]
 
-    names = scan(texts, shape, first, "name bigint").groupBy("name").count().where("count > 1")
-    repeated = texts.sparkSession.sparkContext.broadcast(bitmap(names, F.col("name")))
+    def place(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return first.astype(np.int64) * 31 + second
+
+    twice = scan(texts, shape, pairs, "rank int, next int").groupBy("rank", "next").count().where("count > 1")
+    twice = bitmap(twice, F.col("rank").cast("bigint") * 31 + F.col("next"))
+    repeated = texts.sparkSession.sparkContext.broadcast(twice)
 
     def emit(batch, units, sums, found):
-        names = signed(sums.stretch(found.at, found.at + shape.gram))
-        keep = in_bitmap(repeated.value, names)
+        keep = in_bitmap(repeated.value, place(*pairs(batch, units, sums, found)))
         found = Anchors(*(x[keep] for x in found))
-        ahead = [signed(sums.stretch(found.at + n, found.at + 2 * n)) for n in rounds]
-        return [*places(batch, units, found), names[keep], *ahead, whole_stretch(sums, found, shape)]
-
-    nexts = [f"next{n}" for n in rounds]
-    schema = ", ".join([PLACES, "rank bigint", *(f"{name} bigint" for name in nexts), "whole bigint"])
-    suffixes = saved(scan(texts, shape, emit, schema), "suffixes")
-    for name in nexts:
-        suffixes = _ranked(suffixes, ["rank", name]).drop(name)
-    return repeated_spans(texts, saved(suffixes.withColumnRenamed("rank", "core"), "suffixes"), shape)
+        return anchor_columns(batch, units, sums, found, shape, 2 * half)
+
+    suffixes = saved(scan(texts, shape, emit, ANCHORS), "suffixes")
+    return repeated_spans(texts, suffixes, shape)
 
 
 def remove_repeated_bytes(

@@ -43,43 +43,26 @@ def in_bitmap(made: np.ndarray, hashed: np.ndarray) -> np.ndarray:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, component`` of every linked node: the smallest node that links lead to.
+    """``node, component`` of every linked node: the smallest node that its links ``a, b`` lead to.
 
-    Every group hooks onto its smallest neighbouring group, chains of hooks are halved by
-    pointer jumping, and links are then seen between groups: each pass at least halves the groups
-    that still have a link, and no group is ever gathered in a task.
+    In a pass every group hooks onto its smallest neighbouring group and chains of hooks are
+    shortened by pointer jumping; links are then seen between groups.  Groups at least halve with each
+    pass, and none is ever gathered in a task.
     """
     first = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
     edges = saved(first.unionByName(first.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    labels = None
+    labels = edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
     while not edges.isEmpty():
         hooks = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("to"))
-        hooks = saved(hooks, "hooks")
-        while True:
+        for _ in range(2):
             ahead = hooks.select(F.col("u").alias("to"), F.col("to").alias("further"))
-            jumped = saved(hooks.join(ahead, "to").select("u", F.col("further").alias("to")), "hooks")
-            moved = jumped.join(hooks.withColumnRenamed("to", "old"), "u").where("to <> old").isEmpty()
-            hooks = jumped
-            if moved:
-                break
-        if labels is None:
-            labels = hooks.select(F.col("u").alias("node"), F.col("to").alias("component"))
-        else:
-            step = hooks.select(F.col("u").alias("component"), "to")
-            labels = labels.join(step, "component", "left").select(
-                "node", F.coalesce("to", "component").alias("component")
-            )
-        labels = saved(labels, "labels")
+            hooks = hooks.join(ahead, "to").select("u", F.col("further").alias("to"))
+        hooks = saved(hooks, "hooks")
+        step = hooks.select(F.col("u").alias("component"), "to")
+        labels = labels.join(step, "component", "left")
+        labels = saved(labels.select("node", F.coalesce("to", "component").alias("component")), "labels")
         ends = hooks.select(F.col("u").alias("v"), F.col("to").alias("b"))
-        edges = (
-            edges.join(hooks, "u")
-            .select(F.col("to").alias("a"), "v")
-            .join(ends, "v")
-            .select(F.col("a").alias("u"), F.col("b").alias("v"))
-            .where("u <> v")
-            .distinct()
-        )
+        edges = edges.join(hooks, "u").select(F.col("to").alias("a"), "v").join(ends, "v")
+        edges = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct()
         edges = saved(edges, "edges")
-    if labels is None:
-        labels = links.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
     return labels
