@@ -154,3 +154,12 @@ def runs(length: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 def signed(values: np.ndarray) -> np.ndarray:
     """Unsigned fingerprints as Spark's signed longs, same bits."""
     return values.view(np.int64)
+
+
+def packed(raw: bytes) -> bytes:
+    """A text made small for a shuffle; it starts with its length."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(stored: bytes) -> bytes:
+    return pa.decompress(stored[8:], int.from_bytes(stored[:8], "little"), codec="zstd", asbytes=True)

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import mix, signed, slices, texts_of, words_of
-from .repeats import keyed
+from .arrays import mix, signed, slices, texts_of, unpacked, words_of
+from .repeats import keyed, ready_to_move
 from .tables import bitmap, in_bitmap, saved
 
 # The masks, by their places in a span of ten words.
@@ -132,7 +132,8 @@ def _verified(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            words = words_of(texts_of(batch.column(1)), folded=True)
+            bodies = pa.array([unpacked(body.as_py()) for body in batch.column(1)], pa.binary())
+            words = words_of(texts_of(bodies), folded=True)
             out: list[tuple] = []
             for i, (key, aligned) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2))):
                 own = signed(words.hash[words.first[i] : words.first[i + 1]])
@@ -158,18 +159,6 @@ def _verified(rows: DataFrame) -> DataFrame:
     ).select("key", "item", "m.*")
 
 
-def _chosen(texts: DataFrame, keys: np.ndarray) -> DataFrame:
-    """Texts whose key is in a bitmap; the others need not be shuffled."""
-    shipped = texts.sparkSession.sparkContext.broadcast(keys)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = in_bitmap(shipped.value, batch.column(0).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array(hit))
-
-    return texts.mapInArrow(run, texts.schema)
-
-
 def _leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
     item_seeds = saved(_item_seeds(items), "seeds")
     hits = saved(_hits(texts, bitmap(item_seeds, F.col("seed"))), "hits")
@@ -178,7 +167,7 @@ def _leaks(texts: DataFrame, items: DataFrame) -> DataFrame:
     keys = bitmap(aligned.select("key").distinct(), F.col("key"))
     pairs = aligned.join(_item_words(items), "item")
     lists = pairs.groupBy("key").agg(F.collect_list(F.struct("item", "shift", "words")).alias("aligned"))
-    rows = _chosen(texts, keys).dropDuplicates(["key"]).join(lists, "key")
+    rows = ready_to_move(texts, keys).dropDuplicates(["key"]).join(lists, "key")
     return _verified(rows.select("key", "text", "aligned"))
 
 

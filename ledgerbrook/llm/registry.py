@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, quality, substring_dedup, suffix_dedup
+from . import bpe, decontaminate, jaccard_join, lm, quality, substring_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +112,8 @@ def op9_byte_bpe(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     give = ["n_tokens", "ids_sha256", "decoded_sha256"]
     return bpe.encode(documents, public_ranks(), public_tokenizers.PATTERN, give=give)
+
+
+@query()
+def op10_lm_scoring(spark, sf_dir):
+    return lm.score(_table(spark, sf_dir, "documents"))

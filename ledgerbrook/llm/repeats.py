@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import Sequences, Texts, mix, signed, slices, texts_of, words_of
+from .arrays import Sequences, Texts, mix, packed, signed, slices, texts_of, unpacked, words_of
 from .tables import bitmap, in_bitmap, saved
 
 BYTE_SLICE = 1 << 20
@@ -148,14 +148,20 @@ def anchor_columns(
     ]
 
 
-def chosen(texts: DataFrame, keys: np.ndarray) -> DataFrame:
-    """The texts whose key is in a bitmap (and a few others): what need not be shuffled is left out."""
+def ready_to_move(texts: DataFrame, keys: np.ndarray | None = None) -> DataFrame:
+    """The texts (``key, text`` and more) packed for a shuffle; of a bitmap of keys, only those in it.
+
+    The bitmap lets a few others through.
+    """
     shipped = texts.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = in_bitmap(shipped.value, batch.column(0).to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array(hit))
+            if shipped.value is not None:
+                hit = in_bitmap(shipped.value, batch.column(0).to_numpy(zero_copy_only=False))
+                batch = batch.filter(pa.array(hit))
+            small = pa.array([packed(body.as_py()) for body in batch.column(1)], pa.binary())
+            yield batch.set_column(1, "text", small)
 
     return texts.mapInArrow(run, texts.schema)
 
@@ -165,8 +171,9 @@ def _compared(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
     ranges = wanted.groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", BYTE_SLICE):
-            units = units_of(texts_of(batch.column(1)), shape.unit)
+        for batch in slices(batches, "text", BYTE_SLICE // 3):
+            bodies = pa.array([unpacked(body.as_py()) for body in batch.column(1)], pa.binary())
+            units = units_of(texts_of(bodies), shape.unit)
             sums = Sequences(units.names)
             lists = batch.column(2)
             pairs = lists.flatten()
@@ -185,7 +192,7 @@ def _compared(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
                 names=["name", "key", "start"],
             )
 
-    some = chosen(texts, bitmap(wanted.select("key").distinct(), F.col("key")))
+    some = ready_to_move(texts, bitmap(wanted.select("key").distinct(), F.col("key")))
     joined = some.dropDuplicates(["key"]).join(ranges, "key").select("key", "text", "ranges")
     return joined.mapInArrow(run, "name bigint, key bigint, start int")
 
@@ -211,9 +218,9 @@ def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFr
 
 
 def covered(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """The texts with ``spans``, the list of a text's spans; null where it has none."""
+    """The texts, packed, with ``spans``: the set of a text's spans, null where it has none."""
     lists = spans.groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return texts.join(lists, "key", "left")
+    return ready_to_move(texts).join(lists, "key", "left")
 
 
 def keyed(table: DataFrame, id: str, text: str) -> DataFrame:

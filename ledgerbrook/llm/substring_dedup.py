@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import signed
+from .arrays import signed, unpacked
 from .repeats import ANCHORS, Shape, anchor_columns, covered, keyed, mask_of, repeated_spans, scan
 from .tables import bitmap, in_bitmap, saved
 
@@ -82,7 +82,7 @@ def remove_repeated_words(
         for batch in batches:
             counts, removed, kept = [], [], []
             for body, found in zip(batch.column(1), batch.column(2)):
-                words = body.as_py().split()  # bytes: splits at the six ASCII blanks
+                words = unpacked(body.as_py()).split()  # bytes: splits at the six ASCII blanks
                 counts.append(len(words))
                 found = found.as_py()
                 if found:

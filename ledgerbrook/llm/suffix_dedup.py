@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import mix, unpacked
 from .repeats import ANCHORS, Anchors, Shape, anchor_columns, covered, keyed, mask_of, repeated_spans, scan
 from .tables import bitmap, in_bitmap, saved
 
@@ -34,20 +35,18 @@ def repeated_byte_spans(texts: DataFrame, shape: Shape = SHAPE) -> DataFrame:
     """``key, start, end`` (in bytes) that cover the bytes of all repeated windows."""
     half = shape.core // 2
 
-    def pairs(batch, units, sums, found):
-        first = sums.stretch(found.at, found.at + half) >> np.uint64(32)
-        second = sums.stretch(found.at + half, found.at + 2 * half) >> np.uint64(32)
-        return [first.astype(np.uint32).view(np.int32), second.astype(np.uint32).view(np.int32)]
+    def pair(sums, found) -> np.ndarray:
+        """The names of pairs (rank, rank of what follows) in 32 bits: two may share one, none is lost."""
+        rank = sums.stretch(found.at, found.at + half)
+        ahead = sums.stretch(found.at + half, found.at + 2 * half)
+        return (mix(rank ^ mix(ahead)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
-    def place(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return first.astype(np.int64) * 31 + second
-
-    twice = scan(texts, shape, pairs, "rank int, next int").groupBy("rank", "next").count().where("count > 1")
-    twice = bitmap(twice, F.col("rank").cast("bigint") * 31 + F.col("next"))
+    pairs = scan(texts, shape, lambda batch, units, sums, found: [pair(sums, found)], "pair int")
+    twice = bitmap(pairs.groupBy("pair").count().where("count > 1"), F.col("pair").cast("bigint"))
     repeated = texts.sparkSession.sparkContext.broadcast(twice)
 
     def emit(batch, units, sums, found):
-        keep = in_bitmap(repeated.value, place(*pairs(batch, units, sums, found)))
+        keep = in_bitmap(repeated.value, pair(sums, found))
         found = Anchors(*(x[keep] for x in found))
         return anchor_columns(batch, units, sums, found, shape, 2 * half)
 
@@ -71,7 +70,7 @@ def remove_repeated_bytes(
         for batch in batches:
             rows = []
             for body, found in zip(batch.column(1), batch.column(2)):
-                raw, found = body.as_py(), found.as_py()
+                raw, found = unpacked(body.as_py()), found.as_py()
                 gone = mask_of(len(raw), found)
                 rims = np.flatnonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1)
                 left = np.frombuffer(raw, np.uint8)[~gone].tobytes() if found else raw
