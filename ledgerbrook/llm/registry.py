@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, lm, quality, substring_dedup, suffix_dedup
+from . import (
+    bpe,
+    decontaminate,
+    jaccard_join,
+    lm,
+    quality,
+    quotes,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +128,18 @@ def op9_byte_bpe(spark, sf_dir):
 @query()
 def op10_lm_scoring(spark, sf_dir):
     return lm.score(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_toxicity(spark, sf_dir):
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query()
+def op6_chat_formatting(spark, sf_dir):
+    return quotes.threads(_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op7_url_filter(spark, sf_dir):
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.RULES)
