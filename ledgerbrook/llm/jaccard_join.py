@@ -5,14 +5,17 @@
    each, in any fixed order.  So the groups of nodes by such a shingle are *regions* that
    together hold every pair that can link.  The order puts shingles seen in many texts last:
    a passage that thousands of texts share makes a region only for texts that consist of it.
-3. In each region a node becomes *pivot*; the exact distance of the others to it cuts the region.
-   With r = 1 - t, nodes within r of the pivot form its cell: they link with it, so they
-   are one component already.  Nodes beyond r form the outer region.  By the triangle
-   inequality a node in the cell can only link with one within 2r of the pivot: nodes in
-   that window are put into both regions.
-   A region whose nodes are all one component is done.  Otherwise more nodes become pivots, those
-   of the region's rarest components first; a pivot is compared with the nodes of other
-   components and leaves.  In regions of at most ``LEAF`` nodes all do so at once.
+3. In each region its most central node (which lies in large regions otherwise, too) becomes
+   *pivot*, and the exact distance of the others to it cuts the region.  With r = 1 - t, the
+   nodes within r form the pivot's cell: they link with it and are one component already.  By
+   the triangle inequality a node of the cell can link only with one within 2r of the pivot, so the
+   nodes of that *window* are replicated: into the outer region with those beyond, and into an inner
+   one with the cell.  Nodes of an inner region are told apart by how they differ from the
+   pivot: |x ^ y| = |(x ^ p) ^ (y ^ p)|, so two that link share some of their differences,
+   and the inner region is joined in the same way by these.
+   A region whose nodes are all one component is done.  In the others more nodes become pivots, more
+   with each round; a pivot is compared with nodes of other components and leaves.  In regions of at most ``LEAF`` nodes all do so at once.  A pair is skipped where the
+   shingles before the region's own leave too little to be common: if it links, it has an earlier common one.
 4. Before two sets are compared, a metric that never exceeds the Jaccard distance (that of
    bucket counts of the shingles) drops the pairs beyond 2r.
 
@@ -44,9 +47,8 @@ SIMILAR_PERCENT = 80
 FREQUENT = 32
 # What is counted: this share of a set's shingles, and all of a short text.
 COUNTED_PERCENT, COUNTED_SHORT = 30, 128
-# In regions up to this size every node becomes a pivot at once; in larger ones up to so many.
-LEAF = 32
-PIVOTS = 64
+# In regions up to this size every node becomes a pivot at once; in larger ones 1, 4, 16, ... by round.
+LEAF = 4
 
 
 def shingles(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -183,80 +185,110 @@ def _coarse_apart(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint, n_a bigint, n_b bigint")
 
 
-def near_pairs(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of the pairs ``a, b``, those within 2r, with ``zone`` 0 up to r and 1 beyond."""
-    wide = max(2 * percent - 100, 0)
+def near_pairs(
+    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int, least: int
+) -> DataFrame:
+    """Of the pairs ``a, b``, those of similarity ``least`` percent or more.
+
+    ``zone`` is 0 when they link, else 1; ``own`` and ``lacks`` are what only a and only b has.
+    """
     side = {x: nodes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "sketch", "text_hash")]) for x in "ab"}
     sized = (
         pairs.join(side["a"], F.col("a") == F.col("node_a"))
         .join(side["b"], F.col("b") == F.col("node_b"))
-        .where(100 * F.least("n_a", "n_b") >= wide * F.greatest("n_a", "n_b"))
+        .where(100 * F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b"))
         # |x ^ y| <= (1 - j) / (1 + j) * (|x| + |y|)
-        .withColumn("most", F.expr(f"(n_a + n_b) * {100 - wide} div {100 + wide}"))
+        .withColumn("most", F.expr(f"(n_a + n_b) * {100 - least} div {100 + least}"))
     )
     close = saved(_coarse_apart(sized.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "most")), "close")
     ends = close.select(F.col("a").alias("node")).union(close.select(F.col("b").alias("node"))).distinct()
     wanted = bitmap(ends.join(nodes, "node").select("text_hash"), F.col("text_hash"))
-    sets = _whole_sets(texts, size, wanted).join(ends, "node", "left_semi")
-    sets = saved(sets, "sets")
-    common = F.size(F.array_intersect("names_a", "names_b"))
+    sets = saved(_whole_sets(texts, size, wanted).join(ends, "node", "left_semi"), "sets")
+    own, lacks = F.array_except("names_a", "names_b"), F.array_except("names_b", "names_a")
     found = (
         close.join(sets.select(F.col("node").alias("a"), F.col("names").alias("names_a")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("names").alias("names_b")), "b")
-        .select("a", "b", common.cast("bigint").alias("common"), (F.col("n_a") + F.col("n_b")).alias("both"))
+        .select("a", "b", "n_a", "n_b", F.array_sort(own).alias("own"), F.array_sort(lacks).alias("lacks"))
+        .withColumn("common", F.col("n_a") - F.size("own"))
     )
-    similar = lambda least: 100 * F.col("common") >= least * (F.col("both") - F.col("common"))
-    return found.where(similar(wide)).select("a", "b", F.when(similar(percent), 0).otherwise(1).alias("zone"))
+    similar = lambda least: 100 * F.col("common") >= least * (F.col("n_a") + F.size("lacks"))
+    zone = F.when(similar(percent), 0).otherwise(1).alias("zone")
+    return found.where(similar(least)).select("a", "b", zone, "own", "lacks")
 
 
 def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component`` of all nodes that link with another."""
-    nodes = saved(
-        sets.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-                                               F.min("text_hash").alias("text_hash")),
-        "nodes",
+    filled = sets.where("n > 0")
+    nodes = filled.groupBy("node").agg(*[F.min(c).alias(c) for c in ("n", "sketch", "text_hash")])
+    nodes = saved(nodes, "nodes")
+    rows = filled.select("node", "n", "prefix").dropDuplicates(["node"])
+    rows = rows.select("node", "n", F.posexplode("prefix").alias("at", "region"))
+    # What a set has from this shingle on: all that can be common if it is the first common one.
+    rows = rows.select("region", "node", (F.col("n") - F.col("at")).cast("int").alias("rest"))
+    rows = rows.select("*", F.count("*").over(Window.partitionBy("region")).alias("m")).where("m > 1")
+    rows = saved(rows, "regions")
+    # The original of many near copies lies in larger regions than they do, who have parts of their own.
+    central = rows.groupBy("node").agg(F.avg("m").alias("central")).join(nodes.select("node", "n"), "node")
+    central = saved(central, "central")
+    placed = rows.select("region", "node", "rest").join(central, "node")
+    middle = placed.groupBy("region").agg(F.max_by("node", F.struct("central", "node")).alias("pivot"))
+    rows = saved(rows.join(middle, "region").select("region", "node", "rest", "pivot"), "regions")
+    pairs = rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    asked = pairs = saved(pairs.distinct(), "pairs")
+    near = saved(near_pairs(pairs, nodes, texts, size, percent, max(2 * percent - 100, 1)), "near")
+    links = near.where("zone = 0").select("a", "b")
+    found = components(links)
+
+    # Within 2r of a pivot: regions by the shingles in which a set and the pivot differ.
+    windows = near.where("zone = 1").select("b").distinct()
+    apart = near.join(windows, "b", "left_semi").join(central.select(F.col("node").alias("a"), "n"), "a")
+    length = F.size("own") + F.size("lacks")
+    most = F.expr(f"n * (100 + {percent}) * (100 - {percent}) div ({percent} * (100 + {percent})) + 1")
+    first = F.slice(F.concat("own", "lacks"), 1, F.least(length, most.cast("int")))
+    inner = apart.select(F.col("a").alias("node"), "b", length.alias("size"), F.posexplode(first).alias("at", "name"))
+    inner = inner.select(
+        F.xxhash64("b", "name").alias("region"), "node", "size", (F.col("size") - F.col("at")).alias("rest"),
+        F.lit(2).alias("zone"),
     )
-    rows = sets.where("n > 0").select("node", "prefix").dropDuplicates(["node"])
-    rows = rows.select("node", F.explode("prefix").alias("region"))
-    region = Window.partitionBy("region")
-    rows = rows.select("*", F.min("node").over(region).alias("pivot"), F.count("*").over(region).alias("m"))
-    rows = saved(rows.where("m > 1").select("region", "node", "pivot"), "regions")
-    asked = None
-    pairs = saved(rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
-    near = saved(near_pairs(pairs, nodes, texts, size, percent), "near")
-    found = components(near.where("zone = 0"))
-    # The cell of each pivot with its window, and what lies beyond the cell.
-    zones = rows.where("node <> pivot").join(
-        near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "zone"), ["node", "pivot"], "left"
-    )
-    zones = zones.select("region", "node", F.coalesce("zone", F.lit(2)).alias("zone"))
-    window = zones.where("zone = 1").select("region").distinct()
-    inner = zones.where("zone < 2").join(window, "region", "left_semi").select(F.xxhash64("region").alias("region"), "node")
-    rows = inner.unionByName(zones.where("zone > 0").select("region", "node"))
+    # Beyond: the regions as they were, for pairs of which one is not within 2r.
+    zones = near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "zone")
+    outer = rows.where("node <> pivot").join(zones, ["node", "pivot"], "left")
+    outer = outer.select("region", "node", "rest", F.coalesce("zone", F.lit(2)).alias("zone")).where("zone > 0")
+    outer = outer.join(central.select("node", F.col("n").cast("int").alias("size")), "node")
+    rows = inner.unionByName(outer)
+    many = 1
     while True:
-        rows = rows.join(found, "node", "left").select("region", "node", F.coalesce("component", "node").alias("c"))
-        bounds = rows.groupBy("region").agg(F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
-        rows = rows.join(bounds.where("low < high").select("region", "m"), "region")
-        # Nodes of the rarest components first: what is left of a region soon is one component.
+        rows = rows.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+        bounds = rows.groupBy("region").agg(
+            F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"), F.max("zone").alias("far")
+        )
+        rows = rows.join(bounds.where("low < high and far = 2").select("region", "m"), "region")
         share = rows.groupBy("region", "c").agg(F.count("*").alias("share"))
-        rows = saved(rows.join(share, ["region", "c"]), "rest")
+        rows = saved(rows.join(share, ["region", "c"]).join(central, "node"), "rest")
         if rows.isEmpty():
             return found
-        number = F.row_number().over(Window.partitionBy("region").orderBy("share", "c", "node"))
-        wanted = F.when(F.col("m") <= LEAF, F.col("m")).otherwise(F.least(F.ceil(F.col("m") / 3), F.lit(PIVOTS)))
-        pivots = rows.select("region", "m", "node", "c", number.alias("k")).where(F.col("k") <= wanted)
-        pivots = saved(pivots.select("region", F.col("node").alias("pivot"), F.col("c").alias("pivot_c"), "k"), "pivots")
-        asked = pairs if asked is None else saved(asked.unionByName(pairs), "asked")
-        rows = rows.select("region", "node", "c")
-        ends = [F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")]
-        pairs = rows.join(pivots, "region").where("c <> pivot_c").select(*ends).distinct()
+        number = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("central"), "share", "node"))
+        pivots = rows.withColumn("k", number).where((F.col("k") <= many) | (F.col("m") <= LEAF))
+        many *= 4
+        kept = ("node", "c", "n", "size", "rest", "zone")
+        pivots = saved(pivots.select("region", *[F.col(x).alias(f"pivot_{x}") for x in kept]), "pivots")
+        rows = rows.select("region", *kept)
+        # A pair that can link can do so with the rest from its first common shingle on.
+        enough = 2 * (100 + percent) * F.least("rest", "pivot_rest") >= (100 + percent) * (
+            F.col("size") + F.col("pivot_size")
+        ) - (100 - percent) * (F.col("n") + F.col("pivot_n"))
+        apart = (F.col("c") != F.col("pivot_c")) & (F.greatest("zone", "pivot_zone") == 2)
+        ends = [F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")]
+        pairs = rows.join(pivots, "region").where(apart & enough).select(*ends).distinct()
         done = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            near = near.unionByName(near_pairs(pairs, nodes, texts, size, percent))
-            near = saved(near, "near")
-            found = components(near.where("zone = 0"))
-        rows = rows.join(pivots.select("region", F.col("pivot").alias("node")), ["region", "node"], "left_anti")
+            asked = saved(done.unionByName(pairs), "asked")
+            new = near_pairs(pairs, nodes, texts, size, percent, percent).select("a", "b")
+            links = saved(links.unionByName(new), "links")
+            found = components(links)
+        rows = rows.join(pivots.select("region", F.col("pivot_node").alias("node")), ["region", "node"], "left_anti")
+        rows = rows.select("region", "node", "size", "rest", "zone")
 
 
 def jaccard_components(
