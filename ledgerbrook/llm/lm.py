@@ -31,18 +31,18 @@ from pyspark.sql import functions as F
 from .arrays import Texts, mix, slices, texts_of, words_of
 from .tables import saved
 
-STATE = 24
+STATE = 16
 PER_CLASS, FREQUENT_CLASSES = 32, 32
-RARE_CLASSES = 64
+RARE_CLASSES = 32
 CLASSES = FREQUENT_CLASSES + RARE_CLASSES
 PLACES = PER_CLASS * FREQUENT_CLASSES  # ids of frequent words; rare classes follow
 
 # Words with a broadcast count (12 bytes each).
 TABLE_WORDS = 1 << 19
 # One training text in so many is used for gradients.
-TRAIN_SHARE = 16
+TRAIN_SHARE = 64
 ROUNDS = 2
-BATCH_TEXTS, WINDOW = 32, 16
+BATCH_TEXTS, WINDOW = 128, 16
 SCORE_WINDOW = 32
 RATE = 0.01
 CHUNK = 1 << 14  # tokens whose outputs are computed at once
@@ -413,7 +413,7 @@ def score(table: DataFrame, *, id: str = "doc_id", text: str = "text", folds: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, model = shipped.value
-        for batch in slices(batches, "text", 16 << 20):
+        for batch in slices(batches, "text", 8 << 20):
             tokens = tokens_of(texts_of(batch.column(2)))
             ids, c = looked_up(words, tokens)
             first = tokens.first
