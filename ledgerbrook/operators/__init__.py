@@ -1,7 +1,7 @@
 """Analytics operators: DataFrames in, lazy DataFrames out."""
 
 from .activity import active_days, active_days_by_group, active_user_count, days_per_user
-from .balance import TOP_USERS_SQL, city_average_balance, top_users_by_city, top_users_by_city_sql
+from .balance import USER_FLOWS_SQL, city_average_balance, top_users_by_city, top_users_by_city_sql
 from .counting import count_by_key, count_tokens, last_per_key, without
 from .flow import daily_flow, in_days, in_month, merge_by_day, weekday_flow
 from .forecast import (
@@ -14,7 +14,7 @@ from .forecast import (
 from .ranking import global_rank, rank_in_groups, top_k, top_n_per_group
 
 __all__ = [
-    "TOP_USERS_SQL",
+    "USER_FLOWS_SQL",
     "active_days",
     "active_days_by_group",
     "active_user_count",

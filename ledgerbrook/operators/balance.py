@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .flow import in_days
+from .flow import in_days, total
 from .ranking import top_n_per_group
 
 
@@ -26,7 +26,7 @@ def city_average_balance(
     no hot user; a user listed twice in the profile still counts twice.
     """
     rows = balance if day is None else in_days(balance, day, day)
-    per_user = rows.groupBy(user).agg(F.sum(amount).alias("__sum"), F.count(amount).alias("__count"))
+    per_user = rows.groupBy(user).agg(total(balance, amount).alias("__sum"), F.count(amount).alias("__count"))
     joined = profile.select(user, city).join(per_user, user)
     average = F.try_divide(F.sum("__sum").cast("double"), F.sum("__count").cast("double"))
     return joined.groupBy(city).agg(average.alias("average_balance"))
@@ -53,7 +53,7 @@ def top_users_by_city(
     per_user = (
         in_days(balance, first, last)
         .groupBy(user)
-        .agg(F.sum(inflow).alias("__in"), F.sum(outflow).alias("__out"))
+        .agg(total(balance, inflow).alias("__in"), total(balance, outflow).alias("__out"))
     )
     flows = (
         profile.select(user, city)
@@ -65,28 +65,24 @@ def top_users_by_city(
     return top.select(city, user, F.col("__flow").cast("bigint").alias("total_flow"), "rank")
 
 
-# The same query for users who prefer SQL over registered views.
-TOP_USERS_SQL = """
+# The flows of the same query over registered views; whole amounts are summed beyond 64 bits.
+USER_FLOWS_SQL = """
 WITH per_user AS (
-  SELECT user_id, SUM(total_purchase_amt) AS inflow, SUM(total_redeem_amt) AS outflow
+  SELECT user_id, SUM(CAST(total_purchase_amt AS DECIMAL(38,0))) AS inflow,
+         SUM(CAST(total_redeem_amt AS DECIMAL(38,0))) AS outflow
   FROM user_balance_table
   WHERE report_date BETWEEN :first AND :last
   GROUP BY user_id
-), flows AS (
-  SELECT p.City, p.user_id, SUM(u.inflow) + SUM(u.outflow) AS flow
-  FROM user_profile_table p JOIN per_user u ON p.user_id = u.user_id
-  GROUP BY p.City, p.user_id
-), ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY City ORDER BY flow DESC, user_id) AS rank
-  FROM flows
 )
-SELECT City, user_id, CAST(flow AS BIGINT) AS total_flow, CAST(rank AS BIGINT) AS rank
-FROM ranked
-WHERE rank <= :n
+SELECT p.City, p.user_id, SUM(u.inflow) + SUM(u.outflow) AS flow
+FROM user_profile_table p JOIN per_user u ON p.user_id = u.user_id
+GROUP BY p.City, p.user_id
 """
 
 
 def top_users_by_city_sql(spark: SparkSession, first: str, last: str, *, n: int = 3) -> DataFrame:
-    """``top_users_by_city`` over the views ``user_balance_table`` and ``user_profile_table``."""
+    """``top_users_by_city`` over the views ``user_balance_table`` and ``user_profile_table`` (whole amounts)."""
     bounds = {"first": datetime.strptime(first, "%Y%m%d").date(), "last": datetime.strptime(last, "%Y%m%d").date()}
-    return spark.sql(TOP_USERS_SQL, args={**bounds, "n": n})
+    flows = spark.sql(USER_FLOWS_SQL, args=bounds)
+    top = top_n_per_group(flows, "City", [F.desc("flow"), F.asc("user_id")], n)
+    return top.select("City", "user_id", F.col("flow").cast("bigint").alias("total_flow"), "rank")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import day_name, parse_day
 
 
+def total(table: DataFrame, name: str) -> Column:
+    """The sum of a column; whole numbers are summed as decimals, which 64 bits cannot overflow."""
+    whole = isinstance(table.schema[name].dataType, T.IntegralType)
+    return F.sum(F.col(name).cast("decimal(38,0)") if whole else F.col(name))
+
+
 def daily_flow(
     balance: DataFrame,
     *,
@@ -18,13 +24,13 @@ def daily_flow(
 ) -> DataFrame:
     """Inflow and outflow per day, missing amounts being zero.
 
-    Both sums are combined before the one shuffle.
+    Both sums are combined before the one shuffle.  Sums of whole numbers are decimals.
     """
 
-    def total(name: str):
-        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    def filled(name: str):
+        return F.coalesce(total(balance, name), F.lit(0)).alias(name)
 
-    return balance.groupBy(day).agg(total(inflow), total(outflow))
+    return balance.groupBy(day).agg(filled(inflow), filled(outflow))
 
 
 def weekday_flow(
@@ -45,7 +51,7 @@ def weekday_flow(
     dated = daily.select(date.alias("__date"), inflow, outflow)
 
     def average(name: str):
-        return F.sum(name).cast("double") / F.count(name)
+        return total(daily, name).cast("double") / F.count(name)
 
     # Bad days form one group of their own, dropped by an aggregate: a condition on the
     # date itself would be pushed below the daily sums and parse every balance row.

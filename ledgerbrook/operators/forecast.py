@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -16,21 +16,29 @@ from pyspark.sql import types as T
 from ..functions import day_features, day_key, future_days, parse_day
 from ..session import ensure_checkpoint_dir
 
+# The features and the forest's parameters (100 trees of depth 10, seed 42).
 FEATURES = ["day_of_year", "month", "day_of_week"]
 TARGETS = {"total_purchase_amt": "purchase", "total_redeem_amt": "redeem"}
 
 
-def with_day_features(series: DataFrame, *, day: str = "report_date") -> DataFrame:
+def with_day_features(
+    series: DataFrame, *, day: str = "report_date", features: Sequence[str] = FEATURES
+) -> DataFrame:
     """Add the calendar features and the assembled ``features`` vector; a day that is no date fails."""
     date = F.col(day)
     if isinstance(series.schema[day].dataType, T.StringType):
         date = parse_day(date)
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     return assembler.transform(series.withColumns(day_features(date)))
 
 
 def training_series(
-    daily: DataFrame, targets: Iterable[str], *, day: str = "report_date", partitions: int = 2
+    daily: DataFrame,
+    targets: Iterable[str],
+    *,
+    day: str = "report_date",
+    partitions: int = 2,
+    features: Sequence[str] = FEATURES,
 ) -> DataFrame:
     """Features and targets of each day, computed once and checkpointed.
 
@@ -39,7 +47,7 @@ def training_series(
     draw their samples per partition, so a fixed layout makes them reproducible.
     """
     ensure_checkpoint_dir(daily.sparkSession)
-    series = with_day_features(daily, day=day).select(
+    series = with_day_features(daily, day=day, features=features).select(
         day, "features", *[F.col(target).cast("double").alias(target) for target in targets]
     )
     return series.repartition(partitions, day).sortWithinPartitions(day).checkpoint()
@@ -52,6 +60,8 @@ def fit_forecasters(
     num_trees: int = 100,
     max_depth: int = 10,
     seed: int = 42,
+    bootstrap: bool = True,
+    feature_subset: str = "auto",
 ) -> PipelineModel:
     """One forest per target, chained so that one pass over a frame fills all predictions.
 
@@ -66,6 +76,8 @@ def fit_forecasters(
             numTrees=num_trees,
             maxDepth=max_depth,
             seed=seed,
+            bootstrap=bootstrap,
+            featureSubsetStrategy=feature_subset,
         )
         return forest.fit(training)
 
@@ -77,17 +89,19 @@ def fit_forecasters(
         pool.close()
 
 
-def future_features(daily: DataFrame, *, start: str | None, horizon: int, day: str) -> DataFrame:
+def future_features(
+    daily: DataFrame, *, start: str | None, horizon: int, day: str, features: Sequence[str] = FEATURES
+) -> DataFrame:
     """Features of the ``horizon`` days from ``start``, or of those after the last day of the series."""
     if start is not None:
         first = F.lit(f"{start[:4]}-{start[4:6]}-{start[6:]}").cast("date")
         anchor = daily.sparkSession.range(1)
-        return with_day_features(future_days(anchor, first, horizon))
+        return with_day_features(future_days(anchor, first, horizon), features=features)
     date = F.col(day)
     if isinstance(daily.schema[day].dataType, T.StringType):
         date = parse_day(date)
     anchor = daily.agg(F.max(date).alias("__last"))
-    return with_day_features(future_days(anchor, F.date_add("__last", 1), horizon))
+    return with_day_features(future_days(anchor, F.date_add("__last", 1), horizon), features=features)
 
 
 def forecast_flow(
@@ -99,14 +113,25 @@ def forecast_flow(
     num_trees: int = 100,
     max_depth: int = 10,
     seed: int = 42,
+    features: Sequence[str] = FEATURES,
+    bootstrap: bool = True,
+    feature_subset: str = "auto",
 ) -> DataFrame:
     """``report_date`` (``yyyyMMdd``), ``purchase`` and ``redeem`` for the next days, as whole numbers.
 
     Trees cannot extrapolate: days beyond the training range differ only by weekday.
     """
-    training = training_series(daily, TARGETS, day=day)
-    models = fit_forecasters(training, num_trees=num_trees, max_depth=max_depth, seed=seed)
-    scored = models.transform(future_features(training, start=start, horizon=horizon, day=day))
+    training = training_series(daily, TARGETS, day=day, features=features)
+    models = fit_forecasters(
+        training,
+        num_trees=num_trees,
+        max_depth=max_depth,
+        seed=seed,
+        bootstrap=bootstrap,
+        feature_subset=feature_subset,
+    )
+    ahead = future_features(training, start=start, horizon=horizon, day=day, features=features)
+    scored = models.transform(ahead)
     return scored.select(
         day_key(F.col("report_date")).alias("report_date"),
         F.col("purchase").cast("bigint").alias("purchase"),

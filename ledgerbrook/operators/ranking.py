@@ -12,52 +12,65 @@ from ..session import ensure_checkpoint_dir
 # monotonically_increasing_id keeps the partition above and the row number below this bit.
 _ROW_BITS = 33
 
-# Above this, the top rows no longer go through one task.
-SINGLE_TASK_ROWS = 100_000
+# Rows are first cut within so many hash buckets per group.
+BUCKETS = 64
 
 
-def global_rank(table: DataFrame, order: Sequence[Column], *, rank: str = "rank") -> DataFrame:
-    """Ranks 1..N over the whole table, without a task that sees all rows.
+def _laid_out(table: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The table range-partitioned and sorted, with ``__part`` and ``__pos`` of each row.
 
-    Rows are range-partitioned and sorted; the running id then holds partition and
-    position, and is written to a reliable checkpoint because both uses below must see
-    the same layout.  What is added to a position is the row count of the partitions
-    before it: one number per partition, which bounds the broadcast and the one-task
-    window.  The result's partitions follow the rank order.
+    Written to a reliable checkpoint, because what is counted and what is numbered must see
+    the same layout.
     """
     ensure_checkpoint_dir(table.sparkSession)
-    laid_out = (
+    numbered = (
         table.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("__id", F.monotonically_increasing_id())
         .checkpoint()
     )
-    part = F.shiftright("__id", _ROW_BITS)
     position = F.col("__id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    numbered = numbered.withColumn("__part", F.shiftright("__id", _ROW_BITS)).withColumn("__pos", position)
+    return numbered.drop("__id")
+
+
+def global_rank(table: DataFrame, order: Sequence[Column], *, rank: str = "rank") -> DataFrame:
+    """Ranks 1..N over the whole table, without a task that sees all rows.
+
+    What is added to a row's position in its partition is the row count of the partitions
+    before it: one number per partition, which bounds the broadcast and the one-task window.
+    The result's partitions follow the rank order.  Finding the ranges reads the input
+    once more than sorting it.
+    """
+    laid_out = _laid_out(table, order)
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        laid_out.select(part.alias("__part"), position.alias("__pos"))
-        .groupBy("__part")
+        laid_out.groupBy("__part")
         .agg((F.max("__pos") + 1).alias("__rows"))
         .select("__part", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"))
     )
     return (
-        laid_out.withColumn("__part", part)
-        .join(F.broadcast(offsets), "__part")
-        .withColumn(rank, position + F.col("__offset") + 1)
+        laid_out.join(F.broadcast(offsets), "__part")
+        .withColumn(rank, F.col("__pos") + F.col("__offset") + 1)
         .select(*table.columns, rank)
     )
 
 
+def _cut(table: DataFrame, group: list[str], order: Sequence[Column], n: int) -> DataFrame:
+    """At most the first ``n`` rows of each hash bucket of a group: all that can be among the first n."""
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in table.columns]), F.lit(BUCKETS))
+    bucket = Window.partitionBy(*[F.col(f"`{name}`") for name in group], "__bucket").orderBy(*order)
+    cut = table.withColumn("__bucket", spread).withColumn("__row", F.row_number().over(bucket))
+    return cut.where(F.col("__row") <= n).drop("__bucket", "__row")
+
+
 def top_k(table: DataFrame, order: Sequence[Column], k: int, *, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows with ranks 1..k.
 
-    A short list is cut per partition and merged; a long one takes the global rank.
+    Rows are cut within hash buckets, and what is left takes the global rank: one plan for
+    any ``k``, and no task that gets the first k rows of every partition.
     """
-    if k > SINGLE_TASK_ROWS:
-        return global_rank(table, order, rank=rank).where(F.col(rank) <= k)
-    numbered = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-    return table.orderBy(*order).limit(k).withColumn(rank, numbered)
+    return global_rank(_cut(table, [], order, k), order, rank=rank).where(F.col(rank) <= k)
 
 
 def rank_in_groups(
@@ -65,16 +78,21 @@ def rank_in_groups(
 ) -> DataFrame:
     """Ranks 1..N inside every group, also when one group is too large for a task.
 
-    The global rank by (group, order) minus the smallest one of the group.
+    Rows are laid out by (group, order).  The part of a group that lies in one partition
+    knows its first position there and the group's rows in earlier partitions; it is
+    joined by partition and group, so no join key has more rows than a partition.
     """
-    ranked = global_rank(table, [F.col(group).asc(), *order], rank="__global")
-    starts = ranked.groupBy(group).agg(F.min("__global").alias("__start"))
-    joined = ranked.alias("r").join(
-        starts.alias("s"), F.col(f"r.{group}").eqNullSafe(F.col(f"s.{group}"))
+    laid_out = _laid_out(table, [F.col(group).asc(), *order])
+    earlier = Window.partitionBy("__of").orderBy("__in").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = (
+        laid_out.groupBy(F.col("__part").alias("__in"), F.col(group).alias("__of"))
+        .agg(F.count("*").alias("__rows"), F.min("__pos").alias("__first"))
+        .withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
     )
-    return joined.select(
-        *[F.col(f"r.{name}") for name in table.columns],
-        (F.col("__global") - F.col("__start") + 1).alias(rank),
+    same = (F.col("__part") == F.col("__in")) & F.col(group).eqNullSafe(F.col("__of"))
+    ranked = laid_out.join(pieces, same)
+    return ranked.select(
+        *table.columns, (F.col("__pos") - F.col("__first") + F.col("__before") + 1).alias(rank)
     )
 
 
@@ -83,18 +101,8 @@ def top_n_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group with ranks 1..n.
 
-    While ``n`` is within the group-limit threshold, Spark keeps at most ``n`` rows per
-    group and map task before the shuffle, so a hot group stays small.  Beyond it the
-    skew-proof rank does the work.
+    Each group is cut within hash buckets (Spark keeps at most ``n`` rows per bucket and map
+    task where ``n`` is small), and what is left is ranked in its group: one plan for any ``n``.
     """
-    threshold = int(
-        table.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
-    )
-    if n > threshold:
-        return rank_in_groups(table, group, order, rank=rank).where(F.col(rank) <= n)
-    numbered = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return (
-        table.withColumn(rank, numbered)
-        .where(F.col(rank) <= n)
-        .withColumn(rank, F.col(rank).cast("bigint"))
-    )
+    left = _cut(table, [group], order, n)
+    return rank_in_groups(left, group, order, rank=rank).where(F.col(rank) <= n)

@@ -65,7 +65,7 @@ def run_weekday_flow(spark: SparkSession, daily: str, out: str, *, lenient: bool
 
 def run_active_days(spark: SparkSession, balance: str, out: str) -> None:
     rows = sources.read_balance(
-        spark, balance, sources.FAIL_ON_BAD, amounts=("direct_purchase_amt", "total_redeem_amt")
+        spark, balance, sources.FAIL_WHERE_NEEDED, amounts=("direct_purchase_amt", "total_redeem_amt")
     )
     days = ops.active_days(rows).orderBy(F.desc("active_days"), "user_id")
     sinks.write_lines(sinks.key_value_lines(days, "user_id", ["active_days"]), out)
@@ -79,7 +79,7 @@ def run_active_days_by_group(spark: SparkSession, days: str, profile: str, out:
 
 
 def run_active_user_count(
-    spark: SparkSession, balance: str, out: str, *, month: str = "201408", min_days: int = 5
+    spark: SparkSession, balance: str, out: str, *, month: str, min_days: int = 5
 ) -> None:
     rows = sources.read_balance(spark, balance, sources.ZERO_BAD_VALUES, amounts=())
     sinks.write_csv(ops.active_user_count(rows, month, min_days=min_days), out)
@@ -97,7 +97,7 @@ def _city_tables(spark: SparkSession, balance: str, profile: str) -> tuple[DataF
 
 
 def run_city_average_balance(
-    spark: SparkSession, balance: str, profile: str, out: str, *, day: str = "20140301"
+    spark: SparkSession, balance: str, profile: str, out: str, *, day: str
 ) -> None:
     averages = ops.city_average_balance(*_city_tables(spark, balance, profile), day=day)
     sinks.write_csv(averages, out, crlf=True, order=[F.desc("average_balance"), "City"])
@@ -109,8 +109,8 @@ def run_top_users_by_city(
     profile: str,
     out: str,
     *,
-    first: str = "20140801",
-    last: str = "20140831",
+    first: str,
+    last: str,
     n: int = 3,
     sep: str = "\t",
 ) -> None:
@@ -126,7 +126,7 @@ def run_forecast(
     *,
     train_first: str | None = None,
     train_last: str | None = None,
-    start: str = "20140901",
+    start: str | None = None,
     horizon: int = 30,
 ) -> None:
     series = sources.read_daily_flow_csv(spark, daily)

@@ -108,10 +108,16 @@ SELECT * FROM (
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = ops.daily_flow(data.lineitem_balance(spark, sf_dir))
+    daily = _whole(ops.daily_flow(data.lineitem_balance(spark, sf_dir)))
     return daily.withColumn("report_date", fn.day_key(F.col("report_date")))
 
 
+def _whole(daily: DataFrame) -> DataFrame:
+    """Sums as 64-bit numbers; one that does not fit fails."""
+    amounts = ["total_purchase_amt", "total_redeem_amt"]
+    return daily.withColumns({name: F.col(name).cast("bigint") for name in amounts})
+
+
 @query(_DAILY)
 def daily_flow(spark, sf_dir):
     return _daily(spark, sf_dir)
@@ -158,7 +164,7 @@ def weekday_flow_lenient_days(spark, sf_dir):
 
 @query(f"SELECT * FROM ({_DAILY}) WHERE report_date BETWEEN '19960201' AND '19960831'")
 def time_slice(spark, sf_dir):
-    daily = ops.daily_flow(ops.in_days(data.lineitem_balance(spark, sf_dir), "19960201", "19960831"))
+    daily = _whole(ops.daily_flow(ops.in_days(data.lineitem_balance(spark, sf_dir), "19960201", "19960831")))
     return daily.withColumn("report_date", fn.day_key(F.col("report_date")))
 
 
@@ -175,7 +181,7 @@ def daily_flow_landed_months(spark, sf_dir):
     path = new_shared_path(spark, "balance-by-month")
     sinks.land_balance(data.lineitem_balance(spark, sf_dir), path)
     rows = sources.read_landed_balance(spark, path, first="19960815", last="19961110")
-    daily = ops.daily_flow(rows)
+    daily = _whole(ops.daily_flow(rows))
     return daily.withColumn("report_date", fn.day_key(F.col("report_date")))
 
 
@@ -204,11 +210,6 @@ _GOOD_PURCHASE = f"CASE WHEN l_linenumber IN (1, 2, 4) THEN 0 ELSE {_PRICE} END"
 _GOOD_REDEEM = f"CASE WHEN l_returnflag = 'R' THEN {_PRICE} ELSE 0 END"
 
 
-def _whole(daily: DataFrame) -> DataFrame:
-    amounts = ["total_purchase_amt", "total_redeem_amt"]
-    return daily.withColumns({name: F.col(name).cast("bigint") for name in amounts})
-
-
 @query(
     f"""SELECT strftime(l_shipdate, '%Y%m%d') AS report_date,
     CAST(sum({_GOOD_PURCHASE}) AS BIGINT) AS total_purchase_amt,
@@ -233,7 +234,7 @@ def parse_lines_zero_bad_values(spark, sf_dir):
     lines = data.dirty_balance_lines(spark, sf_dir)
     lines = lines.union(spark.range(2).select(F.lit(header)))
     rows = sources.balance_from_lines(lines, sources.ZERO_BAD_VALUES, header_line=header)
-    return ops.daily_flow(rows)
+    return _whole(ops.daily_flow(rows))
 
 
 @query(
@@ -532,6 +533,21 @@ def future_days(spark, sf_dir):
     return ahead.withColumn("report_date", fn.day_key(F.col("report_date")))
 
 
+_WEEKDAY_MEANS = f"""
+WITH daily AS (SELECT strptime(report_date, '%Y%m%d') AS d, * FROM ({_DAILY})),
+means AS (SELECT isodow(d) AS w, CAST(trunc(avg(total_purchase_amt)) AS BIGINT) AS purchase,
+                 CAST(trunc(avg(total_redeem_amt)) AS BIGINT) AS redeem FROM daily GROUP BY 1),
+ahead AS (SELECT (SELECT CAST(max(d) AS DATE) FROM daily) + CAST(i AS INT) AS d FROM range(1, 31) r(i))
+SELECT strftime(d, '%Y%m%d') AS report_date, purchase, redeem FROM ahead JOIN means ON isodow(d) = w"""
+
+
+@query(_WEEKDAY_MEANS)
+def forecast_by_weekday(spark, sf_dir):
+    """One tree on the weekday alone, grown on all days: it predicts the weekday's mean."""
+    daily = ops.daily_flow(data.lineitem_balance(spark, sf_dir))
+    return ops.forecast_flow(daily, features=["day_of_week"], num_trees=1, bootstrap=False, feature_subset="all")
+
+
 @query()
 def forecast_flow(spark, sf_dir):
     """No SQL: a random forest.  Tests check it against the known shape of the result."""

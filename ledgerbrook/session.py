@@ -28,7 +28,8 @@ def build_session(app_name: str = "ledgerbrook", **options: str) -> SparkSession
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -11,6 +11,7 @@ from .lines import (
 from .tables import (
     DROP_BAD_ROWS,
     FAIL_ON_BAD,
+    FAIL_WHERE_NEEDED,
     ZERO_BAD_VALUES,
     LineRules,
     active_days_from_lines,
@@ -34,6 +35,7 @@ from .tables import (
 __all__ = [
     "DROP_BAD_ROWS",
     "FAIL_ON_BAD",
+    "FAIL_WHERE_NEEDED",
     "ZERO_BAD_VALUES",
     "LineRules",
     "active_days_from_lines",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions import parse_day, parse_number, strip_control
+from ..functions import parse_day, parse_number, positive, strip_control
 from .lines import drop_lines_equal_to, field, first_line, keep_arity, read_lines, split_fields
 
 
@@ -23,6 +23,7 @@ class LineRules:
                 (drop every line equal to the first line of the input)
     bad_amounts ``drop_row``, ``zero`` (each bad value on its own) or ``fail``
     short_rows  ``drop``, ``fail`` or ``null``
+    as_needed   amounts after a positive one are not looked at
     """
 
     header: str = "named"
@@ -30,6 +31,7 @@ class LineRules:
     short_rows: str = "drop"
     keep_trailing_empty: bool = False
     amount_type: str = "double"
+    as_needed: bool = False
 
 
 # The three ways balance files are read.
@@ -42,6 +44,8 @@ ZERO_BAD_VALUES = LineRules(
     amount_type="bigint",
 )
 FAIL_ON_BAD = LineRules(header="first_of_file", bad_amounts="fail", short_rows="fail")
+# For questions that any positive amount answers.
+FAIL_WHERE_NEEDED = LineRules(header="first_of_file", bad_amounts="fail", short_rows="null", as_needed=True)
 
 
 def _amount(name: str, rules: LineRules):
@@ -71,7 +75,9 @@ def balance_from_lines(
     Only the amounts asked for can make a row bad.  With no amounts, a row needs no
     more than its first two fields.
     """
-    if rules.header == "repeated" and header_line is not None:
+    if rules.header == "repeated":
+        if header_line is None:
+            raise ValueError("the header rule 'repeated' needs the header line")
         lines = drop_lines_equal_to(lines, header_line)
     needed = schemas.BALANCE_MIN_FIELDS if amounts else 2
     rows = keep_arity(
@@ -85,8 +91,15 @@ def balance_from_lines(
     columns = [
         field(schemas.BALANCE_POSITIONS["user_id"]).alias("user_id"),
         field(schemas.BALANCE_POSITIONS["report_date"]).alias("report_date"),
-        *[_amount(name, rules).alias(name) for name in amounts],
     ]
+    answered = F.lit(False)
+    for name in amounts:
+        amount = _amount(name, rules)
+        if rules.as_needed:
+            amount = F.when(~answered, amount)
+            raw = parse_number(field(schemas.BALANCE_POSITIONS[name]), rules.amount_type)
+            answered = answered | F.coalesce(positive(raw, T.DoubleType()), F.lit(False))
+        columns.append(amount.alias(name))
     # Inlined, or a later condition on an amount would parse it a second time, in generated
     # code that outgrows what the JVM compiles (seven times slower for the failing rules).
     table = rows.select(F.inline(F.array(F.struct(*columns))))
@@ -177,7 +190,11 @@ def read_stop_words(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
 
 
 def daily_flow_from_lines(lines: DataFrame) -> DataFrame:
-    """``date TAB inflow,outflow`` lines; lines without exactly two tab fields are dropped."""
+    """``date TAB inflow,outflow`` lines; lines without exactly two tab fields are dropped.
+
+    Amounts of a line whose date is none, not even a lenient one, are not looked at: they are
+    NULL.  A bad amount of a dated line fails.
+    """
     rows = keep_arity(split_fields(lines, "\t"), exact=2).select(
         field(0).alias("report_date"), field(1).alias("value")
     )
@@ -186,7 +203,8 @@ def daily_flow_from_lines(lines: DataFrame) -> DataFrame:
     def strict(position: int):
         raw = field(position)
         message = F.concat(F.lit("not a number: "), F.coalesce(raw, F.lit("(missing)")))
-        return F.coalesce(parse_number(raw, "double"), F.raise_error(message).cast("double"))
+        amount = F.coalesce(parse_number(raw, "double"), F.raise_error(message).cast("double"))
+        return F.when(parse_day(F.col("report_date"), lenient=True).isNotNull(), amount)
 
     return pairs.select(
         "report_date",
@@ -201,9 +219,8 @@ def read_daily_flow(spark: SparkSession, path: str | Sequence[str]) -> DataFrame
 
 
 def read_daily_flow_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Daily flow as written by the CSV sink (header, declared types)."""
-    paths = path if isinstance(path, str) else list(path)
-    return spark.read.schema(schemas.DAILY_FLOW).option("header", True).csv(paths)
+    """Daily flow as written by the CSV sink (header, declared types); a bad value fails."""
+    return read_named_csv(spark, path, schemas.DAILY_FLOW)
 
 
 def active_days_from_lines(lines: DataFrame) -> DataFrame:
@@ -230,12 +247,14 @@ def read_named_csv(
 ) -> DataFrame:
     """CSV whose header names the columns, in any order and letter case, cast to ``columns``.
 
-    The header line alone is looked at; types are declared, not inferred.  Only the
+    Of several files each must have the same header, or the job fails.  Types are declared, not inferred.  Only the
     columns asked for are parsed.  ``yyyyMMdd`` days become dates.  Empty fields are
     NULL; a value of the wrong type fails the job or becomes NULL (``bad='null'``).
     """
     paths = path if isinstance(path, str) else list(path)
     raw = spark.read.option("header", True).csv(paths)
+    # Every file has to have this header: columns are found by their place in it.
+    raw = spark.read.schema(raw.schema).options(header=True, enforceSchema=False).csv(paths)
     present = {name.lower(): name for name in raw.columns}
     missing = [f.name for f in columns if f.name.lower() not in present]
     if missing:

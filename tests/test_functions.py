@@ -75,7 +75,8 @@ def test_strict_days(spark):
 
 
 def test_lenient_days_roll_over(spark):
-    values = ["20140301", "20140231", "20141301", "20140001", "20140300", "201403011", "20140301x", "x"]
+    values = ["20140301", "20140231", "20141301", "20140001", "20140300", "201403011", "20140301x", "x",
+              "201403010000", "20140301000001", "20140399999999999999"]
     got = evaluate(spark, lambda x: fn.parse_day(x, lenient=True), *values)
     assert got == [
         date(2014, 3, 1),
@@ -86,6 +87,9 @@ def test_lenient_days_roll_over(spark):
         date(2014, 3, 11),
         date(2014, 3, 1),
         None,
+        date(2041, 7, 16),
+        date(4752, 1, 27),
+        None,
     ]
 
 

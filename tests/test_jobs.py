@@ -88,30 +88,34 @@ def test_active_days_then_groups(spark, files, read_out):
     assert read_out(groups) == "双子座\t2\n狮子座\t2\n"
 
 
-def test_active_days_is_strict(spark, files):
+def test_active_days_is_strict_where_the_answer_depends_on_it(spark, files, write, read_out):
+    # A day with a purchase is active, whatever its redemption is.
+    jobs.run_active_days(spark, files["balance"], files["out"])
+    assert read_out(files["out"]) == "1\t3\n3\t2\n2\t1\n"
+    bad = write("bad.csv", BALANCE.replace("600,0,50.5,50,", "600,0,50.5,0,"))
     with pytest.raises(Exception):
-        jobs.run_active_days(spark, files["balance"], files["out"])
+        jobs.run_active_days(spark, bad, files["out"] + "-bad")
 
 
 def test_active_user_count(spark, files, read_out):
-    jobs.run_active_user_count(spark, files["balance"], files["out"], min_days=2)
+    jobs.run_active_user_count(spark, files["balance"], files["out"], month="201408", min_days=2)
     assert read_out(files["out"]) == "active_users\n1\n"
 
 
 def test_city_average_balance(spark, files, read_out):
-    jobs.run_city_average_balance(spark, files["balance"], files["profile"], files["out"])
+    jobs.run_city_average_balance(spark, files["balance"], files["profile"], files["out"], day="20140301")
     assert read_out(files["out"]) == "City,average_balance\r\n6281949,81.0\r\n6081949,80.0\r\n"
 
 
 def test_top_users_by_city(spark, files, read_out):
-    jobs.run_top_users_by_city(spark, files["clean"], files["profile"], files["out"], n=1)
+    jobs.run_top_users_by_city(spark, files["clean"], files["profile"], files["out"], first="20140801", last="20140831", n=1)
     assert read_out(files["out"]) == "City\tuser_id\ttotal_flow\n6081949\t1\t153\n6281949\t3\t30\n"
 
 
 def test_forecast(spark, write, files, read_out):
     days = "".join(f"2014{m:02d}{d:02d},{1000 + d},{500 + m}\n" for m in range(2, 9) for d in range(1, 29))
     daily = write("daily.csv", "report_date,total_purchase_amt,total_redeem_amt\n20130701,9,9\n" + days)
-    jobs.run_forecast(spark, daily, files["out"], train_first="20140201", train_last="20140831", horizon=3)
+    jobs.run_forecast(spark, daily, files["out"], train_first="20140201", train_last="20140831", start="20140901", horizon=3)
     got = read_out(files["out"]).splitlines()
     assert got[0] == "report_date,purchase,redeem"
     assert [line.split(",")[0] for line in got[1:]] == ["20140901", "20140902", "20140903"]
@@ -119,7 +123,7 @@ def test_forecast(spark, write, files, read_out):
 
 
 def test_command_line_knows_every_job():
-    options = _parser().parse_args(["top-users-by-city", "--balance", "b", "--profile", "p", "--out", "o", "--n", "5"])
+    options = _parser().parse_args(["top-users-by-city", "--balance", "b", "--profile", "p", "--out", "o", "--n", "5", "--first", "20140801", "--last", "20140831"])
     assert (options.job, options.n, options.first) == ("top-users-by-city", 5, "20140801")
     options = _parser().parse_args(["weekday-flow", "--daily", "d", "--out", "o", "--no-lenient"])
     assert options.lenient is False

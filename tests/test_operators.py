@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerbrook import operators as ops
+from ledgerbrook.operators import ranking
 from ledgerbrook.plans import count_and_rank, top_words
 
 
@@ -46,12 +47,12 @@ def test_global_rank_of_nothing_and_of_one(spark):
     assert rows(ops.global_rank(frame.where("n > 1"), order)) == []
 
 
-def test_top_k_short_and_long_agree(spark, monkeypatch):
+def test_top_k(spark):
     frame = spark.range(500).select(F.col("id").alias("k"), (F.col("id") % 7).alias("n"))
     order = [F.desc("n"), F.asc("k")]
     short = rows(ops.top_k(frame, order, 50).orderBy("rank"))
-    monkeypatch.setattr("ledgerbrook.operators.ranking.SINGLE_TASK_ROWS", 10)
-    assert rows(ops.top_k(frame, order, 50).orderBy("rank")) == short
+    everything = rows(ops.top_k(frame, order, 5000).orderBy("rank"))
+    assert everything[:50] == short and len(everything) == 500
     assert [r[2] for r in short] == list(range(1, 51))
     assert short[0] == (6, 6, 1)
 
@@ -263,11 +264,40 @@ def test_top_users_dataframe_and_sql_agree(spark, balance, profile):
     assert frame == [(10, 1, 27, 1), (10, 2, None, 2), (20, 3, 10, 1)]
 
 
-def test_top_users_plan_limits_groups_before_the_shuffle(balance, profile):
-    top = ops.top_users_by_city(balance, profile, "20140801", "20140831")
-    plan = top._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
-    assert "Python" not in plan
+def test_groups_are_cut_in_buckets_before_the_shuffle(spark):
+    frame = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"))
+    small = ranking._cut(frame, ["g"], [F.desc("k")], 3)._jdf.queryExecution().executedPlan().toString()
+    large = ranking._cut(frame, ["g"], [F.desc("k")], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert small.count("WindowGroupLimit") == 2
+    for plan in (small, large):
+        exchanges = [line for line in plan.splitlines() if "hashpartitioning(" in line]
+        assert exchanges and all("__bucket" in line for line in exchanges)
+
+
+def test_ranks_in_groups_join_on_partition_and_group(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.range(100).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"))
+        plan = ops.rank_in_groups(frame, "g", [F.desc("k")])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "hashpartitioning(" in line and "__pos" not in line]
+    assert "SinglePartition" not in plan and exchanges
+
+
+def test_sums_beyond_64_bits(spark):
+    big = 2**62
+    rows_ = [(1, "20140801", big, big, 0)] * 4
+    balance = spark.createDataFrame(
+        rows_, "user_id bigint, report_date string, tBalance bigint, total_purchase_amt bigint, total_redeem_amt bigint"
+    )
+    profile = spark.createDataFrame([(1, 7)], "user_id bigint, City bigint")
+    daily = ops.daily_flow(balance)
+    assert daily.first().total_purchase_amt == 4 * big
+    assert ops.weekday_flow(daily).first().avg_in == float(4 * big)
+    assert ops.city_average_balance(balance, profile).first().average_balance == float(big)
+    with pytest.raises(Exception):
+        ops.top_users_by_city(balance, profile, "20140801", "20140801").collect()
 
 
 # ---- forecast ----------------------------------------------------------------------

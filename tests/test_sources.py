@@ -247,3 +247,36 @@ def test_landed_months_are_pruned(spark, tmp_path):
     plan = august._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(report_month" in plan
     assert sources.read_landed_balance(spark, path).count() == 4
+
+
+def test_amounts_of_undated_daily_lines_are_not_looked_at(lines):
+    table = sources.daily_flow_from_lines(lines("date\tin,out", "20140801\t1.0,2.0"))
+    assert sorted(map(tuple, table.collect()), key=repr) == [("20140801", 1.0, 2.0), ("date", None, None)]
+    with pytest.raises(Exception):
+        sources.daily_flow_from_lines(lines("20140801\tin,out")).collect()
+
+
+def test_second_amount_is_read_only_where_needed(lines):
+    amounts = ("direct_purchase_amt", "total_redeem_amt")
+    rules = sources.FAIL_WHERE_NEEDED
+    table = sources.balance_from_lines(lines("1,20140801,0,0,0,5,,,", "2,20140801,0,0,0,0,0,0,3"), rules, amounts=amounts)
+    assert sorted(map(tuple, table.collect()), key=repr) == [
+        ("1", "20140801", 5.0, None), ("2", "20140801", 0.0, 3.0)
+    ]
+    with pytest.raises(Exception):
+        sources.balance_from_lines(lines("1,20140801,0,0,0,0,,,"), rules, amounts=amounts).collect()
+
+
+def test_repeated_header_needs_its_line(lines):
+    with pytest.raises(ValueError):
+        sources.balance_from_lines(lines("a"), sources.ZERO_BAD_VALUES)
+
+
+def test_named_csv_refuses_files_with_other_headers(spark, write):
+    from pyspark.sql import types as T
+
+    write("in/a.csv", "user_id,tBalance\n1,10\n")
+    path = write("in/b.csv", "tBalance,user_id\n200,2\n")
+    wanted = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("tBalance", T.LongType())])
+    with pytest.raises(Exception):
+        sources.read_named_csv(spark, path.rsplit("/", 1)[0], wanted).collect()
