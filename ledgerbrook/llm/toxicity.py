@@ -87,7 +87,7 @@ def _lexicon(sample: DataFrame) -> list[str]:
     """The words with the strongest tie to toxic labels: by the deviance of their two rates."""
     total = sample.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
     n1, n0 = total.toxic or 0, total.n - (total.toxic or 0)
-    seen = sample.select("toxic", F.explode(terms(F.col("text"))).alias("word"))
+    seen = sample.select("toxic", F.explode("words").alias("word"))
     seen = seen.groupBy("word").agg(F.sum("toxic").alias("k1"), F.count("*").alias("k"))
     k1, k0 = F.col("k1"), F.col("k") - F.col("k1")
     rate = F.col("k") / (n1 + n0)
@@ -110,38 +110,42 @@ def score(
     known = labels.select(F.col(f"`{id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic"))
     known = known.where(F.col("toxic").isNotNull() & ~fold("id"))
     known = known.orderBy(F.xxhash64("id"), "id", "toxic").limit(MAX_LABELLED).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    sample = rows.join(F.broadcast(known), "id").select("text", "toxic")
-    sample = sample.orderBy(F.xxhash64("text")).limit(MAX_LABELLED).withColumn("row", F.monotonically_increasing_id())
+    # One text for each labelled id, dealt out by id.
+    sample = rows.join(F.broadcast(known), "id").dropDuplicates(["id"])
+    sample = sample.select("text", "toxic", terms(F.col("text")).alias("words"), F.monotonically_increasing_id().alias("row"))
     sample = saved(sample, "labelled")
     lexicon = _lexicon(sample)
-    votes = [F.array_contains("words", word).cast("int") for word in lexicon] + patterns(F.coalesce("text", F.lit("")))
-    table_of_votes = sample.withColumn("words", terms(F.col("text"))).select("row", "toxic", F.array(*votes).alias("votes"))
-    cast = table_of_votes.toArrow()
+    entries = F.array(*map(F.lit, lexicon)).cast("array<string>")
+    found = F.array_intersect("words", entries)
+    cast = sample.select("row", "toxic", found.alias("found"), F.array(*patterns(F.coalesce("text", F.lit("")))).alias("ways")).toArrow()
     truth = cast["toxic"].to_numpy()
     share = float(truth.mean()) if len(truth) else 0.0
     out = [F.col("id").alias(id), fold("id").alias("held_out")]
     if not 0 < share < 1 or not lexicon:
         given = rows.withColumn("score", F.lit(share))
     else:
-        matrix = np.array(cast["votes"].to_pylist(), float)
-        silent = matrix[:, : len(lexicon)].sum(axis=1, keepdims=True) == 0
-        matrix = np.hstack([matrix[:, matrix.std(axis=0) > 0], silent])
+        place = {word: i for i, word in enumerate(lexicon)}
+        votes = np.zeros((len(truth), len(lexicon)))
+        for row, words in enumerate(cast["found"].to_pylist()):
+            votes[row, [place[word] for word in words]] = 1
+        matrix = np.hstack([votes, np.array(cast["ways"].to_pylist(), float)])
+        matrix = np.hstack([matrix[:, matrix.std(axis=0) > 0], votes.sum(axis=1, keepdims=True) == 0])
         posterior = label_model(matrix, truth)
         soft = table.sparkSession.createDataFrame(
             list(zip(cast["row"].to_pylist(), posterior.tolist())), "row bigint, posterior double"
         )
-        found = CountVectorizerModel.from_vocabulary(lexicon, "words", "features").setBinary(True)
-        taught = sample.join(F.broadcast(soft), "row").withColumn("words", terms(F.col("text")))
+        counted = CountVectorizerModel.from_vocabulary(lexicon, "words", "features").setBinary(True)
+        taught = sample.join(F.broadcast(soft), "row")
         sides = F.explode(
             F.array(
                 F.struct(F.lit(1.0).alias("label"), F.col("posterior").alias("weight")),
                 F.struct(F.lit(0.0).alias("label"), (1 - F.col("posterior")).alias("weight")),
             )
         ).alias("side")
-        taught = found.transform(taught).select("features", sides).select("features", "side.*").where("weight > 0.001")
+        taught = counted.transform(taught).select("features", sides).select("features", "side.*").where("weight > 0.001")
         taught = saved(taught, "taught")
-        learner = LogisticRegression(weightCol="weight", regParam=1e-3, standardization=False, maxIter=60)
+        learner = LogisticRegression(weightCol="weight", regParam=1e-3, standardization=False, maxIter=30)
         model = learner.fit(taught)
-        ready = found.transform(rows.withColumn("words", terms(F.col("text"))))
+        ready = counted.transform(rows.withColumn("words", terms(F.col("text"))))
         given = model.transform(ready).withColumn("score", vector_to_array("probability")[1])
     return given.select(*out, "score", (F.col("score") >= DECIDED).cast("int").alias("predicted"))
