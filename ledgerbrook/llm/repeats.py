@@ -49,6 +49,11 @@ class Shape(NamedTuple):
         """The longest stretch from an anchor that lies inside all its windows."""
         return self.window - self.spread + 1
 
+    @property
+    def block(self) -> int:
+        """Window starts that are first looked at together."""
+        return max(1, self.spread // 12)
+
 
 class Anchors(NamedTuple):
     """Places in a slice: its text, the anchor, the first and the last window start it owns."""
@@ -127,20 +132,21 @@ def scan(texts: DataFrame, shape: Shape, emit: Scan, schema: str) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-ANCHORS = "key bigint, low int, high int, core bigint, class bigint"
+ANCHORS = "key bigint, at int, low int, high int, core bigint, class bigint"
 
 
 def anchor_columns(
     batch: pa.RecordBatch, units: Units, sums: Sequences, found: Anchors, shape: Shape, core: int
 ) -> list[np.ndarray]:
-    """The columns of ``ANCHORS``: the key of the text, the first and last start (from the text's
-    start), the name of ``core`` units from the anchor on, and the name of the class."""
+    """The columns of ``ANCHORS``: the key of the text, the anchor, the first and last start (from the
+    text's start), the name of ``core`` units from the anchor on, and the name of the class."""
     key = batch.column(0).to_numpy(zero_copy_only=False)
     begin = units.first[found.text]
     whole = sums.stretch(found.low, found.high + shape.window)
     offsets = (found.at - found.low).astype(np.uint64) << np.uint64(32) | (found.high - found.low).astype(np.uint64)
     return [
         key[found.text],
+        (found.at - begin).astype(np.int32),
         (found.low - begin).astype(np.int32),
         (found.high - begin).astype(np.int32),
         signed(sums.stretch(found.at, found.at + core)),
@@ -166,35 +172,76 @@ def ready_to_move(texts: DataFrame, keys: np.ndarray | None = None) -> DataFrame
     return texts.mapInArrow(run, texts.schema)
 
 
+class Ranges(NamedTuple):
+    """Window starts of a slice, with their text, their key, and their place before the anchor."""
+
+    start: np.ndarray
+    text: np.ndarray
+    ahead: np.ndarray
+
+
+def _ranges(batch: pa.RecordBatch, units: Units) -> Ranges:
+    lists = batch.column(2)
+    items = lists.flatten()
+    text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+    at, low, high = (items.field(i).to_numpy() + units.first[text] for i in range(3))
+    count = high - low + 1
+    start = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+    return Ranges(start, np.repeat(text, count), np.repeat(at, count) - start)
+
+
+def _block_cores(found: Ranges, sums: Sequences, shape: Shape) -> np.ndarray:
+    """For each start, the name of what all windows of its block share.
+
+    Blocks are counted from the anchor, so equal windows lie in equal places of blocks with
+    the same core, also where a range holds only part of a block.
+    """
+    last = found.start + found.ahead % shape.block
+    return signed(sums.stretch(last, last - shape.block + 1 + shape.window))
+
+
 def _compared(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
-    """``name, key, start`` of every window of the wanted anchors (``key, low, high``)."""
-    ranges = wanted.groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+    """``name, key, start`` of the windows of the wanted anchors (``key, at, low, high``).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Windows whose block has a core found once are left out: they cannot be repeated.
+    """
+    ranges = wanted.groupBy("key").agg(F.collect_set(F.struct("at", "low", "high")).alias("ranges"))
+    some = ready_to_move(texts, bitmap(wanted.select("key").distinct(), F.col("key")))
+    joined = some.dropDuplicates(["key"]).join(ranges, "key").select("key", "text", "ranges")
+    joined = saved(joined, "compared")
+
+    def each(batches: Iterator[pa.RecordBatch]):
         for batch in slices(batches, "text", BYTE_SLICE // 3):
             bodies = pa.array([unpacked(body.as_py()) for body in batch.column(1)], pa.binary())
             units = units_of(texts_of(bodies), shape.unit)
             sums = Sequences(units.names)
-            lists = batch.column(2)
-            pairs = lists.flatten()
-            text = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            begin = units.first[text]
-            low = pairs.field(0).to_numpy() + begin
-            count = pairs.field(1).to_numpy() - pairs.field(0).to_numpy() + 1
-            start = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            owner = np.repeat(text, count)
+            found = _ranges(batch, units)
+            yield batch, units, sums, found, _block_cores(found, sums, shape)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, found, cores in each(batches):
+            # The first start of each block of a range.
+            number = (found.start + found.ahead) * shape.spread + found.ahead // shape.block
+            first = np.concatenate([[True], number[1:] != number[:-1]]) if len(number) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array((cores[first] >> 32).astype(np.int32))], names=["core"])
+
+    cores = joined.mapInArrow(blocks, "core int").groupBy("core").count().where("count > 1")
+    shipped = texts.sparkSession.sparkContext.broadcast(bitmap(cores, F.col("core").cast("bigint")))
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, units, sums, found, cores in each(batches):
+            keep = in_bitmap(shipped.value, cores >> 32)
+            start, text = found.start[keep], found.text[keep]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(sums.stretch(start, start + shape.window))),
-                    pa.array(batch.column(0).to_numpy(zero_copy_only=False)[owner]),
-                    pa.array((start - units.first[owner]).astype(np.int32)),
+                    pa.array(batch.column(0).to_numpy(zero_copy_only=False)[text]),
+                    pa.array((start - units.first[text]).astype(np.int32)),
                 ],
                 names=["name", "key", "start"],
             )
 
-    some = ready_to_move(texts, bitmap(wanted.select("key").distinct(), F.col("key")))
-    joined = some.dropDuplicates(["key"]).join(ranges, "key").select("key", "text", "ranges")
-    return joined.mapInArrow(run, "name bigint, key bigint, start int")
+    return joined.mapInArrow(windows, "name bigint, key bigint, start int")
 
 
 def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFrame:
@@ -202,7 +249,7 @@ def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFr
 
     ``anchors`` has the columns ``ANCHORS`` for at least all anchors whose core is found twice or more.
     """
-    one = F.min(F.struct("key", "low", "high")).alias("one")
+    one = F.min(F.struct("key", "at", "low", "high")).alias("one")
     classes = anchors.groupBy("class").agg(F.count("*").alias("n"), F.first("core").alias("core"), one)
     classes = saved(classes, "classes")
     sure = anchors.join(classes.where("n > 1").select("class"), "class", "left_semi")
