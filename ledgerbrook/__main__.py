@@ -33,7 +33,9 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     options = vars(_parser().parse_args(argv))
     run = JOBS[options.pop("job")]
-    run(build_session("ledgerbrook"), **options)
+    counts = run(build_session("ledgerbrook"), **options)
+    for what, n in (counts or {}).items():
+        print(f"{what}: {n}")
 
 
 if __name__ == "__main__":

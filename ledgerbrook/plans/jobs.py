@@ -1,4 +1,4 @@
-"""The ten jobs a user runs: paths in, files out.
+"""The jobs a user runs: paths in, files out.
 
 Each job is one lazy plan from reader to writer (the global rank and the forecast
 checkpoint once on the way).  ``JOBS`` maps the command-line names to them.
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as ops
 from .. import schemas, sinks, sources
+from ..functions import parse_day
 
 
 def count_and_rank(news: DataFrame, *, key: str = "stock") -> DataFrame:
@@ -58,9 +59,19 @@ def run_daily_flow(spark: SparkSession, balance: str, out: str, *, form: str = "
         sinks.write_lines(sinks.daily_flow_lines(daily.orderBy("report_date")), out)
 
 
-def run_weekday_flow(spark: SparkSession, daily: str, out: str, *, lenient: bool = True) -> None:
-    averages = ops.weekday_flow(sources.read_daily_flow(spark, daily), lenient=lenient)
+def run_weekday_flow(spark: SparkSession, daily: str, out: str, *, lenient: bool = True) -> dict[str, int]:
+    """Average flow per weekday; returns how many lines had no date."""
+    table = sources.read_daily_flow(spark, daily)
+    undated = parse_day(F.col("report_date"), lenient=lenient).isNull()
+    dated, seen = sources.count_rejects(table, undated, "undated")
+    averages = ops.weekday_flow(dated, lenient=lenient)
     sinks.write_lines(sinks.key_value_lines(averages, "weekday", ["avg_in", "avg_out"]), out)
+    return {"lines without a date": seen.get["rejected"]}
+
+
+def run_land_balance(spark: SparkSession, balance: str, out: str) -> None:
+    """A balance CSV (columns by name) as Parquet by month, for the city jobs' ``landed`` option."""
+    sinks.land_balance(sources.read_named_csv(spark, balance, schemas.BALANCE), out)
 
 
 def run_active_days(spark: SparkSession, balance: str, out: str) -> None:
@@ -85,21 +96,27 @@ def run_active_user_count(
     sinks.write_csv(ops.active_user_count(rows, month, min_days=min_days), out)
 
 
-def _city_tables(spark: SparkSession, balance: str, profile: str) -> tuple[DataFrame, DataFrame]:
+def _city_tables(
+    spark: SparkSession, balance: str, profile: str, first: str, last: str, landed: bool
+) -> tuple[DataFrame, DataFrame]:
     wanted = schemas.BALANCE["user_id"], schemas.BALANCE["report_date"]
     amounts = [schemas.BALANCE[n] for n in ("tBalance", "total_purchase_amt", "total_redeem_amt")]
     people = [schemas.PROFILE[n] for n in ("user_id", "City")]
     struct = type(schemas.BALANCE)
+    if landed:
+        rows = sources.read_landed_balance(spark, balance, first=first, last=last)
+    else:
+        rows = sources.read_named_csv(spark, balance, struct([*wanted, *amounts]))
     return (
-        sources.read_named_csv(spark, balance, struct([*wanted, *amounts])),
+        rows,
         sources.read_named_csv(spark, profile, struct(people)),
     )
 
 
 def run_city_average_balance(
-    spark: SparkSession, balance: str, profile: str, out: str, *, day: str
+    spark: SparkSession, balance: str, profile: str, out: str, *, day: str, landed: bool = False
 ) -> None:
-    averages = ops.city_average_balance(*_city_tables(spark, balance, profile), day=day)
+    averages = ops.city_average_balance(*_city_tables(spark, balance, profile, day, day, landed), day=day)
     sinks.write_csv(averages, out, crlf=True, order=[F.desc("average_balance"), "City"])
 
 
@@ -113,8 +130,10 @@ def run_top_users_by_city(
     last: str,
     n: int = 3,
     sep: str = "\t",
+    landed: bool = False,
 ) -> None:
-    top = ops.top_users_by_city(*_city_tables(spark, balance, profile), first, last, n=n)
+    tables = _city_tables(spark, balance, profile, first, last, landed)
+    top = ops.top_users_by_city(*tables, first, last, n=n)
     ordered = top.orderBy("City", "rank").select("City", "user_id", "total_flow")
     sinks.write_csv(ordered, out, sep=sep)
 
@@ -141,6 +160,7 @@ JOBS = {
     "top-words": run_top_words,
     "daily-flow": run_daily_flow,
     "weekday-flow": run_weekday_flow,
+    "land-balance": run_land_balance,
     "active-days": run_active_days,
     "active-days-by-group": run_active_days_by_group,
     "active-user-count": run_active_user_count,

@@ -136,6 +136,14 @@ def weekday_flow_from_text(spark, sf_dir):
     return ops.weekday_flow(sources.read_daily_flow(spark, path))
 
 
+@query(_WEEKDAYS.format(day="strptime(report_date, '%Y%m%d')", daily=f"({_DAILY})"))
+def weekday_flow_bad_dates(spark, sf_dir):
+    """Lines without a date between the others: their amounts are not looked at."""
+    lines = sinks.daily_flow_lines(_daily(spark, sf_dir))
+    bad = spark.range(3).select(F.lit("date\tin,out"))
+    return ops.weekday_flow(sources.daily_flow_from_lines(lines.union(bad)), lenient=True)
+
+
 def _end_of_month_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily flow in which every day of a month is called its 31st, which not all months have."""
     rows = data.lineitem_balance(spark, sf_dir).withColumn(
@@ -401,6 +409,13 @@ def top_users_by_city_sql(spark, sf_dir):
     return ops.top_users_by_city_sql(spark, *FLOW_MONTH)
 
 
+@query(_TOP_USERS.replace("<= 3", "<= 1500"))
+def top_users_by_city_1500(spark, sf_dir):
+    return ops.top_users_by_city(
+        data.orders_balance(spark, sf_dir), data.customer_profile(spark, sf_dir), *FLOW_MONTH, n=1500
+    )
+
+
 @query(
     f"""SELECT *, row_number() OVER (PARTITION BY City ORDER BY total_flow DESC NULLS LAST, user_id) AS rank
     FROM ({_FLOWS.format(where='')})"""
@@ -456,6 +471,11 @@ def top_words(spark, sf_dir):
     return rank_words(data.documents_news(spark, sf_dir), _stop_words(spark))
 
 
+@query(_TOP_WORDS.format(words=_WORDS.format(lines=_LINES), stop=_stop_list_sql()).replace("100", "5000"))
+def top_words_5000(spark, sf_dir):
+    return rank_words(data.documents_news(spark, sf_dir), _stop_words(spark), n=5000)
+
+
 @query(
     _TOP_WORDS.format(
         words=_WORDS.format(lines=f"SELECT * FROM ({_LINES}) WHERE line NOT LIKE '%,%'"),

@@ -127,4 +127,18 @@ def test_command_line_knows_every_job():
     assert (options.job, options.n, options.first) == ("top-users-by-city", 5, "20140801")
     options = _parser().parse_args(["weekday-flow", "--daily", "d", "--out", "o", "--no-lenient"])
     assert options.lenient is False
-    assert len(jobs.JOBS) == 10
+    assert len(jobs.JOBS) == 11
+
+
+def test_weekday_flow_counts_undated_lines(spark, write, files):
+    daily = write("daily", "date\tin,out\n20130701\t3.0,5.0\n")
+    assert jobs.run_weekday_flow(spark, daily, files["out"]) == {"lines without a date": 1}
+
+
+def test_landed_balance_gives_the_same_cities(spark, write, files, read_out):
+    whole = write("whole.csv", CLEAN.replace("5,50", "5"))
+    jobs.run_land_balance(spark, whole, files["out"] + "-landed")
+    days = {"first": "20140801", "last": "20140831", "n": 1}
+    for name, source, landed in (("a", whole, False), ("b", files["out"] + "-landed", True)):
+        jobs.run_top_users_by_city(spark, source, files["profile"], files["out"] + name, landed=landed, **days)
+    assert read_out(files["out"] + "a") == read_out(files["out"] + "b") != ""
