@@ -47,8 +47,9 @@ SIMILAR_PERCENT = 80
 FREQUENT = 32
 # What is counted: this share of a set's shingles, and all of a short text.
 COUNTED_PERCENT, COUNTED_SHORT = 30, 128
-# In regions up to this size every node becomes a pivot at once; in larger ones 1, 4, 16, ... by round.
-LEAF = 4
+# In regions up to this size every node becomes a pivot at once; in larger ones more with each round.
+LEAF = 8
+FIRST_PIVOTS, MORE_PIVOTS = 2, 16
 
 
 def shingles(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -256,23 +257,20 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     outer = outer.select("region", "node", "rest", F.coalesce("zone", F.lit(2)).alias("zone")).where("zone > 0")
     outer = outer.join(central.select("node", F.col("n").cast("int").alias("size")), "node")
     rows = inner.unionByName(outer)
-    many = 1
+    many, region = FIRST_PIVOTS, Window.partitionBy("region")
     while True:
-        rows = rows.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        bounds = rows.groupBy("region").agg(
-            F.count("*").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"), F.max("zone").alias("far")
-        )
-        rows = rows.join(bounds.where("low < high and far = 2").select("region", "m"), "region")
-        share = rows.groupBy("region", "c").agg(F.count("*").alias("share"))
-        rows = saved(rows.join(share, ["region", "c"]).join(central, "node"), "rest")
+        rows = rows.join(found, "node", "left").join(central, "node")
+        rows = rows.withColumn("c", F.coalesce("component", "node")).select(
+            "*", F.min("c").over(region).alias("low"), F.max("c").over(region).alias("high"),
+            F.max("zone").over(region).alias("far"), F.count("*").over(region).alias("m"),
+        ).where("low < high and far = 2")
+        number = F.row_number().over(region.orderBy(F.desc("central"), "node"))
+        kept = ("node", "size", "rest", "zone", "n", "c")
+        rows = saved(rows.select("region", *kept, "m", number.alias("k")), "rest")
         if rows.isEmpty():
             return found
-        number = F.row_number().over(Window.partitionBy("region").orderBy(F.desc("central"), "share", "node"))
-        pivots = rows.withColumn("k", number).where((F.col("k") <= many) | (F.col("m") <= LEAF))
-        many *= 4
-        kept = ("node", "c", "n", "size", "rest", "zone")
-        pivots = saved(pivots.select("region", *[F.col(x).alias(f"pivot_{x}") for x in kept]), "pivots")
-        rows = rows.select("region", *kept)
+        chosen = (F.col("k") <= many) | (F.col("m") <= LEAF)
+        pivots = rows.where(chosen).select("region", *[F.col(x).alias(f"pivot_{x}") for x in kept])
         # A pair that can link can do so with the rest from its first common shingle on.
         enough = 2 * (100 + percent) * F.least("rest", "pivot_rest") >= (100 + percent) * (
             F.col("size") + F.col("pivot_size")
@@ -283,12 +281,12 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         done = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
-            asked = saved(done.unionByName(pairs), "asked")
+            asked = done.unionByName(pairs)
             new = near_pairs(pairs, nodes, texts, size, percent, percent).select("a", "b")
             links = saved(links.unionByName(new), "links")
             found = components(links)
-        rows = rows.join(pivots.select("region", F.col("pivot_node").alias("node")), ["region", "node"], "left_anti")
-        rows = rows.select("region", "node", "size", "rest", "zone")
+        rows = rows.where(~chosen).select("region", "node", "size", "rest", "zone")
+        many *= MORE_PIVOTS
 
 
 def jaccard_components(
