@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import Sequences, mix, signed, slices, texts_of, words_of
-from .tables import bitmap, components, in_bitmap, saved
+from .tables import bitmap, components, in_bitmap, release, saved
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
@@ -219,6 +219,7 @@ def near_pairs(
 
 def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component`` of all nodes that link with another."""
+    release(sets.sparkSession)
     filled = sets.where("n > 0")
     nodes = filled.groupBy("node").agg(*[F.min(c).alias(c) for c in ("n", "sketch", "text_hash")])
     nodes = saved(nodes, "nodes")
@@ -231,6 +232,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     # The original of many near copies lies in larger regions than they do, who have parts of their own.
     central = rows.groupBy("node").agg(F.avg("m").alias("central")).join(nodes.select("node", "n"), "node")
     central = saved(central, "central")
+    release(sets.sparkSession)
     placed = rows.select("region", "node", "rest").join(central, "node")
     middle = placed.groupBy("region").agg(F.max_by("node", F.struct("central", "node")).alias("pivot"))
     rows = saved(rows.join(middle, "region").select("region", "node", "rest", "pivot"), "regions")
@@ -267,6 +269,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         number = F.row_number().over(region.orderBy(F.desc("central"), "node"))
         kept = ("node", "size", "rest", "zone", "n", "c")
         rows = saved(rows.select("region", *kept, "m", number.alias("k")), "rest")
+        release(sets.sparkSession)
         if rows.isEmpty():
             return found
         chosen = (F.col("k") <= many) | (F.col("m") <= LEAF)

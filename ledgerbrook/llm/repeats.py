@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import Sequences, Texts, mix, packed, signed, slices, texts_of, unpacked, words_of
-from .tables import bitmap, in_bitmap, saved
+from .tables import bitmap, in_bitmap, release, saved
 
 BYTE_SLICE = 1 << 20
 _BYTE_NAMES = mix(np.arange(1, 257, dtype=np.uint64))
@@ -249,6 +249,7 @@ def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFr
 
     ``anchors`` has the columns ``ANCHORS`` for at least all anchors whose core is found twice or more.
     """
+    release(texts.sparkSession)
     one = F.min(F.struct("key", "at", "low", "high")).alias("one")
     classes = anchors.groupBy("class").agg(F.count("*").alias("n"), F.first("core").alias("core"), one)
     classes = saved(classes, "classes")
@@ -257,7 +258,9 @@ def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFr
     open_cores = classes.groupBy("core").agg(F.count("*").alias("classes"), F.min("n").alias("least"))
     open_cores = open_cores.where("classes > 1 and least = 1").select("core")
     wanted = saved(classes.join(open_cores, "core", "left_semi").select("one.*"), "wanted")
+    release(texts.sparkSession)
     windows = saved(_compared(texts, wanted, shape), "windows")
+    release(texts.sparkSession)
     twice = windows.groupBy("name").count().where("count > 1").select("name")
     found = windows.join(twice, "name", "left_semi")
     found = found.select("key", "start", (F.col("start") + shape.window).alias("end"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_shared_path
@@ -16,6 +18,16 @@ def saved(table: DataFrame, label: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files of finished steps.
+
+    Spark does so once the driver has collected the plans they belong to, which on an idle driver
+    may be long after; a job of many steps would keep all their files until its end.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 BITMAP_BITS = 24
 
 
