@@ -7,9 +7,9 @@ share its count gives it (one more for each, and one for the unknown).  A gated
 predicts the class and, for frequent words, the word in its class:
 P(word) = P(class | state) * P(word | class, state).
 
-Training is truncated backpropagation through time in numpy, on a share of the training texts
-that follows the corpus (``TRAIN_SHARE``).  Every partition trains its own copy and Spark averages
-the copies, block by block, for ``ROUNDS`` rounds.  Scoring steps through the texts of an Arrow
+Training is truncated backpropagation through time in numpy, on every training text in each of
+``ROUNDS`` rounds.  Every partition trains its own copy and Spark averages the copies, block by
+block, after each round.  Scoring steps through the texts of an Arrow
 batch side by side, in windows; the state is carried from window to window to a text's end.
 
 Counts that do not fit the broadcast table of frequent words (a fixed number of entries) are joined
@@ -31,18 +31,16 @@ from pyspark.sql import functions as F
 from .arrays import Texts, mix, slices, texts_of, words_of
 from .tables import saved
 
-STATE = 16
+STATE = 24
 PER_CLASS, FREQUENT_CLASSES = 32, 32
-RARE_CLASSES = 32
+RARE_CLASSES = 64
 CLASSES = FREQUENT_CLASSES + RARE_CLASSES
 PLACES = PER_CLASS * FREQUENT_CLASSES  # ids of frequent words; rare classes follow
 
 # Words with a broadcast count (12 bytes each).
 TABLE_WORDS = 1 << 19
-# One training text in so many is used for gradients.
-TRAIN_SHARE = 64
 ROUNDS = 2
-BATCH_TEXTS, WINDOW = 128, 16
+BATCH_TEXTS, WINDOW = 32, 16
 SCORE_WINDOW = 32
 RATE = 0.01
 CHUNK = 1 << 14  # tokens whose outputs are computed at once
@@ -200,6 +198,12 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 def log_likelihood(model: dict, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural logarithms of P(class) and, for frequent words, P(word | class)."""
     out = np.empty(len(ids), np.float64)
@@ -225,55 +229,84 @@ def gradients(model: dict, state: np.ndarray, ids: np.ndarray, live: np.ndarray)
 
     ``live`` masks the steps past a text's end.  Nothing flows back beyond the window.
     """
-    steps = ids.shape[1]
+    n, steps = ids.shape
+    full = live.all(axis=0)
     states, ways = [state], []
     for t in range(steps):
         after, *way = step(model, states[-1], ids[:, t])
-        states.append(np.where(live[:, t, None], after, states[-1]))
+        states.append(after if full[t] else np.where(live[:, t, None], after, states[-1]))
         ways.append(way)
-    grads = {name: np.zeros_like(value) for name, value in model.items()}
+    before, grads = np.concatenate(states[:-1]), {}
+    # Back through the two softmaxes, for all steps at once.
+    on = np.flatnonzero(live.T.ravel())
+    some, h = ids.T.ravel()[on], before[on]
+    frequent = some < PLACES
+    cls = np.where(frequent, some // PER_CLASS, some - PLACES + FREQUENT_CLASSES)
+    out = _softmax(h @ model["classes"] + model["class_bias"])
+    out[np.arange(len(some)), cls] -= 1
+    grads["classes"] = h.T @ out
+    grads["class_bias"] = out.sum(axis=0)
+    from_outputs = np.zeros_like(before)
+    from_outputs[on] = out @ model["classes"].T
+    order = np.flatnonzero(frequent)
+    order = order[np.argsort(cls[order], kind="stable")]
+    ends = np.searchsorted(cls[order], np.arange(FREQUENT_CLASSES + 1))
+    parts = [(c, slice(ends[c], ends[c + 1])) for c in range(FREQUENT_CLASSES) if ends[c] < ends[c + 1]]
+    h = h[order]
+    inside = model["member_bias"][cls[order]]
+    for c, at in parts:
+        inside[at] += h[at] @ model["members"][c]
+    inside = _softmax(inside)
+    inside[np.arange(len(order)), some[order] % PER_CLASS] -= 1
+    grads["members"] = np.zeros_like(model["members"])
+    grads["member_bias"] = np.zeros_like(model["member_bias"])
+    from_members = np.empty_like(h)
+    for c, at in parts:
+        grads["members"][c] = h[at].T @ inside[at]
+        grads["member_bias"][c] = inside[at].sum(axis=0)
+        from_members[at] = inside[at] @ model["members"][c].T
+    from_outputs[on[order]] += from_members
+    # Back through the unit.
+    from_outputs = from_outputs.reshape(steps, n, STATE)
+    d_given = np.empty((steps, n, 3 * STATE), before.dtype)
+    d_inners = np.empty((steps, n, STATE), before.dtype)
+    gates_back, fresh_back = model["gates"].T.copy(), model["fresh"].T.copy()
     down = np.zeros_like(state)
     for t in reversed(range(steps)):
-        some, h, on = ids[:, t], states[t], live[:, t]
-        # Back through the unit.
         keep, reset, inner, fresh = ways[t]
-        d = np.where(on[:, None], down, 0)
-        d_fresh = d * (1 - keep) * (1 - fresh**2)
-        d_keep = d * (h - fresh) * keep * (1 - keep)
-        d_reset = d_fresh * inner * reset * (1 - reset)
-        d_gates = np.concatenate([d_keep, d_reset], axis=1)
-        d_inner = d_fresh * reset
-        np.add.at(grads["into"], some, np.concatenate([d_gates, d_fresh], axis=1))
-        grads["gates"] += h.T @ d_gates
-        grads["fresh"] += h.T @ d_inner
-        down = np.where(on[:, None], d * keep + d_gates @ model["gates"].T + d_inner @ model["fresh"].T, down)
-        # Back through the two softmaxes.
-        frequent = some < PLACES
-        cls = np.where(frequent, some // PER_CLASS, some - PLACES + FREQUENT_CLASSES)
-        out = np.exp(_log_softmax(h @ model["classes"] + model["class_bias"]))
-        out[np.arange(len(some)), cls] -= 1
-        out *= on[:, None]
-        grads["classes"] += h.T @ out
-        grads["class_bias"] += out.sum(axis=0)
-        down = down + out @ model["classes"].T
-        for c in np.unique(cls[frequent & on]):
-            at = np.flatnonzero((cls == c) & frequent & on)
-            inside = np.exp(_log_softmax(h[at] @ model["members"][c] + model["member_bias"][c]))
-            inside[np.arange(len(at)), some[at] % PER_CLASS] -= 1
-            grads["members"][c] += h[at].T @ inside
-            grads["member_bias"][c] += inside.sum(axis=0)
-            down[at] += inside @ model["members"][c].T
+        d = down if full[t] else np.where(live[:, t, None], down, 0)
+        d_fresh = d * (1 - keep) * (1 - fresh * fresh)
+        d_given[t, :, :STATE] = d * (states[t] - fresh) * keep * (1 - keep)
+        d_given[t, :, STATE : 2 * STATE] = d_fresh * inner * reset * (1 - reset)
+        d_given[t, :, 2 * STATE :] = d_fresh
+        d_inners[t] = d_fresh * reset
+        passed = d * keep + d_given[t, :, : 2 * STATE] @ gates_back + d_inners[t] @ fresh_back
+        down = (passed if full[t] else np.where(live[:, t, None], passed, down)) + from_outputs[t]
+    d_given = d_given.reshape(steps * n, 3 * STATE)
+    grads["gates"] = before.T @ d_given[:, : 2 * STATE]
+    grads["fresh"] = before.T @ d_inners.reshape(steps * n, STATE)
+    rows = ids.T.ravel()
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    grads["into"] = np.zeros_like(model["into"])
+    grads["into"][rows[cut]] = np.add.reduceat(d_given[order], cut, axis=0)
     return grads, states[-1]
 
 
 def train(model: dict, texts: list[np.ndarray]) -> dict:
-    """One pass of truncated backpropagation over texts (their ids), with Adam."""
-    model = {name: value.copy() for name, value in model.items()}
-    mean = {name: np.zeros_like(value) for name, value in model.items()}
-    square = {name: np.zeros_like(value) for name, value in model.items()}
+    """One pass of truncated backpropagation over all texts (their ids), with Adam.
+
+    Texts of about the same length make a batch; batches come in random order.
+    """
+    flat = _flat(model)
+    model = _shaped(flat, model)  # parts of ``flat``, which the updates change
+    mean, square = np.zeros_like(flat), np.zeros_like(flat)
     updates = 0
-    for low in range(0, len(texts), BATCH_TEXTS):
-        some = sorted(texts[low : low + BATCH_TEXTS], key=len, reverse=True)
+    texts = sorted(texts, key=len, reverse=True)
+    starts = np.arange(0, len(texts), BATCH_TEXTS)
+    for low in np.random.default_rng(len(texts)).permutation(starts).tolist():
+        some = texts[low : low + BATCH_TEXTS]
         lengths = np.array([len(t) for t in some])
         state = np.zeros((len(some), STATE), np.float32)
         for start in range(0, int(lengths[0]), WINDOW):
@@ -285,25 +318,31 @@ def train(model: dict, texts: list[np.ndarray]) -> dict:
             live = start + np.arange(WINDOW) < lengths[:on, None]
             grads, state = gradients(model, state[:on], ids, live)
             updates += 1
-            scale = 1 / live.sum()
-            for name, grad in grads.items():
-                grad *= scale
-                mean[name] += 0.1 * (grad - mean[name])
-                square[name] += 0.01 * (grad**2 - square[name])
-                step_mean = mean[name] / (1 - 0.9**updates)
-                step_square = square[name] / (1 - 0.99**updates)
-                model[name] -= RATE * step_mean / (np.sqrt(step_square) + 1e-6)
+            grad = _flat(grads)
+            grad *= np.float32(1 / live.sum())
+            mean *= np.float32(0.9)
+            mean += np.float32(0.1) * grad
+            grad *= grad
+            square *= np.float32(0.99)
+            grad *= np.float32(0.01)
+            square += grad
+            np.sqrt(square, out=grad)
+            grad *= np.float32(1 / math.sqrt(1 - 0.99**updates))
+            grad += np.float32(1e-6)
+            np.divide(mean, grad, out=grad)
+            grad *= np.float32(RATE / (1 - 0.9**updates))
+            flat -= grad
     return model
 
 
 def _flat(model: dict) -> np.ndarray:
-    return np.concatenate([model[name].ravel() for name in sorted(model)]).astype(np.float32)
+    return np.concatenate([model[name].ravel() for name in sorted(model)]).astype(np.float32, copy=False)
 
 
 def _shaped(flat: np.ndarray, like: dict) -> dict:
     made, at = {}, 0
     for name in sorted(like):
-        made[name] = flat[at : at + like[name].size].reshape(like[name].shape).astype(np.float32)
+        made[name] = flat[at : at + like[name].size].reshape(like[name].shape)
         at += like[name].size
     return made
 
@@ -322,10 +361,10 @@ def _averaged(copies: DataFrame) -> DataFrame:
     return lots.groupBy("block").applyInArrow(add, schema)
 
 
-def trained_model(sample: DataFrame, words: Vocabulary) -> dict:
-    """The model after ``ROUNDS`` rounds of local training and averaging over the partitions of a sample."""
+def trained_model(texts: DataFrame, words: Vocabulary) -> dict:
+    """The model after ``ROUNDS`` rounds of local training on all texts and averaging over their partitions."""
     model = new_model(words)
-    spark = sample.sparkSession
+    spark = texts.sparkSession
     shipped_words = spark.sparkContext.broadcast(words)
     for _ in range(ROUNDS):
         shipped = spark.sparkContext.broadcast(model)
@@ -353,7 +392,7 @@ def trained_model(sample: DataFrame, words: Vocabulary) -> dict:
                 )
 
         lot = (F.spark_partition_id() % 64).alias("lot")
-        copies = sample.select("text", lot).mapInArrow(run, "block int, lot int, weight double, numbers binary")
+        copies = texts.select("text", lot).mapInArrow(run, "block int, lot int, weight double, numbers binary")
         blocks = sorted(_averaged(copies).collect(), key=lambda row: row.block)  # the model's fixed size
         if blocks:
             model = _shaped(np.concatenate([np.frombuffer(row.numbers, np.float32) for row in blocks]), model)
@@ -405,10 +444,8 @@ def score(table: DataFrame, *, id: str = "doc_id", text: str = "text", folds: in
     learned = rows.where(~F.col("held_out"))
     counted = saved(counts(learned.select("text")), "counts")
     words = vocabulary(counted)
-    chosen = F.pmod(F.xxhash64("id", "text"), F.lit(TRAIN_SHARE)) == 0
-    sample = saved(learned.where(chosen).select("text"), "sample")
     share = table.sparkSession.sparkContext.broadcast
-    shipped = share((words, trained_model(sample, words)))
+    shipped = share((words, trained_model(learned.select("text"), words)))
     kind = table.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

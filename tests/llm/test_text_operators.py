@@ -339,6 +339,13 @@ def test_lm_base_scores(monkeypatch, table, rows, held_words):
     assert {k: sorted(x) for k, x in got.items()} == {k: sorted(x) for k, x in want.items()}
 
 
+def test_lm_learns_from_a_few_texts(spark):
+    cycle = [f"w{i}" for i in range(8)]
+    texts = [(i, " ".join(cycle[(i + j) % 8] for j in range(120 + i))) for i in range(96)]
+    got = lm.score(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(1)).where("held_out").collect()
+    assert len(got) >= 8 and sum(r.score for r in got) > 0.5 * sum(r.base_score for r in got)
+
+
 def test_lm_gradients_and_carried_state():
     draw = np.random.default_rng(0)
     words = lm.Vocabulary(
