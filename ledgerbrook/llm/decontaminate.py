@@ -3,7 +3,8 @@
 A seed is the hash of the words at the ``1`` places of a mask; words at its ``0`` places are
 ignored, so a seed survives substitutions there.  Seeds of the training texts are tested
 against a bitmap of the benchmark's seeds (of fixed size, only a prefilter), what is left is joined to the
-benchmark's seeds, and a hit fixes an alignment of text and item.  Along the alignment the
+benchmark's seeds, and a hit fixes an alignment of text and item.  The whole
+item along the alignment is a leak when enough of its words are equal.  If not, the
 overlap is extended both ways while substitutions are few, and counts as a leak when it is
 long and alike enough.
 
@@ -141,6 +142,10 @@ def _verified(rows: DataFrame) -> DataFrame:
                     item = np.array(pair["words"], np.int64)
                     low, high = max(0, pair["shift"]), min(len(own), pair["shift"] + len(item))
                     equal = own[low:high] == item[low - pair["shift"] : high - pair["shift"]]
+                    same = int(equal.sum())
+                    if len(equal) and 100 * same >= EQUAL_PERCENT * len(item):  # the whole item
+                        out.append((key, pair["item"], len(equal), same, low, len(item)))
+                        continue
                     a, b = overlap(equal)
                     same = int(equal[a:b].sum())
                     least = min(len(item), max(MIN_WORDS, -(-MIN_ITEM_PERCENT * len(item) // 100)))

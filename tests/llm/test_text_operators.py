@@ -194,6 +194,22 @@ def test_leaks_with_substitutions(spark):
     assert decontaminate.clean(table, benchmark.limit(0)).count() == len(docs)
 
 
+def test_leaks_of_short_items_changed_near_their_ends(spark):
+    draw = random.Random(10)
+    items, docs = [], []
+    for i, (size, changed) in enumerate([(15, [3]), (18, [3, 16]), (14, [2]), (13, [1]), (11, [2]), (12, [12])]):
+        words = [f"i{i}w{j}" for j in range(size)]
+        items.append((i, " ".join(words)))
+        for place in changed:
+            words[place - 1] = "changed"
+        docs.append((i, " ".join([sentence(draw, 30, 3000), *words, sentence(draw, 30, 3000)])))
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = decontaminate.leaks(table, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.n_overlap, r.n_equal, r.start) for r in found} == {
+        (0, 0, 15, 14, 30), (1, 1, 18, 16, 30), (2, 2, 14, 13, 30), (3, 3, 13, 12, 30), (4, 4, 11, 10, 30), (5, 5, 12, 11, 30)
+    }
+
+
 # ---- 6
 
 
