@@ -6,7 +6,8 @@ against a bitmap of the benchmark's seeds (of fixed size, only a prefilter), wha
 benchmark's seeds, and a hit fixes an alignment of text and item.  The whole
 item along the alignment is a leak when enough of its words are equal.  If not, the
 overlap is extended both ways while substitutions are few, and counts as a leak when it is
-long and alike enough.
+long and alike enough, however long the item.  Words put in or left out split a copy into several
+alignments; what they hold of the item is added up.
 
 Words are compared in lower case and without ASCII punctuation.  Null texts and items have no
 words; an item shorter than the masks' span is no evidence and never reported.  Several rows with
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import mix, signed, slices, texts_of, unpacked, words_of
+from .arrays import mix, runs, signed, slices, texts_of, unpacked, words_of
 from .repeats import keyed, ready_to_move
 from .tables import bitmap, in_bitmap, saved
 
@@ -32,7 +33,6 @@ SPAN = 10
 
 # An overlap counts from this length on, or as a whole item, and with this share of equal words.
 MIN_WORDS = 13
-MIN_ITEM_PERCENT = 50
 EQUAL_PERCENT = 70
 # Extension: a substitution costs two equal words; it ends this far below the best.
 SUBSTITUTION, DROP = 2, 6
@@ -128,6 +128,53 @@ def overlap(equal: np.ndarray) -> tuple[int, int]:
     return best_at
 
 
+def longest(equal: np.ndarray) -> tuple[int, int]:
+    """The longest stretch that begins and ends with an equal word and has enough of them."""
+    at = np.flatnonzero(equal)
+    if not len(at):
+        return 0, 0
+    # Stretch i to j is alike enough if value[j] - value[i] is EQUAL_PERCENT - 100 or more.
+    value = 100 * np.arange(len(at)) - EQUAL_PERCENT * at
+    ahead = np.maximum.accumulate(value[::-1])  # ahead[n - 1 - j]: the most from j on
+    last = len(at) - 1 - np.searchsorted(ahead, value + EQUAL_PERCENT - 100)
+    i = int(np.argmax(at[last] - at))
+    return int(at[i]), int(at[last[i]]) + 1
+
+
+def dense(equal: np.ndarray) -> np.ndarray:
+    """The equal words inside windows of the masks' span that are alike enough."""
+    sums = np.concatenate([[0], np.cumsum(equal)])
+    start = np.flatnonzero(100 * (sums[SPAN:] - sums[:-SPAN]) >= EQUAL_PERCENT * SPAN)
+    return equal & runs(len(equal), start, start + SPAN)
+
+
+def judged(own: np.ndarray, item: np.ndarray, shifts: list[int]) -> tuple[int, int, int] | None:
+    """Length, equal words and start in the text of the best overlap that is a leak, over all alignments.
+
+    An alignment is one as a whole item or by a stretch of ``MIN_WORDS``, however long the item.  Else
+    what all alignments hold of the item is added up, as words put in or left out move the rest of a copy.
+    """
+    best, covered, start = None, np.zeros(len(item), bool), len(own)
+    for shift in shifts:
+        low, high = max(0, shift), min(len(own), shift + len(item))
+        equal = own[low:high] == item[low - shift : high - shift]
+        same = int(equal.sum())
+        if same and 100 * same >= EQUAL_PERCENT * len(item):
+            found = [(same, len(equal), -low)]
+        else:
+            found = [(int(equal[a:b].sum()), b - a, -(low + a)) for a, b in (overlap(equal), longest(equal))]
+            found = [x for x in found if x[1] >= MIN_WORDS and 100 * x[0] >= EQUAL_PERCENT * x[1]][:1]
+        best = max([*found, *([best] if best else [])], default=None)
+        held = dense(equal)
+        if held.any():
+            covered[low - shift : high - shift] |= held
+            start = min(start, low + int(held.argmax()))
+    same = int(covered.sum())
+    if 100 * same >= EQUAL_PERCENT * len(item) and (best is None or same > best[0]):
+        best = same, len(item), -start
+    return (best[1], best[0], -best[2]) if best else None
+
+
 def _verified(rows: DataFrame) -> DataFrame:
     """Leaks among aligned pairs; a row is a text with its alignments."""
 
@@ -138,19 +185,12 @@ def _verified(rows: DataFrame) -> DataFrame:
             out: list[tuple] = []
             for i, (key, aligned) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2))):
                 own = signed(words.hash[words.first[i] : words.first[i + 1]])
+                pairs: dict = {}
                 for pair in aligned.as_py():
-                    item = np.array(pair["words"], np.int64)
-                    low, high = max(0, pair["shift"]), min(len(own), pair["shift"] + len(item))
-                    equal = own[low:high] == item[low - pair["shift"] : high - pair["shift"]]
-                    same = int(equal.sum())
-                    if len(equal) and 100 * same >= EQUAL_PERCENT * len(item):  # the whole item
-                        out.append((key, pair["item"], len(equal), same, low, len(item)))
-                        continue
-                    a, b = overlap(equal)
-                    same = int(equal[a:b].sum())
-                    least = min(len(item), max(MIN_WORDS, -(-MIN_ITEM_PERCENT * len(item) // 100)))
-                    if b - a >= least and 100 * same >= EQUAL_PERCENT * (b - a):
-                        out.append((key, pair["item"], b - a, same, low + a, len(item)))
+                    pairs.setdefault(pair["item"], (pair["words"], []))[1].append(pair["shift"])
+                for item, (item_words, shifts) in pairs.items():
+                    if leak := judged(own, np.array(item_words, np.int64), sorted(shifts)):
+                        out.append((key, item, *leak, len(item_words)))
             kinds = [pa.int64()] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 6, kinds)],

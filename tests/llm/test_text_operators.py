@@ -210,6 +210,29 @@ def test_leaks_of_short_items_changed_near_their_ends(spark):
     }
 
 
+def test_leaks_of_parts_and_of_split_copies(spark):
+    draw = random.Random(11)
+    words = [[f"i{i}w{j}" for j in range(size)] for i, size in enumerate([59, 200, 60, 33, 40])]
+    split_copy = lambda w, at: [*w[:at], "added", *w[at : 2 * at], "more", *w[2 * at :]]
+    weak = [w if i % 10 else "changed" for i, w in enumerate(words[4][5:18])]
+    parts = [words[0][20:49], words[1][50:149], split_copy(words[2], 20), split_copy(words[3], 11), weak, words[4][:12]]
+    docs = [(i, " ".join([sentence(draw, 30, 3000), *w, sentence(draw, 30, 3000)])) for i, w in enumerate(parts)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(words)], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.n_overlap, r.n_equal, r.start) for r in decontaminate.leaks(table, benchmark).collect()}
+    assert found == {(0, 0): (29, 29, 30), (1, 1): (99, 99, 30), (2, 2): (60, 60, 30), (3, 3): (33, 33, 30)}
+
+
+def test_longest_stretch():
+    draw = np.random.default_rng(4)
+    for _ in range(200):
+        equal = draw.random(draw.integers(0, 30)) < 0.6
+        ends = [(b - a, -a) for a in range(len(equal)) for b in range(a + 1, len(equal) + 1)
+                if equal[a] and equal[b - 1] and 100 * equal[a:b].sum() >= decontaminate.EQUAL_PERCENT * (b - a)]
+        a, b = decontaminate.longest(equal)
+        assert (b - a, -a) == max(ends, default=(0, 0))
+
+
 # ---- 6
 
 
