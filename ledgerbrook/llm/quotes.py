@@ -4,7 +4,7 @@ A line that starts with ``>`` quotes; the number of marks is its level.  The lin
 own.  Every line is normalised (marks off, lower case, runs of blanks as one) and hashed.  A
 quoted line is joined, within its conversation, to the first message that wrote it as
 its own line, if that is an earlier turn.  The message quoted most at the shallowest level becomes the *parent*;
-messages without one open a thread.  A conversation is ordered by its threads: a reply follows the
+messages without one open a thread.  Quotes that found their origin go from the content, others stay.  A conversation is ordered by its threads: a reply follows the
 message it answers, siblings by turn.
 
 For each line of a conversation only the first writer is kept (a minimum, added up before the
@@ -32,19 +32,28 @@ def level(line: Column) -> Column:
     return F.regexp_count(F.regexp_extract(line, _MARKS, 0), F.lit(">"))
 
 
-def own_text(text: Column) -> Column:
-    """The lines without a quote mark; blank lines that quotes leave at both ends go."""
-    lines = F.filter(F.split(text, "\n"), lambda line: ~line.rlike(_MARKS))
+def own_text(text: Column, linked: Column) -> Column:
+    """The lines but for quotes that found their origin; blank lines that these leave at both ends go.
+
+    ``linked`` has the hashes of such quotes; with any, blank quoted lines go, too.
+    """
+    gone = lambda line: line.rlike(_MARKS) & (
+        (normalised(line) == "") & (F.size(linked) > 0) | F.array_contains(linked, F.xxhash64(normalised(line)))
+    )
+    lines = F.filter(F.split(text, "\n"), lambda line: ~gone(line))
     return F.regexp_replace(F.array_join(lines, "\n"), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
 def _parents(lines: DataFrame) -> DataFrame:
-    """``conv, turn, parent``: the earlier message quoted most by each message with a found quote."""
+    """``conv, turn, parent, linked``: the earlier message quoted most by each message with a found quote,
+    and the hashes of all its found quotes."""
     own = lines.where("level = 0").groupBy("conv", "hash").agg(F.min("turn").alias("origin"))
     quoted = lines.where("level > 0").join(own, ["conv", "hash"]).where("origin < turn")
-    votes = quoted.groupBy("conv", "turn", "origin").agg(F.min("level").alias("level"), F.count("*").alias("n"))
+    votes = quoted.groupBy("conv", "turn", "origin").agg(
+        F.min("level").alias("level"), F.count("*").alias("n"), F.collect_set("hash").alias("found")
+    )
     best = F.min_by("origin", F.struct("level", -F.col("n"), -F.col("origin")))
-    return votes.groupBy("conv", "turn").agg(best.alias("parent"))
+    return votes.groupBy("conv", "turn").agg(best.alias("parent"), F.flatten(F.collect_list("found")).alias("linked"))
 
 
 def _paths(parents: DataFrame) -> DataFrame:
@@ -87,7 +96,8 @@ def threads(
         paths.alias("p"), F.expr("m.conv <=> p.conv and m.turn <=> p.turn"), "left"
     )
     path = F.coalesce("p.path", F.array().cast("array<bigint>"))
-    content = F.concat(F.lit("<|"), F.coalesce("m.role", F.lit("")), F.lit("|>\n"), own_text(F.col("m.text")), F.lit("\n"))
+    linked = F.coalesce("p.linked", F.array().cast("array<bigint>"))
+    content = F.concat(F.lit("<|"), F.coalesce("m.role", F.lit("")), F.lit("|>\n"), own_text(F.col("m.text"), linked), F.lit("\n"))
     return joined.select(
         F.col("m.conv").alias(conv),
         F.col("m.turn").alias(turn),

@@ -260,6 +260,15 @@ def test_threads_without_quotes(spark):
 # ---- 7
 
 
+def test_quotes_without_origin_stay(spark):
+    rows = [(1, 0, "user", "First line\nsecond"), (1, 1, "user", "> from elsewhere\n> \nreply"),
+            (1, 2, "user", "> first  LINE\n>\n> from elsewhere\nboth")]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.turn: (r.parent_turn, r.content) for r in quotes.threads(table).collect()}
+    assert got[1] == (None, "<|user|>\n> from elsewhere\n> \nreply\n")
+    assert got[2] == (0, "<|user|>\n> from elsewhere\nboth\n")
+
+
 def test_url_rules_and_trees(spark):
     urls = [
         "https://a.example.org/es/1", "https://example.org/en/12", "https://x.ORG/en/1", "https://b.com/fr/2?x=1",
