@@ -1,12 +1,10 @@
-"""Suffix-array dedup of bytes by distributed prefix doubling.
-
-Ranked are the suffixes that start at anchors (see ``repeats``: every 200-byte string has one, at
-the same offset wherever it is found).  A suffix's rank at one length and the rank of what
-follows at that offset are a pair; Spark brings equal pairs together, a pair found twice or more is a
-rank at twice the length, and suffixes whose pair is found once are unique and leave.
-The rounds are 52 and 104 bytes; the next doubling would pass the threshold, so what is left is
-decided at 200 bytes exactly.  Ranks are fingerprints instead of places in sorted order: removal
-only asks which suffixes are equal, and names need no global sort or renumbering.
+"""Suffix-array dedup of bytes by anchors and one count of fingerprints.
+
+Looked at are the suffixes that start at anchors (see ``repeats``: every 200-byte string has one, at
+the same offset wherever it is found).  The fingerprints of a suffix's first 52 bytes and of the 52
+that follow are a pair; Spark counts equal pairs once, and suffixes whose pair is found once are
+unique and leave.  What is left is decided at 200 bytes exactly.  This replaces prefix doubling:
+nothing is sorted or reranked, as removal only asks which suffixes are equal.
 
 Each byte covered by a 200-byte string that also starts elsewhere (in the same text, too) is
 removed, the first copy included; strings are judged on the input and never cross texts.  A
