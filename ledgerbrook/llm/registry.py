@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     bpe,
     decontaminate,
+    fingerprints,
     jaccard_join,
+    lexical_search,
     lm,
+    prefix_trie,
     quality,
     quotes,
     substring_dedup,
@@ -143,3 +146,92 @@ def op6_chat_formatting(spark, sf_dir):
 @query()
 def op7_url_filter(spark, sf_dir):
     return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
+# The conversations' paths as lists of turn names; CRC-32 is folded bit by bit.
+TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, name) AS p, name, words
+  FROM (SELECT conv_id, turn, md5(concat(length(role), ':', role, text)) AS name,
+               len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+              FROM conversations WHERE conv_id IS NOT NULL))),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS head, count(*) AS own,
+         list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+             lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)) AS crc
+  FROM turns GROUP BY conv_id),
+plan AS (
+  SELECT c.conv_id, c.head, xor(c.crc, 4294967295::BIGINT) % 4 AS h,
+         least(xor(c.crc, 4294967295::BIGINT) % 4, coalesce(f.own, 0)) AS taken
+  FROM convs c LEFT JOIN convs f ON f.conv_id = c.head),
+rebuilt AS (
+  SELECT conv_id, p - h + taken AS p, name, words FROM turns JOIN plan USING (conv_id) WHERE p > h
+  UNION ALL
+  SELECT plan.conv_id, p, name, words FROM plan JOIN turns ON turns.conv_id = head AND p <= taken),
+paths AS (
+  SELECT conv_id, coalesce(names, []) AS names, coalesce(counts, []) AS counts FROM plan LEFT JOIN (
+    SELECT conv_id, list(name ORDER BY p) AS names, list(words ORDER BY p) AS counts
+    FROM rebuilt GROUP BY conv_id) USING (conv_id)),
+members AS (
+  SELECT conv_id, d, names[1:d] AS node, CASE WHEN d = 0 THEN 0 ELSE counts[d] END AS words, d = len(names) AS ends
+  FROM (SELECT *, unnest(range(0, len(names) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT node, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY node),
+children AS (SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)),
+above AS (SELECT *, unnest(range(0, d + 1)) AS e FROM counted),
+subtrees AS (
+  SELECT node[1:e] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+  FROM above GROUP BY 1)
+SELECT c.conv_id, CAST(c.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(c.n_convs AS BIGINT) AS n_convs,
+       CAST(c.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN subtrees USING (node) LEFT JOIN nodes p ON c.d > 0 AND p.node = c.node[1:c.d - 1]"""
+
+
+@query(TRIE_SQL)
+def op11_prefix_trie(spark, sf_dir):
+    turns = prefix_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(turns))
+
+
+# Row numbers stand for documents and items, whose ids may repeat.
+SEARCH_SQL = r"""
+WITH d AS (
+  SELECT rid, doc_id, unnest(terms) AS term FROM (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents)),
+tf AS (SELECT rid, doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+size AS (SELECT rid, sum(tf)::BIGINT AS n FROM tf GROUP BY rid),
+whole AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM size),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (
+  SELECT DISTINCT qid, item_id, unnest(terms) AS term FROM (
+    SELECT row_number() OVER () AS qid, item_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM benchmark)),
+scored AS (
+  SELECT qid, item_id, rid, doc_id,
+    sum(CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+        * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN size USING (rid) CROSS JOIN whole
+  GROUP BY qid, item_id, rid, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50"""
+
+
+@query(SEARCH_SQL)
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.top_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_fingerprints(spark, sf_dir):
+    return fingerprints.edited(_table(spark, sf_dir, "documents"))
