@@ -11,6 +11,7 @@ from .forecast import (
     training_series,
     with_day_features,
 )
+from .histograms import rank_by_count, rank_by_value_in_groups, top_by_count
 from .ranking import global_rank, rank_in_groups, top_k, top_n_per_group
 
 __all__ = [
@@ -31,7 +32,10 @@ __all__ = [
     "in_month",
     "last_per_key",
     "merge_by_day",
+    "rank_by_count",
+    "rank_by_value_in_groups",
     "rank_in_groups",
+    "top_by_count",
     "top_k",
     "top_n_per_group",
     "top_users_by_city",

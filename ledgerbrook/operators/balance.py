@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .flow import in_days, total
-from .ranking import top_n_per_group
+from .histograms import rank_by_value_in_groups
 
 
 def city_average_balance(
@@ -61,7 +61,7 @@ def top_users_by_city(
         .groupBy(user, city)
         .agg((F.sum("__in") + F.sum("__out")).alias("__flow"))
     )
-    top = top_n_per_group(flows, city, [F.desc("__flow"), F.asc(user)], n)
+    top = rank_by_value_in_groups(flows, city, "__flow", user, first=n)
     return top.select(city, user, F.col("__flow").cast("bigint").alias("total_flow"), "rank")
 
 
@@ -84,5 +84,5 @@ def top_users_by_city_sql(spark: SparkSession, first: str, last: str, *, n: int
     """``top_users_by_city`` over the views ``user_balance_table`` and ``user_profile_table`` (whole amounts)."""
     bounds = {"first": datetime.strptime(first, "%Y%m%d").date(), "last": datetime.strptime(last, "%Y%m%d").date()}
     flows = spark.sql(USER_FLOWS_SQL, args=bounds)
-    top = top_n_per_group(flows, "City", [F.desc("flow"), F.asc("user_id")], n)
+    top = rank_by_value_in_groups(flows, "City", "flow", "user_id", first=n)
     return top.select("City", "user_id", F.col("flow").cast("bigint").alias("total_flow"), "rank")

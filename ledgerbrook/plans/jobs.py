@@ -14,9 +14,18 @@ from .. import schemas, sinks, sources
 from ..functions import parse_day
 
 
-def count_and_rank(news: DataFrame, *, key: str = "stock") -> DataFrame:
-    """All keys by number of rows, ranked 1..N; equal counts go by key."""
-    return ops.global_rank(ops.count_by_key(news, key), [F.desc("n"), F.asc(key)])
+def count_and_rank(news: DataFrame, *, key: str = "stock", method: str = "sort") -> DataFrame:
+    """All keys by number of rows, ranked 1..N; equal counts go by key.
+
+    ``method='sort'`` sorts the counts into files and numbers them; ``'histogram'`` ranks them by the
+    number of keys with a larger count, without a checkpoint.
+    """
+    counts = ops.count_by_key(news, key)
+    if method == "histogram":
+        return ops.rank_by_count(counts, key)
+    if method == "sort":
+        return ops.global_rank(counts, [F.desc("n"), F.asc(key)])
+    raise ValueError(f"unknown method {method!r}")
 
 
 def top_words(
@@ -24,13 +33,15 @@ def top_words(
 ) -> DataFrame:
     """The ``n`` most frequent words that are not stop words; equal counts go by word."""
     counts = ops.without(ops.count_tokens(news, text), stop_words, "word")
-    return ops.top_k(counts, [F.desc("n"), F.asc("word")], n)
+    return ops.top_by_count(counts, "word", n)
 
 
 def run_count_and_rank(
-    spark: SparkSession, news: str, out: str, *, quoting: str = "naive", header: str = "count"
+    spark: SparkSession, news: str, out: str, *, quoting: str = "naive", header: str = "count", method: str = "sort"
 ) -> None:
-    ranked = count_and_rank(sources.read_news(spark, news, quoting=quoting, header=header))
+    ranked = count_and_rank(sources.read_news(spark, news, quoting=quoting, header=header), method=method)
+    if method != "sort":
+        ranked = ranked.orderBy("rank")
     sinks.write_lines(sinks.ranked_lines(ranked, "stock"), out)
 
 

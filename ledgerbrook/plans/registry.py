@@ -526,6 +526,33 @@ def word_ranks(spark, sf_dir):
     return ops.global_rank(counts, [F.desc("n"), F.asc("word")])
 
 
+_WORD_RANKS = ORACLES["word_ranks"]
+
+
+@query(_WORD_RANKS)
+def word_ranks_by_histogram(spark, sf_dir):
+    """The same from the histogram of counts: a word seen once, like most, is ranked among these by its letters."""
+    counts = ops.count_tokens(data.documents_news(spark, sf_dir), "headline")
+    return ops.rank_by_count(counts, "word")
+
+
+@query(ORACLES["count_and_rank"])
+def count_and_rank_by_histogram(spark, sf_dir):
+    return rank_all_keys(data.documents_news(spark, sf_dir), method="histogram")
+
+
+@query(ORACLES["rank_users_in_city"])
+def rank_users_in_city_by_pieces(spark, sf_dir):
+    """All users of every city ranked without a checkpoint, large cities in pieces."""
+    flows = (
+        data.orders_balance(spark, sf_dir)
+        .groupBy("user_id")
+        .agg((F.sum("total_purchase_amt") + F.sum("total_redeem_amt")).alias("total_flow"))
+        .join(data.customer_profile(spark, sf_dir).select("user_id", "City"), "user_id")
+    )
+    return ops.rank_by_value_in_groups(flows, "City", "total_flow", "user_id")
+
+
 # ---- calendar and forecast ---------------------------------------------------------
 
 
