@@ -36,10 +36,36 @@ def top_words(
     return ops.top_by_count(counts, "word", n)
 
 
+def _news(spark: SparkSession, news: str, quoting: str, header: str, screened: bool) -> DataFrame:
+    """News lines, or the good rows of a folder that the job ``screen`` has written."""
+    if screened:
+        return sources.read_screened(spark, news)
+    return sources.read_news(spark, news, quoting=quoting, header=header)
+
+
+def run_screen(spark: SparkSession, lines: str, out: str, *, kind: str = "balance", days: str = "") -> dict[str, int]:
+    """Good rows and rejects of ``balance``, ``news``, ``daily-flow`` or ``active-days`` lines, in one pass.
+
+    ``days`` is the rule for days (``any``, ``strict``, ``lenient``) of kinds that have them.  Returns how
+    many lines were good and how many went for each reason; jobs with ``screened`` read the good rows.
+    """
+    rules = {"days": days} if days else {}
+    screened, seen = sources.count_reasons(sources.screen(spark, lines, kind, **rules), kind)
+    sinks.write_screened(screened, out)
+    return seen.get
+
+
 def run_count_and_rank(
-    spark: SparkSession, news: str, out: str, *, quoting: str = "naive", header: str = "count", method: str = "sort"
+    spark: SparkSession,
+    news: str,
+    out: str,
+    *,
+    quoting: str = "naive",
+    header: str = "count",
+    method: str = "sort",
+    screened: bool = False,
 ) -> None:
-    ranked = count_and_rank(sources.read_news(spark, news, quoting=quoting, header=header), method=method)
+    ranked = count_and_rank(_news(spark, news, quoting, header, screened), method=method)
     if method != "sort":
         ranked = ranked.orderBy("rank")
     sinks.write_lines(sinks.ranked_lines(ranked, "stock"), out)
@@ -54,15 +80,27 @@ def run_top_words(
     n: int = 100,
     quoting: str = "naive",
     header: str = "count",
+    screened: bool = False,
 ) -> None:
-    table = sources.read_news(spark, news, quoting=quoting, header=header)
+    table = _news(spark, news, quoting, header, screened)
     words = top_words(table, sources.read_stop_words(spark, stop_words), n=n)
     sinks.write_lines(sinks.ranked_lines(words.orderBy("rank"), "word"), out)
 
 
-def run_daily_flow(spark: SparkSession, balance: str, out: str, *, form: str = "tab") -> None:
-    """``form='tab'``: bad rows dropped, doubles, text.  ``form='csv'``: bad values zero, integers, CSV."""
-    if form == "csv":
+def run_daily_flow(
+    spark: SparkSession, balance: str, out: str, *, form: str = "tab", screened: bool = False
+) -> None:
+    """``form='tab'``: bad rows dropped, doubles, text.  ``form='csv'``: bad values zero, integers, CSV.
+
+    ``screened``: the balance is a folder that the job ``screen`` has written; its good rows count.
+    """
+    if screened:
+        daily = ops.daily_flow(sources.read_screened(spark, balance))
+        if form == "csv":
+            sinks.write_csv(daily, out, order=["report_date"])
+        else:
+            sinks.write_lines(sinks.daily_flow_lines(daily.orderBy("report_date")), out)
+    elif form == "csv":
         daily = ops.daily_flow(sources.read_balance(spark, balance, sources.ZERO_BAD_VALUES))
         sinks.write_csv(daily, out, order=["report_date"])
     else:
@@ -167,6 +205,7 @@ def run_forecast(
 
 
 JOBS = {
+    "screen": run_screen,
     "count-and-rank": run_count_and_rank,
     "top-words": run_top_words,
     "daily-flow": run_daily_flow,

@@ -258,6 +258,73 @@ def parse_lines_fail_on_bad(spark, sf_dir):
     return ops.active_days(rows)
 
 
+_REASON = """CASE WHEN l_returnflag NOT IN ('R', 'A') THEN 'fields' WHEN l_linenumber = 4 THEN 'header'
+    WHEN l_linenumber = 2 THEN 'total_purchase_amt'
+    WHEN l_returnflag = 'A' AND l_suppkey = 7 THEN 'total_redeem_amt'
+    WHEN l_partkey % 5 = 0 THEN 'report_date' END"""
+
+
+def _screened(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the good rows and the rejects of bad lines, written in one pass."""
+    path = new_shared_path(spark, "screened")
+    sinks.write_screened(sources.screen_balance_lines(data.worse_balance_lines(spark, sf_dir), days="strict"), path)
+    return path
+
+
+@query(
+    f"""SELECT reason, count(*) AS n, CAST(sum(length(CAST(l_partkey AS VARCHAR))) AS BIGINT) AS user_chars
+    FROM (SELECT *, {_REASON} AS reason FROM lineitem) WHERE reason IS NOT NULL GROUP BY 1"""
+)
+def balance_rejects_by_reason(spark, sf_dir):
+    """Rejected lines as they stood, by the first rule they break."""
+    rejects = sources.read_rejects(spark, _screened(spark, sf_dir))
+    user = F.length(F.substring_index("line", ",", 1))
+    return rejects.groupBy("reason").agg(F.count("*").alias("n"), F.sum(user).alias("user_chars"))
+
+
+@query(
+    f"""SELECT strftime(l_shipdate, '%Y%m%d') AS report_date,
+    CAST(sum({_GOOD_PURCHASE}) AS BIGINT) AS total_purchase_amt,
+    CAST(sum({_GOOD_REDEEM}) AS BIGINT) AS total_redeem_amt
+    FROM lineitem WHERE {_REASON} IS NULL GROUP BY 1"""
+)
+def daily_flow_of_screened_rows(spark, sf_dir):
+    """The good rows of the same folder."""
+    return _whole(ops.daily_flow(sources.read_screened(spark, _screened(spark, sf_dir))))
+
+
+@query(
+    f"""SELECT CASE WHEN line LIKE '%,%' THEN 'fields' ELSE 'good' END AS outcome, count(*) AS n
+    FROM ({_LINES}) GROUP BY 1"""
+)
+def news_lines_by_outcome(spark, sf_dir):
+    screened = sources.screen_news_lines(data.news_lines(spark, sf_dir))
+    outcome = F.coalesce("reason", F.lit("good")).alias("outcome")
+    return screened.groupBy(outcome).agg(F.count("*").alias("n"))
+
+
+@query(ORACLES["parse_lines_zero_bad_values"])
+def balance_files_with_own_headers(spark, sf_dir):
+    """Files of two folders with different headers, which are repeated in between, found without a job of their own."""
+    paths = []
+    for part, header in enumerate(["user_id,report_date", "user,day,purchase,redeem"]):
+        rows = data.dirty_balance_lines(spark, sf_dir).where(F.pmod(F.xxhash64("value"), F.lit(2)) == part)
+        rows = rows.union(spark.range(3).select(F.lit(header))).repartition(3)
+        paths.append(new_shared_path(spark, "balance-lines"))
+        sinks.write_lines(rows, paths[-1], header=header)
+    return _whole(ops.daily_flow(sources.read_balance(spark, paths, sources.ZERO_BAD_VALUES)))
+
+
+@query(ORACLES["parse_lines_fail_on_bad"])
+def balance_files_first_lines_skipped(spark, sf_dir):
+    """Files whose first lines are no balance lines, under a rule that fails on such lines."""
+    path = new_shared_path(spark, "balance-lines")
+    lines = data.clean_balance_lines(spark, sf_dir).repartition(3)
+    sinks.write_lines(lines, path, header="user_id,report_date,and more")
+    amounts = ("direct_purchase_amt", "total_redeem_amt")
+    return ops.active_days(sources.read_balance(spark, path, sources.FAIL_ON_BAD, amounts=amounts))
+
+
 # ---- activity ----------------------------------------------------------------------
 
 _EVENT_DAYS = """
@@ -295,6 +362,21 @@ def active_days_by_group_from_text(spark, sf_dir):
     return ops.active_days_by_group(sources.read_active_days(spark, path), profile)
 
 
+@query(_DAYS_BY_SEGMENT)
+def active_days_by_group_from_profile_files(spark, sf_dir):
+    """Through profile files with headers, in which every user stands twice: in file order, the last line counts."""
+    path = new_shared_path(spark, "profile")
+    rows = [
+        data.profile_lines(spark, sf_dir, group).withColumn("turn", F.lit(turn))
+        for turn, group in enumerate([F.lit("an old group"), F.col("c_mktsegment")])
+    ]
+    # Old lines come first in the first file and in a file before the last.
+    rows = rows[0].unionByName(rows[1]).repartitionByRange(5, "turn", F.xxhash64("value"))
+    sinks.write_lines(rows.sortWithinPartitions("turn").select("value"), path, header="user_id,Sex,City,constellation")
+    days = ops.active_days(data.orders_balance(spark, sf_dir)).withColumn("user_id", F.col("user_id").cast("string"))
+    return ops.active_days_by_group(days, sources.read_profile(spark, path))
+
+
 @query(
     """SELECT count(*) AS active_users FROM (
     SELECT user_id FROM events WHERE strftime(ts, '%Y%m') = '202401'
@@ -457,6 +539,26 @@ def count_and_rank_quoted_lines(spark, sf_dir):
     return rank_all_keys(sources.news_from_lines(lines, quoting="csv"))
 
 
+_RECORDS = """
+SELECT source AS stock, array_to_string(list_filter(regexp_split_to_array(text, '\\r\\n|[\\r\\n]'),
+       lambda line: line <> '')[1:3], chr(10)) AS headline FROM documents"""
+
+
+@query(
+    f"""SELECT stock, count(*) AS n, CAST(sum(length(headline)) AS BIGINT) AS chars,
+    CAST(sum(length(headline) - length(replace(headline, chr(10), ''))) AS BIGINT) AS breaks FROM ({_RECORDS}) GROUP BY 1"""
+)
+def news_records_over_lines(spark, sf_dir):
+    """From files in which a quoted headline goes over several lines."""
+    path = new_shared_path(spark, "news-records")
+    sinks.write_lines(data.broken_news_records(spark, sf_dir).repartition(3), path)
+    news = sources.read_news(spark, path, quoting="records")
+    breaks = F.length("headline") - F.length(F.replace("headline", F.lit("\n"), F.lit("")))
+    return news.groupBy("stock").agg(
+        F.count("*").alias("n"), F.sum(F.length("headline")).alias("chars"), F.sum(breaks).alias("breaks")
+    )
+
+
 @query(
     f"""SELECT chr(9) || rank || ': ' || stock || ', ' || n AS value
     FROM ({_SOURCES.format(where='')})"""

@@ -146,3 +146,27 @@ def dirty_balance_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             empty,
         ).alias("value")
     )
+
+
+def worse_balance_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dirty_balance_lines``, and every fifth user's lines are of a month that is none."""
+    return dirty_balance_lines(spark, sf_dir).select(
+        F.regexp_replace("value", "^([0-9]*[05]),[0-9]{4}[0-9]{2}", "$1,199613").alias("value")
+    )
+
+
+def profile_lines(spark: SparkSession, sf_dir: str, group: Column) -> DataFrame:
+    """Raw profile lines of the customers, with some group."""
+    person = F.concat_ws(",", "c_custkey", F.lit("1"), "c_nationkey", group, F.lit(""))
+    return table(spark, sf_dir, "customer").select(person.alias("value"))
+
+
+def broken_news_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quoted record per document, its headline being the first three lines of the text with the breaks in it.
+
+    A row holds a whole record, so that a text file of them holds records of several lines.
+    """
+    lines = F.slice(F.filter(text_lines(F.col("text")), lambda line: line != ""), 1, 3)
+    headline = F.concat(F.lit('"'), F.replace(F.array_join(lines, "\n"), F.lit('"'), F.lit('""')), F.lit('"'))
+    record = F.concat_ws(",", "doc_id", headline, "lang", "source")
+    return table(spark, sf_dir, "documents").select(record.alias("value"))

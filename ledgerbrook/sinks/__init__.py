@@ -7,6 +7,7 @@ from .writers import (
     ranked_lines,
     write_csv,
     write_lines,
+    write_screened,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "ranked_lines",
     "write_csv",
     "write_lines",
+    "write_screened",
 ]

@@ -34,9 +34,21 @@ def ranked_lines(ranked: DataFrame, key: str, *, count: str = "n", rank: str = "
     return ranked.select(line.alias("value"))
 
 
-def write_lines(lines: DataFrame, path: str, *, mode: str = "error") -> None:
-    """One text file per partition, in partition order."""
-    lines.write.mode(mode).text(path)
+def write_lines(lines: DataFrame, path: str, *, header: str | None = None, mode: str = "error") -> None:
+    """One text file per partition, in partition order; ``header`` is the first line of each file."""
+    if header is None:
+        lines.write.mode(mode).text(path)
+        return
+    # A header is the name of a CSV column; nothing in a line is a separator or a quote.
+    options = {"header": True, "sep": "\u0001", "quote": "", "escapeQuotes": False, "emptyValue": ""}
+    named = lines.select(F.col("value").alias(header))
+    named.write.mode(mode).options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **options).csv(path)
+
+
+def write_screened(screened: DataFrame, path: str, *, mode: str = "error") -> None:
+    """Good rows and rejects, each in a folder of their own (``outcome=``), from one pass over the lines."""
+    outcome = F.when(F.col("reason").isNull(), F.lit("good")).otherwise(F.lit("reject"))
+    screened.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").parquet(path)
 
 
 def write_csv(

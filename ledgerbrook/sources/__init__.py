@@ -5,8 +5,20 @@ from .lines import (
     drop_lines_equal_to,
     first_line,
     keep_arity,
+    quoted_records,
     read_lines,
     split_fields,
+    without_own_header,
+)
+from .rejects import (
+    count_reasons,
+    read_rejects,
+    read_screened,
+    screen,
+    screen_active_days_lines,
+    screen_balance_lines,
+    screen_daily_flow_lines,
+    screen_news_lines,
 )
 from .tables import (
     DROP_BAD_ROWS,
@@ -40,6 +52,7 @@ __all__ = [
     "LineRules",
     "active_days_from_lines",
     "balance_from_lines",
+    "count_reasons",
     "count_rejects",
     "daily_flow_from_lines",
     "drop_lines_equal_to",
@@ -47,6 +60,7 @@ __all__ = [
     "keep_arity",
     "news_from_lines",
     "profile_from_lines",
+    "quoted_records",
     "read_active_days",
     "read_balance",
     "read_daily_flow",
@@ -56,8 +70,16 @@ __all__ = [
     "read_named_csv",
     "read_news",
     "read_profile",
+    "read_rejects",
+    "read_screened",
     "read_stop_words",
     "register_views",
+    "screen",
+    "screen_active_days_lines",
+    "screen_balance_lines",
+    "screen_daily_flow_lines",
+    "screen_news_lines",
     "split_fields",
     "stop_words_from_lines",
+    "without_own_header",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A separator that cannot occur in text, so that a whole line is one CSV column.
@@ -61,6 +61,68 @@ def drop_lines_equal_to(lines: DataFrame, header: str) -> DataFrame:
     return lines.where(F.col("value") != header)
 
 
+def without_own_header(lines: DataFrame, *, repeated: bool = True) -> DataFrame:
+    """Drop the first line of each file and, if ``repeated``, every line of the file that equals it.
+
+    ``lines`` has ``line_order``.  Each file's first line is found in the plan itself and joined to
+    the file's lines, so files may have different headers, and one file's header may be another's data.
+    """
+    order = F.col("line_order")
+    begins = lines.where(order["block"] == 0).groupBy(order["file"].alias("__file"))
+    # A blank first line is a header too.
+    begins = begins.agg(F.min("line_order").alias("__first"), F.min_by("value", "line_order").alias("__header"))
+    joined = lines.join(begins, order["file"] == F.col("__file"))
+    kept = joined.where(F.col("value") != F.col("__header")) if repeated else joined.where(order != F.col("__first"))
+    return kept.select(*lines.columns)
+
+
+# A quoted record of more lines than this is taken for a quote that nobody closed.
+RECORD_LINES = 10_000
+
+
+def quoted_records(lines: DataFrame) -> DataFrame:
+    """Lines with ``line_order`` to CSV records: a line break inside quotes does not end a record.
+
+    Files are split as any text.  Whether a split begins inside quotes follows from the number of quotes in
+    the file's earlier splits: one number per split is summed up.  The same way a split learns where the record that it
+    begins in the middle of has started.  Only lines of records with line breaks are
+    shuffled again to be put together, with a line feed between them.  A record of more than ``RECORD_LINES``
+    lines fails.  A quote doubled inside quotes counts twice and changes nothing.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    order = F.col("line_order")
+    marked = lines.select(
+        "value", order["file"].alias("file"), order["block"].alias("block"), order["row"].alias("row"),
+        (quotes % 2).alias("odd"),
+    )
+    split = Window.partitionBy("file", "block").orderBy("row")
+    earlier_rows, so_far = split.rowsBetween(Window.unboundedPreceding, -1), split.rowsBetween(Window.unboundedPreceding, 0)
+    earlier_splits = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+
+    parity = marked.groupBy("file", "block").agg(F.sum("odd").alias("odds"))
+    parity = parity.select("file", "block", F.coalesce(F.sum("odds").over(earlier_splits), F.lit(0)).alias("entered"))
+    before = F.coalesce(F.sum("odd").over(earlier_rows), F.lit(0))
+    placed = marked.withColumn("before", before).withColumn("number", F.row_number().over(split)).join(parity, ["file", "block"])
+    placed = placed.withColumn("starts", (F.col("entered") + F.col("before")) % 2 == 0)
+    begun = F.when(F.col("starts"), F.struct("block", "row", "number"))
+    placed = placed.withColumn("begun", F.last(begun, ignorenulls=True).over(so_far))
+
+    # What a split's first lines continue: the last record begun in an earlier split.
+    last = placed.groupBy("file", "block").agg(F.max("begun").alias("begun"))
+    last = last.select("file", "block", F.last("begun", ignorenulls=True).over(earlier_splits).alias("carried"))
+    placed = placed.join(last, ["file", "block"])
+    inside = F.col("number") - F.coalesce(F.col("begun")["number"], F.lit(0))
+    too_long = F.raise_error(F.concat(F.lit("a quote is not closed in "), F.col("file"))).cast("boolean")
+    placed = placed.where((inside <= RECORD_LINES) | too_long)
+    placed = placed.withColumn("of", F.coalesce("begun", "carried"))
+
+    whole = placed.where("starts and odd = 0").select("value")
+    parts = placed.where("not (starts and odd = 0)").groupBy("file", F.col("of.block"), F.col("of.row"))
+    texts = F.array_sort(F.collect_list(F.struct(placed["block"], placed["row"], "value")))
+    joined = parts.agg(F.array_join(F.transform(texts, lambda line: line["value"]), "\n").alias("value"))
+    return whole.unionByName(joined.select("value"))
+
+
 def split_fields(
     lines: DataFrame, sep: str = ",", *, keep_trailing_empty: bool = False
 ) -> DataFrame:

@@ -11,7 +11,15 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import parse_day, parse_number, positive, strip_control
-from .lines import drop_lines_equal_to, field, first_line, keep_arity, read_lines, split_fields
+from .lines import (
+    drop_lines_equal_to,
+    field,
+    keep_arity,
+    quoted_records,
+    read_lines,
+    split_fields,
+    without_own_header,
+)
 
 
 @dataclass(frozen=True)
@@ -20,7 +28,7 @@ class LineRules:
 
     header      ``none``; ``named`` (drop rows whose purchase field holds its own column
                 name); ``first_of_file`` (drop the first line of each file); ``repeated``
-                (drop every line equal to the first line of the input)
+                (drop every line equal to the first line of its file)
     bad_amounts ``drop_row``, ``zero`` (each bad value on its own) or ``fail``
     short_rows  ``drop``, ``fail`` or ``null``
     as_needed   amounts after a positive one are not looked at
@@ -75,10 +83,12 @@ def balance_from_lines(
     Only the amounts asked for can make a row bad.  With no amounts, a row needs no
     more than its first two fields.
     """
-    if rules.header == "repeated":
-        if header_line is None:
-            raise ValueError("the header rule 'repeated' needs the header line")
+    if rules.header == "repeated" and header_line is not None:
         lines = drop_lines_equal_to(lines, header_line)
+    elif rules.header == "repeated":
+        if "line_order" not in lines.columns:
+            raise ValueError("the header rule 'repeated' needs the header line or line_order")
+        lines = without_own_header(lines).select("value")
     needed = schemas.BALANCE_MIN_FIELDS if amounts else 2
     rows = keep_arity(
         split_fields(lines, keep_trailing_empty=rules.keep_trailing_empty),
@@ -116,10 +126,9 @@ def read_balance(
     amounts: Sequence[str] = ("total_purchase_amt", "total_redeem_amt"),
     header_line: str | None = None,
 ) -> DataFrame:
-    """A balance file under ``rules``.  Naming ``header_line`` saves the look at the first line."""
-    if rules.header == "repeated" and header_line is None:
-        header_line = first_line(spark, path)
-    lines = read_lines(spark, path, skip_first_line=rules.header == "first_of_file")
+    """A balance file under ``rules``.  Naming ``header_line`` saves looking for the first line of each file."""
+    look = rules.header == "repeated" and header_line is None
+    lines = read_lines(spark, path, skip_first_line=rules.header == "first_of_file", positions=look)
     return balance_from_lines(lines, rules, amounts=amounts, header_line=header_line)
 
 
@@ -145,8 +154,11 @@ def news_from_lines(lines: DataFrame, *, quoting: str = "naive") -> DataFrame:
     """Lines of exactly four fields to ``headline`` and ``stock``; other lines are dropped.
 
     ``naive`` gives quotes no meaning, so a headline holding a comma drops its line.
-    ``csv`` understands quotes and keeps it.
+    ``csv`` understands quotes and keeps it.  ``records`` also keeps headlines with line breaks
+    inside quotes; it needs ``line_order``.
     """
+    if quoting == "records":
+        lines, quoting = quoted_records(lines), "csv"
     if quoting == "naive":
         rows = keep_arity(split_fields(lines), exact=schemas.NEWS_FIELDS)
         return rows.select(
@@ -176,6 +188,9 @@ def read_news(
     header: str = "count",
 ) -> DataFrame:
     """A news file.  ``header='count'`` treats header lines as data, ``'drop'`` skips them per file."""
+    if quoting == "records":
+        lines = read_lines(spark, path, positions=True)
+        return news_from_lines(without_own_header(lines, repeated=False) if header == "drop" else lines, quoting=quoting)
     lines = read_lines(spark, path, skip_first_line=header == "drop")
     return news_from_lines(lines, quoting=quoting)
 

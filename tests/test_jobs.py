@@ -3,6 +3,7 @@
 import pytest
 
 from ledgerbrook.__main__ import _parser
+from ledgerbrook import sources
 from ledgerbrook.plans import jobs
 
 BALANCE = """user_id,report_date,tBalance,y,total_purchase_amt,direct_purchase_amt,c,d,total_redeem_amt
@@ -127,7 +128,7 @@ def test_command_line_knows_every_job():
     assert (options.job, options.n, options.first) == ("top-users-by-city", 5, "20140801")
     options = _parser().parse_args(["weekday-flow", "--daily", "d", "--out", "o", "--no-lenient"])
     assert options.lenient is False
-    assert len(jobs.JOBS) == 11
+    assert len(jobs.JOBS) == 12
 
 
 def test_weekday_flow_counts_undated_lines(spark, write, files):
@@ -142,3 +143,29 @@ def test_landed_balance_gives_the_same_cities(spark, write, files, read_out):
     for name, source, landed in (("a", whole, False), ("b", files["out"] + "-landed", True)):
         jobs.run_top_users_by_city(spark, source, files["profile"], files["out"] + name, landed=landed, **days)
     assert read_out(files["out"] + "a") == read_out(files["out"] + "b") != ""
+
+
+def test_screen_then_daily_flow(spark, files, read_out):
+    screened = files["out"] + "-screened"
+    counts = jobs.run_screen(spark, files["balance"], screened, days="strict")
+    bad = {"total_purchase_amt": 0, "total_redeem_amt": 0, "direct_purchase_amt": 0, "report_date": 0}
+    assert counts == {"good": 6, "fields": 1, "header": 1, **bad}
+    jobs.run_daily_flow(spark, files["balance"], files["out"])
+    jobs.run_daily_flow(spark, screened, files["out"] + "-b", screened=True)
+    assert read_out(files["out"]) == read_out(files["out"] + "-b") != ""
+
+
+def test_screen_keeps_rejected_lines_as_they_stood(spark, files):
+    news = files["out"] + "-news"
+    assert jobs.run_screen(spark, files["news"], news, kind="news") == {"good": 3, "fields": 2}
+    rejects = {(r.reason, r.line) for r in sources.read_rejects(spark, news).collect()}
+    assert rejects == {("fields", '1,"Stocks, bonds",x,MS'), ("fields", "3,no ticker,x,")}
+
+
+def test_rank_of_screened_news_by_histogram(spark, files, read_out):
+    news = files["out"] + "-news"
+    jobs.run_screen(spark, files["news"], news, kind="news")
+    jobs.run_count_and_rank(spark, news, files["out"], screened=True, method="histogram")
+    assert read_out(files["out"]) == "\t1: MRK, 1\n\t2: MS, 1\n\t3: stock, 1\n"
+    with pytest.raises(ValueError):
+        jobs.run_count_and_rank(spark, news, files["out"] + "-x", screened=True, method="guess")
