@@ -3,7 +3,14 @@
 from .activity import active_days, active_days_by_group, active_user_count, days_per_user
 from .balance import USER_FLOWS_SQL, city_average_balance, top_users_by_city, top_users_by_city_sql
 from .counting import count_by_key, count_tokens, last_per_key, without
-from .flow import daily_flow, in_days, in_month, merge_by_day, weekday_flow
+from .day_bitmaps import (
+    active_users_by_period,
+    day_bitmaps,
+    days_per_period,
+    in_day_range,
+    merge_day_bitmaps,
+)
+from .flow import daily_flow, in_days, in_month, merge_by_day, total, weekday_flow
 from .forecast import (
     fit_forecasters,
     forecast_flow,
@@ -19,19 +26,24 @@ __all__ = [
     "active_days",
     "active_days_by_group",
     "active_user_count",
+    "active_users_by_period",
     "city_average_balance",
     "count_by_key",
     "count_tokens",
     "daily_flow",
+    "day_bitmaps",
+    "days_per_period",
     "days_per_user",
     "fit_forecasters",
     "forecast_flow",
     "future_features",
     "global_rank",
+    "in_day_range",
     "in_days",
     "in_month",
     "last_per_key",
     "merge_by_day",
+    "merge_day_bitmaps",
     "rank_by_count",
     "rank_by_value_in_groups",
     "rank_in_groups",
@@ -40,6 +52,7 @@ __all__ = [
     "top_n_per_group",
     "top_users_by_city",
     "top_users_by_city_sql",
+    "total",
     "training_series",
     "weekday_flow",
     "with_day_features",

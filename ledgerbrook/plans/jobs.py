@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from .. import schemas, sinks, sources
 from ..functions import parse_day
+from . import increments
 
 
 def count_and_rank(news: DataFrame, *, key: str = "stock", method: str = "sort") -> DataFrame:
@@ -145,6 +146,30 @@ def run_active_user_count(
     sinks.write_csv(ops.active_user_count(rows, month, min_days=min_days), out)
 
 
+def run_store_active_days(spark: SparkSession, balance: str, state: str) -> None:
+    """Add the days of a balance CSV (columns by name) to a stored state of days per user."""
+    wanted = type(schemas.BALANCE)([schemas.BALANCE[name] for name in ("user_id", "report_date")])
+    sinks.store_day_bitmaps(ops.day_bitmaps(sources.read_named_csv(spark, balance, wanted)), state)
+
+
+def run_active_users_by_period(
+    spark: SparkSession, state: str, out: str, *, period: str = "quarter", min_days: int = 5, first: str = "", last: str = ""
+) -> None:
+    """Users seen on ``min_days`` days or more of each month, quarter or year, from the stored state alone."""
+    days = sources.read_day_bitmaps(spark, state, first=first or None, last=last or None)
+    sinks.write_csv(ops.active_users_by_period(days, period, min_days=min_days), out, order=["period"])
+
+
+def run_add_balance(spark: SparkSession, balance: str, state: str) -> dict[str, int]:
+    """Add the balance files that are new to stored daily sums; returns how many they were."""
+    return {"files added": increments.add_balance_files(spark, balance, state)}
+
+
+def run_daily_flow_of_state(spark: SparkSession, state: str, out: str) -> None:
+    """Daily flow as CSV from the stored sums."""
+    sinks.write_csv(increments.daily_flow_of(spark, state), out, order=["report_date"])
+
+
 def _city_tables(
     spark: SparkSession, balance: str, profile: str, first: str, last: str, landed: bool
 ) -> tuple[DataFrame, DataFrame]:
@@ -206,6 +231,10 @@ def run_forecast(
 
 JOBS = {
     "screen": run_screen,
+    "add-balance": run_add_balance,
+    "daily-flow-of-state": run_daily_flow_of_state,
+    "store-active-days": run_store_active_days,
+    "active-users-by-period": run_active_users_by_period,
     "count-and-rank": run_count_and_rank,
     "top-words": run_top_words,
     "daily-flow": run_daily_flow,

@@ -15,6 +15,7 @@ from .. import functions as fn
 from .. import operators as ops
 from .. import sinks, sources
 from ..session import new_shared_path
+from . import increments, jobs
 from . import standins as data
 from .jobs import count_and_rank as rank_all_keys
 from .jobs import top_words as rank_words
@@ -104,6 +105,14 @@ SELECT * FROM (
 )
 
 
+_WEEKDAY_MEANS = f"""
+WITH daily AS (SELECT strptime(report_date, '%Y%m%d') AS d, * FROM ({_DAILY})),
+means AS (SELECT isodow(d) AS w, CAST(trunc(avg(total_purchase_amt)) AS BIGINT) AS purchase,
+                 CAST(trunc(avg(total_redeem_amt)) AS BIGINT) AS redeem FROM daily GROUP BY 1),
+ahead AS (SELECT (SELECT CAST(max(d) AS DATE) FROM daily) + CAST(i AS INT) AS d FROM range(1, 31) r(i))
+SELECT strftime(d, '%Y%m%d') AS report_date, purchase, redeem FROM ahead JOIN means ON isodow(d) = w"""
+
+
 # ---- fund flow ---------------------------------------------------------------------
 
 
@@ -315,6 +324,27 @@ def balance_files_with_own_headers(spark, sf_dir):
     return _whole(ops.daily_flow(sources.read_balance(spark, paths, sources.ZERO_BAD_VALUES)))
 
 
+@query(
+    ORACLES["parse_lines_zero_bad_values"].replace(
+        "FROM lineitem", "FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)"
+    )
+)
+def daily_flow_in_increments(spark, sf_dir):
+    """Three runs on a growing set of files: the sums kept are those of reading each file once."""
+    state = new_shared_path(spark, "flow-state")
+    lines = data.dirty_balance_lines(spark, sf_dir)
+    header = "user_id,report_date"
+    paths = [new_shared_path(spark, "balance-lines") for _ in range(3)]
+    item = F.substring_index(F.substring_index("value", ",", 5), ",", -1)
+    # The third folder repeats lines of the others: they are in files of their own, so they count.
+    parts = [lines.where(item == ""), lines.where(item != ""), lines.where(item == "")]
+    for path, part in zip(paths, parts):
+        sinks.write_lines(part.repartition(2), path, header=header)
+    for known in (paths[:1], paths[:2], paths, paths):
+        increments.add_balance_files(spark, known, state)
+    return _whole(increments.daily_flow_of(spark, state))
+
+
 @query(ORACLES["parse_lines_fail_on_bad"])
 def balance_files_first_lines_skipped(spark, sf_dir):
     """Files whose first lines are no balance lines, under a rule that fails on such lines."""
@@ -439,6 +469,36 @@ def last_profile_wins(spark, sf_dir):
     return ops.last_per_key(rows, "user_id", "constellation", "line_order")
 
 
+def _stored_days(spark: SparkSession, sf_dir: str) -> str:
+    """The days of the orders, stored in two parts that share many days."""
+    path = new_shared_path(spark, "day-bitmaps")
+    orders = data.orders_balance(spark, sf_dir)
+    for part in (F.col("tBalance") % 2 == 0, F.col("tBalance") % 3 != 0, F.col("tBalance") % 6 == 3):
+        sinks.store_day_bitmaps(ops.day_bitmaps(orders.where(part)), path)
+    return path
+
+
+@query(
+    """SELECT period, count(*) AS active_users FROM (
+    SELECT o_custkey, year(o_orderdate) || 'Q' || quarter(o_orderdate) AS period FROM orders
+    GROUP BY 1, 2 HAVING count(DISTINCT CAST(o_orderdate AS DATE)) >= 2) GROUP BY 1"""
+)
+def active_users_by_quarter(spark, sf_dir):
+    """From stored bitmaps of days."""
+    return ops.active_users_by_period(sources.read_day_bitmaps(spark, _stored_days(spark, sf_dir)), min_days=2)
+
+
+@query(
+    """SELECT o_custkey AS user_id, strftime(o_orderdate, '%Y') AS period, count(DISTINCT CAST(o_orderdate AS DATE)) AS days
+    FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1994-02-11' AND DATE '1997-11-20' GROUP BY 1, 2"""
+)
+def days_per_year_in_range(spark, sf_dir):
+    """From the same stored state, cut to a range that begins and ends inside months."""
+    path = _stored_days(spark, sf_dir)
+    state = sources.read_day_bitmaps(spark, path, first="19940211", last="19971120")
+    return ops.days_per_period(state, "year")
+
+
 # ---- cities ------------------------------------------------------------------------
 
 
@@ -513,6 +573,28 @@ def rank_users_in_city(spark, sf_dir):
     return ops.rank_in_groups(flows, "City", [F.desc("total_flow"), F.asc("user_id")])
 
 
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and customers as tables bucketed by user."""
+    tables = []
+    for rows in (data.orders_balance(spark, sf_dir), data.customer_profile(spark, sf_dir)):
+        path = new_shared_path(spark, "bucketed")
+        name = path.rpartition("/")[2].replace("-", "_")
+        sinks.land_bucketed(rows, name, path, "user_id", buckets=8)
+        tables.append(spark.table(name))
+    return tables[0], tables[1]
+
+
+@query(_TOP_USERS)
+def top_users_by_city_bucketed(spark, sf_dir):
+    """Sums per user and the join with the profile find both tables bucketed by user: neither shuffles."""
+    return ops.top_users_by_city(*_bucketed(spark, sf_dir), *FLOW_MONTH)
+
+
+@query(ORACLES["city_average_balance_all_days"])
+def city_average_balance_bucketed(spark, sf_dir):
+    return ops.city_average_balance(*_bucketed(spark, sf_dir))
+
+
 # ---- words and keys ----------------------------------------------------------------
 
 _SOURCES = f"""
@@ -655,6 +737,136 @@ def rank_users_in_city_by_pieces(spark, sf_dir):
     return ops.rank_by_value_in_groups(flows, "City", "total_flow", "user_id")
 
 
+_HEADED = f"""
+SELECT stock, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, stock) AS rank
+FROM (SELECT source AS stock FROM ({_LINES}) WHERE line NOT LIKE '%,%'
+      UNION ALL SELECT 'stock' FROM range(3)) GROUP BY 1"""
+
+
+@query(_HEADED)
+def count_and_rank_headers_as_data(spark, sf_dir):
+    """Three files, whose header lines count as data."""
+    paths = [new_shared_path(spark, "news") for _ in range(3)]
+    lines = data.news_lines(spark, sf_dir)
+    for part, path in enumerate(paths):
+        rows = lines.where(F.pmod(F.xxhash64("value"), F.lit(3)) == part).coalesce(1)
+        sinks.write_lines(rows, path, header="id,headline,date,stock")
+    return rank_all_keys(sources.read_news(spark, paths))
+
+
+# ---- files that jobs leave, read back line by line ----------------------------------
+
+
+def _written(spark: SparkSession, path: str, *, keep_returns: bool = False) -> DataFrame:
+    """The lines of a job's output with their ``place``, 1 being the first line of the first part file.
+
+    ``keep_returns`` breaks lines at line feeds alone.
+    """
+    if keep_returns:
+        lines = spark.read.option("lineSep", "\n").text(path)
+        order = [F.col("_metadata.file_path"), F.monotonically_increasing_id()]
+        lines = lines.select("value", F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("line_order"))
+    else:
+        lines = sources.read_lines(spark, path, positions=True)
+    ranked = ops.global_rank(lines, [F.col("line_order").asc()], rank="place")
+    return ranked.select(F.col("place").cast("bigint").alias("place"), "value")
+
+
+def _balance_file(spark: SparkSession, rows: DataFrame) -> str:
+    path = new_shared_path(spark, "balance-csv")
+    sinks.write_csv(rows.withColumn("report_date", fn.day_key(F.col("report_date"))), path)
+    return path
+
+
+def _profile_file(spark: SparkSession, sf_dir: str) -> str:
+    path = new_shared_path(spark, "profile-csv")
+    sinks.write_csv(data.customer_profile(spark, sf_dir).select("user_id", "City", "constellation"), path)
+    return path
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY avg_in DESC) AS place, weekday, avg_in, avg_out
+    FROM ({_WEEKDAYS.format(day="strptime(report_date, '%Y%m%d')", daily=f"({_DAILY})")})"""
+)
+def weekday_flow_file(spark, sf_dir):
+    """The job's lines, largest inflow first."""
+    daily, out = new_shared_path(spark, "daily-flow"), new_shared_path(spark, "weekday-flow")
+    sinks.write_lines(sinks.daily_flow_lines(_daily(spark, sf_dir)), daily)
+    jobs.run_weekday_flow(spark, daily, out)
+    pair = F.split(F.substring_index("value", "\t", -1), ",")
+    return _written(spark, out).select(
+        "place",
+        F.substring_index("value", "\t", 1).alias("weekday"),
+        pair[0].cast("double").alias("avg_in"),
+        pair[1].cast("double").alias("avg_out"),
+    )
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY constellation) AS place,
+    constellation || chr(9) || avg_active_days AS value FROM ({_DAYS_BY_SEGMENT})"""
+)
+def active_days_by_group_file(spark, sf_dir):
+    """The job's lines, by group."""
+    days, profile, out = (new_shared_path(spark, name) for name in ("active-days", "profile", "groups"))
+    counted = ops.active_days(data.orders_balance(spark, sf_dir))
+    sinks.write_lines(sinks.key_value_lines(counted, "user_id", ["active_days"]), days)
+    lines = data.profile_lines(spark, sf_dir, F.col("c_mktsegment"))
+    sinks.write_lines(lines, profile, header="user_id,Sex,City,constellation")
+    jobs.run_active_days_by_group(spark, days, profile, out)
+    return _written(spark, out)
+
+
+@query(
+    f"""SELECT place, City, average_balance, crlf FROM (
+    SELECT row_number() OVER (ORDER BY average_balance DESC, City) + 1 AS place, CAST(City AS VARCHAR) AS City,
+           average_balance, TRUE AS crlf FROM ({ORACLES['city_average_balance_all_days']})
+    UNION ALL SELECT 1, 'City', NULL, TRUE)""".replace("JOIN customer ON c_custkey = o_custkey", """JOIN customer
+      ON c_custkey = o_custkey WHERE CAST(o_orderdate AS DATE) = DATE '1996-09-10'""")
+)
+def city_average_file(spark, sf_dir):
+    """The job's CSV with CRLF line ends, largest average first."""
+    out = new_shared_path(spark, "city-average")
+    balance = _balance_file(spark, data.orders_balance(spark, sf_dir))
+    jobs.run_city_average_balance(spark, balance, _profile_file(spark, sf_dir), out, day="19960910")
+    lines = _written(spark, out, keep_returns=True)
+    cells = F.split(F.replace("value", F.lit("\r"), F.lit("")), ",")
+    lines = lines.select(
+        "place", cells[0].alias("City"), cells[1].try_cast("double").alias("average_balance"),
+        F.endswith("value", F.lit("\r")).alias("crlf"),
+    )
+    # Every part file has the header; the first line stands for all.
+    return lines.where("place = 1 or City <> 'City'")
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY City, rank) + 1 AS place,
+    City || chr(9) || user_id || chr(9) || coalesce(CAST(total_flow AS VARCHAR), '') AS value FROM ({_TOP_USERS})
+    UNION ALL SELECT 1, 'City' || chr(9) || 'user_id' || chr(9) || 'total_flow'"""
+)
+def top_users_file(spark, sf_dir):
+    """The job's tab-separated lines, by city and rank."""
+    out = new_shared_path(spark, "top-users")
+    balance = _balance_file(spark, data.orders_balance(spark, sf_dir))
+    first, last = FLOW_MONTH
+    jobs.run_top_users_by_city(spark, balance, _profile_file(spark, sf_dir), out, first=first, last=last)
+    lines = _written(spark, out).where("place = 1 or value not like 'City%'")
+    return lines.select("place", F.replace("value", F.lit('""'), F.lit("")).alias("value"))
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY report_date) + 1 AS place, report_date || ',' || purchase || ',' || redeem AS value
+    FROM ({_WEEKDAY_MEANS}) UNION ALL SELECT 1, 'report_date,purchase,redeem'"""
+)
+def forecast_file(spark, sf_dir):
+    """The forecast as it is written."""
+    out = new_shared_path(spark, "forecast")
+    daily = ops.daily_flow(data.lineitem_balance(spark, sf_dir))
+    forecast = ops.forecast_flow(daily, features=["day_of_week"], num_trees=1, bootstrap=False, feature_subset="all")
+    sinks.write_csv(forecast, out, order=["report_date"])
+    return _written(spark, out).where("place = 1 or value not like 'report_date%'")
+
+
 # ---- calendar and forecast ---------------------------------------------------------
 
 
@@ -682,14 +894,6 @@ def future_days(spark, sf_dir):
     return ahead.withColumn("report_date", fn.day_key(F.col("report_date")))
 
 
-_WEEKDAY_MEANS = f"""
-WITH daily AS (SELECT strptime(report_date, '%Y%m%d') AS d, * FROM ({_DAILY})),
-means AS (SELECT isodow(d) AS w, CAST(trunc(avg(total_purchase_amt)) AS BIGINT) AS purchase,
-                 CAST(trunc(avg(total_redeem_amt)) AS BIGINT) AS redeem FROM daily GROUP BY 1),
-ahead AS (SELECT (SELECT CAST(max(d) AS DATE) FROM daily) + CAST(i AS INT) AS d FROM range(1, 31) r(i))
-SELECT strftime(d, '%Y%m%d') AS report_date, purchase, redeem FROM ahead JOIN means ON isodow(d) = w"""
-
-
 @query(_WEEKDAY_MEANS)
 def forecast_by_weekday(spark, sf_dir):
     """One tree on the weekday alone, grown on all days: it predicts the weekday's mean."""

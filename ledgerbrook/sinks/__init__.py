@@ -4,7 +4,9 @@ from .writers import (
     daily_flow_lines,
     key_value_lines,
     land_balance,
+    land_bucketed,
     ranked_lines,
+    store_day_bitmaps,
     write_csv,
     write_lines,
     write_screened,
@@ -14,7 +16,9 @@ __all__ = [
     "daily_flow_lines",
     "key_value_lines",
     "land_balance",
+    "land_bucketed",
     "ranked_lines",
+    "store_day_bitmaps",
     "write_csv",
     "write_lines",
     "write_screened",

@@ -35,7 +35,10 @@ def ranked_lines(ranked: DataFrame, key: str, *, count: str = "n", rank: str = "
 
 
 def write_lines(lines: DataFrame, path: str, *, header: str | None = None, mode: str = "error") -> None:
-    """One text file per partition, in partition order; ``header`` is the first line of each file."""
+    """One text file per partition, in partition order.
+
+    ``header`` is the first line of each file; blank lines are not written then.
+    """
     if header is None:
         lines.write.mode(mode).text(path)
         return
@@ -77,3 +80,18 @@ def land_balance(balance: DataFrame, path: str, *, day: str = "report_date", mod
     """
     dated = balance.withColumn("report_month", F.date_format(day, "yyyyMM"))
     dated.hint("rebalance", "report_month").write.mode(mode).partitionBy("report_month").parquet(path)
+
+
+def store_day_bitmaps(state: DataFrame, path: str, *, mode: str = "append") -> None:
+    """Add a state of ``operators.day_bitmaps`` to a folder, by month; ``sources.read_day_bitmaps`` merges what is there."""
+    state.hint("rebalance", "month").write.mode(mode).partitionBy("month").parquet(path)
+
+
+def land_bucketed(table: DataFrame, name: str, path: str, key: str, *, buckets: int) -> None:
+    """Write a table in files bucketed and sorted by ``key``, and register it as ``name`` in the session's catalog.
+
+    Tables bucketed alike join and aggregate by that key without a shuffle.  Each bucket is one task's work, so a
+    table should be reduced to a row per key, or have no key with a large part of its rows.
+    """
+    laid_out = table.repartition(buckets, key)
+    laid_out.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)

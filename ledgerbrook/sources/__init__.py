@@ -35,6 +35,7 @@ from .tables import (
     read_balance,
     read_daily_flow,
     read_daily_flow_csv,
+    read_day_bitmaps,
     read_landed_balance,
     read_named_csv,
     read_news,
@@ -65,6 +66,7 @@ __all__ = [
     "read_balance",
     "read_daily_flow",
     "read_daily_flow_csv",
+    "read_day_bitmaps",
     "read_landed_balance",
     "read_lines",
     "read_named_csv",

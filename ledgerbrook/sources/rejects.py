@@ -52,7 +52,7 @@ def screen_balance_lines(
     """Balance lines under the rules of ``DROP_BAD_ROWS``, and of ``days`` (``any``, ``strict`` or ``lenient``).
 
     Reasons: ``fields`` (too few), ``header`` (the purchase field holds its own name), the name of an
-    amount that is no number, ``report_date``.
+    amount that is no number (NaN is none), ``report_date``.
     """
     parsed = []
     for name in amounts:
@@ -63,7 +63,7 @@ def screen_balance_lines(
     broken = [
         (FIELDS, F.size("fields") < (schemas.BALANCE_MIN_FIELDS if amounts else 2)),
         (HEADER, F.coalesce(header, F.lit(False))),
-        *[(name, F.col(name).isNull()) for name in amounts],
+        *[(name, F.isnan(name)) for name in amounts],
         *_bad_day(F.col("report_date"), days),
     ]
     return _screened(lines, ",", [*columns, *parsed], broken)

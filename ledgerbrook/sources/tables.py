@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import parse_day, parse_number, positive, strip_control
+from ..operators.day_bitmaps import in_day_range, merge_day_bitmaps
 from .lines import (
     drop_lines_equal_to,
     field,
@@ -317,3 +318,14 @@ def register_views(**tables: DataFrame) -> None:
     """Make frames available to ``spark.sql`` under their keyword names."""
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
+
+
+def read_day_bitmaps(spark: SparkSession, path: str, *, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The state that ``sinks.store_day_bitmaps`` has gathered, merged; of the days ``first`` .. ``last`` if given.
+
+    Months outside are not read.
+    """
+    state = spark.read.option("basePath", path).parquet(path).withColumn("month", F.col("month").cast("string"))
+    if first is not None or last is not None:
+        state = in_day_range(state, first or "00000101", last or "99991231")
+    return merge_day_bitmaps(state)

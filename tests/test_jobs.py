@@ -128,7 +128,7 @@ def test_command_line_knows_every_job():
     assert (options.job, options.n, options.first) == ("top-users-by-city", 5, "20140801")
     options = _parser().parse_args(["weekday-flow", "--daily", "d", "--out", "o", "--no-lenient"])
     assert options.lenient is False
-    assert len(jobs.JOBS) == 12
+    assert len(jobs.JOBS) == 16
 
 
 def test_weekday_flow_counts_undated_lines(spark, write, files):
