@@ -63,7 +63,7 @@ def screen_balance_lines(
     broken = [
         (FIELDS, F.size("fields") < (schemas.BALANCE_MIN_FIELDS if amounts else 2)),
         (HEADER, F.coalesce(header, F.lit(False))),
-        *[(name, F.isnan(name)) for name in amounts],
+        *[(name, F.col(name).isNull() | F.isnan(name)) for name in amounts],
         *_bad_day(F.col("report_date"), days),
     ]
     return _screened(lines, ",", [*columns, *parsed], broken)
