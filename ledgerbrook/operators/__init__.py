@@ -18,6 +18,7 @@ from .forecast import (
     training_series,
     with_day_features,
 )
+from .forests import apply_forests, grow_forests
 from .histograms import rank_by_count, rank_by_value_in_groups, top_by_count
 from .ranking import global_rank, rank_in_groups, top_k, top_n_per_group
 
@@ -27,6 +28,7 @@ __all__ = [
     "active_days_by_group",
     "active_user_count",
     "active_users_by_period",
+    "apply_forests",
     "city_average_balance",
     "count_by_key",
     "count_tokens",
@@ -38,6 +40,7 @@ __all__ = [
     "forecast_flow",
     "future_features",
     "global_rank",
+    "grow_forests",
     "in_day_range",
     "in_days",
     "in_month",

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import day_features, day_key, future_days, parse_day
 from ..session import ensure_checkpoint_dir
+from .forests import apply_forests, grow_forests
 
 # The features and the forest's parameters (100 trees of depth 10, seed 42).
 FEATURES = ["day_of_year", "month", "day_of_week"]
@@ -116,12 +117,32 @@ def forecast_flow(
     features: Sequence[str] = FEATURES,
     bootstrap: bool = True,
     feature_subset: str = "auto",
+    forest: str = "mllib",
 ) -> DataFrame:
     """``report_date`` (``yyyyMMdd``), ``purchase`` and ``redeem`` for the next days, as whole numbers.
 
-    Trees cannot extrapolate: days beyond the training range differ only by weekday.
+    Trees cannot extrapolate: days beyond the training range differ only by weekday.  ``forest`` says who grows
+    them: ``mllib``, or ``hashed``, the forests of ``operators.forests``, which depend on seed and data alone.
     """
+    if forest not in ("mllib", "hashed"):
+        raise ValueError(f"unknown forest {forest!r}")
     training = training_series(daily, TARGETS, day=day, features=features)
+    if forest == "hashed":
+        ahead = future_features(training, start=start, horizon=horizon, day=day, features=features)
+        series = with_day_features(training.drop("features"), day=day, features=features)
+        nodes = grow_forests(
+            series,
+            TARGETS,
+            key=day,
+            features=features,
+            num_trees=num_trees,
+            max_depth=max_depth,
+            seed=seed,
+            bootstrap=bootstrap,
+            feature_subset=feature_subset,
+        )
+        scored = apply_forests(nodes, ahead, TARGETS, key="report_date", features=features, num_trees=num_trees, max_depth=max_depth)
+        return _forecast(scored)
     models = fit_forecasters(
         training,
         num_trees=num_trees,
@@ -131,7 +152,10 @@ def forecast_flow(
         feature_subset=feature_subset,
     )
     ahead = future_features(training, start=start, horizon=horizon, day=day, features=features)
-    scored = models.transform(ahead)
+    return _forecast(models.transform(ahead))
+
+
+def _forecast(scored: DataFrame) -> DataFrame:
     return scored.select(
         day_key(F.col("report_date")).alias("report_date"),
         F.col("purchase").cast("bigint").alias("purchase"),

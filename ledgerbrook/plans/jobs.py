@@ -221,11 +221,12 @@ def run_forecast(
     train_last: str | None = None,
     start: str | None = None,
     horizon: int = 30,
+    forest: str = "mllib",
 ) -> None:
     series = sources.read_daily_flow_csv(spark, daily)
     if train_first or train_last:
         series = ops.in_days(series, train_first or "00000000", train_last or "99999999")
-    forecast = ops.forecast_flow(series, start=start, horizon=horizon)
+    forecast = ops.forecast_flow(series, start=start, horizon=horizon, forest=forest)
     sinks.write_csv(forecast, out, order=["report_date"])
 
 

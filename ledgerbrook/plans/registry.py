@@ -901,6 +901,20 @@ def forecast_by_weekday(spark, sf_dir):
     return ops.forecast_flow(daily, features=["day_of_week"], num_trees=1, bootstrap=False, feature_subset="all")
 
 
+@query(_WEEKDAY_MEANS)
+def forecast_by_weekday_hashed(spark, sf_dir):
+    """The same tree, grown by aggregations."""
+    daily = ops.daily_flow(data.lineitem_balance(spark, sf_dir))
+    options = {"num_trees": 1, "max_depth": 6, "bootstrap": False, "feature_subset": "all", "forest": "hashed"}
+    return ops.forecast_flow(daily, features=["day_of_week"], **options)
+
+
+@query()
+def forecast_flow_hashed(spark, sf_dir):
+    """No SQL: a hundred trees whose samples are drawn by hashes.  Tests check it for three layouts."""
+    return ops.forecast_flow(ops.daily_flow(data.lineitem_balance(spark, sf_dir)), forest="hashed")
+
+
 @query()
 def forecast_flow(spark, sf_dir):
     """No SQL: a random forest.  Tests check it against the known shape of the result."""
