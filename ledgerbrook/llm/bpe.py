@@ -5,6 +5,10 @@ pair has that rank; a two-level bitmap tells which buckets have entries, so the
 found by find-first-set.  An entry whose pair has changed meanwhile is stale
 and skipped.  Work is about linear in the pre-token's length, also when it is very long.
 
+The short pre-tokens that a task meets for the first time share one list and one queue: a step takes the
+lowest rank and merges its leftmost valid entry in each of them, which for every pre-token is the
+order it would have alone.
+
 Inputs: any table; ``null`` text is an empty text, with no ids.  Rows, ties and repeated rows keep
 their own result; an empty table gives an empty one.  Columns of the input with the same name
 as a result column are replaced by it, all others are kept when ``keep`` names them.
@@ -18,14 +22,19 @@ import sys
 from array import array
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import slices
+
 # Pre-tokens up to this length are remembered by a task, and so many of them.
 REMEMBERED_BYTES = 48
 REMEMBERED = 500_000
+# Bytes of text whose pre-tokens are looked up, and merged if new, at once.
+SLICE_BYTES = 8 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -47,6 +56,8 @@ class Merger:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.pairs[left << 32 | right] = rank
+        self.keys = np.array(sorted(self.pairs), np.int64)
+        self.found = np.array([self.pairs[key] for key in self.keys.tolist()], np.int64)
         self.words = max(ranks.values(), default=0) // self.WORD + 1
         self.bits = [1 << i for i in range(max(self.WORD, self.words))]
 
@@ -121,7 +132,87 @@ class Merger:
         return [i for i in ids if i >= 0]
 
 
-def pack(ids: list[int]) -> bytes:
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of pairs of ids, -1 where there is none; no pair has a negative id."""
+        keys = (left << 32) | right
+        at = self.keys.searchsorted(keys)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == keys, self.found[at], -1)
+
+    def merge_all(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of many pre-tokens, none of them empty, as ``merge`` has them one by one."""
+        if not len(self.keys):
+            return [np.array(self.merge(piece)) for piece in pieces]
+        sizes = np.array(list(map(len, pieces)))
+        size = int(sizes.sum())
+        ends = np.cumsum(sizes)
+        # Position ``size`` stands for the end of a pre-token; it has no id.
+        ids = np.append(np.array(self.ids)[np.frombuffer(b"".join(pieces), np.uint8)], -1)
+        piece = np.repeat(np.arange(len(pieces)), sizes)
+        after, before = np.arange(1, size + 2), np.arange(-1, size)
+        after[ends - 1] = size
+        before[ends - sizes] = size
+        low, top, bits = [0] * self.words, 0, self.bits
+        buckets: dict[int, list[int]] = {}
+
+        ranks = self._ranks(ids[:-1], ids[after[:-1]])
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.searchsorted(ranks[order], 0) :]
+        cuts = np.flatnonzero(np.diff(ranks[order])) + 1
+        for part in np.split(order, cuts) if len(order) else ():
+            rank = int(ranks[part[0]])
+            buckets[rank] = part.tolist()
+            low[rank >> 10] |= bits[rank & 1023]
+            top |= bits[rank >> 10]
+
+        while top:
+            word = (top & -top).bit_length() - 1
+            rank = word << 10 | (low[word] & -low[word]).bit_length() - 1
+            low[word] ^= bits[rank & 1023]
+            if not low[word]:
+                top ^= bits[word]
+            at = np.array(buckets.pop(rank))
+            at.sort()
+            gone = after[at]
+            valid = self._ranks(ids[at], ids[gone]) == rank  # the others are stale
+            at, gone = at[valid], gone[valid]
+            if not len(at):
+                continue
+            # The leftmost entry of each pre-token; the rest waits in the queue.
+            of = piece[at]
+            first = np.empty(len(at), bool)
+            first[0] = True
+            np.not_equal(of[1:], of[:-1], out=first[1:])
+            waiting = at[~first]
+            at, gone = at[first], gone[first]
+            ids[at] = rank
+            ids[gone] = -1
+            behind = after[gone]
+            after[at] = behind
+            before[behind] = at
+            last = before[at]
+            merged = np.full(len(at), rank)
+            near = np.concatenate([self._ranks(merged, ids[behind]), self._ranks(ids[last], merged)])
+            where = np.concatenate([at, last])
+            new = near >= 0
+            pairs = zip(near[new].tolist(), where[new].tolist())
+            if len(waiting):
+                pairs = [*pairs, *((rank, position) for position in waiting.tolist())]
+            for found, position in pairs:
+                if found in buckets:
+                    buckets[found].append(position)
+                else:
+                    buckets[found] = [position]
+                    low[found >> 10] |= bits[found & 1023]
+                    top |= bits[found >> 10]
+        left = ids[:-1] >= 0
+        cuts = np.cumsum(np.add.reduceat(left, ends - sizes))
+        return np.split(ids[:-1][left], cuts[:-1])
+
+
+def pack(ids: list[int] | np.ndarray) -> bytes:
+    if isinstance(ids, np.ndarray):
+        return ids.astype("<u4").tobytes()
     packed = array("I", ids)
     if sys.byteorder == "big":
         packed.byteswap()
@@ -152,14 +243,36 @@ class Encoder(dict):
         whole = self.ranks.get(raw)
         packed = pack([whole] if whole is not None else self.merger.merge(raw))
         if len(raw) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
             self[piece] = packed
         return packed
 
+    def learn(self, pieces: set[str]) -> None:
+        """Remember the short ones among some pre-tokens that are new, merged all at once."""
+        new = pieces.difference(self)
+        if len(self) + len(new) > REMEMBERED:
+            # What the last slice did not use goes.
+            for piece in [piece for piece in self if piece not in pieces]:
+                del self[piece]
+        unmerged, raws = [], []
+        for piece in new:
+            raw = piece.encode("utf-8")
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                self[piece] = pack([whole])
+            elif len(raw) <= REMEMBERED_BYTES:
+                unmerged.append(piece)
+                raws.append(raw)
+        if raws:
+            self.update(zip(unmerged, map(pack, self.merger.merge_all(raws))))
+
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.find(text)))
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        found = list(map(self.find, texts))
+        self.learn(set().union(*found))
+        return [b"".join(map(self.__getitem__, pieces)) for pieces in found]
+
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, unpack(packed)))
 
@@ -192,7 +305,8 @@ def encode(
     """
     shipped = table.sparkSession.sparkContext.broadcast((ranks, pattern))
     keep = [name for name in keep if name not in give]
-    source = table.select(*[F.col(f"`{name}`") for name in keep], F.col(f"`{text}`").cast("string").alias("__text"))
+    held = "text_" + "_" * max(map(len, keep), default=0)  # no kept column's name
+    source = table.select(*[F.col(f"`{name}`") for name in keep], F.col(f"`{text}`").cast("string").alias(held))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]]
     fields += [f"{name} {_RESULTS[name][0]}" for name in give]
 
@@ -201,10 +315,10 @@ def encode(
         encoder = vars(shipped).setdefault("encoder", None)
         if encoder is None:
             encoder = shipped.encoder = Encoder(*shipped.value)
-        for batch in batches:
+        for batch in slices(batches, held, SLICE_BYTES):
             made: list[list] = [[] for _ in give]
-            for value in batch.column(batch.num_columns - 1):
-                packed = encoder.encode(value.as_py() or "")
+            texts = [value or "" for value in batch.column(batch.num_columns - 1).to_pylist()]
+            for packed in encoder.encode_all(texts):
                 decoded = encoder.decode(packed)
                 for column, name in zip(made, give):
                     column.append(_RESULTS[name][2](packed, decoded))

@@ -453,3 +453,34 @@ def test_empty_tables(nothing):
     assert quality.judge(nothing).count() == 0
     assert bpe.encode(nothing, ranks, public_tokenizers.PATTERN).count() == 0
     assert lm.score(nothing).count() == 0
+
+
+def test_bpe_of_many_pieces_is_that_of_each():
+    draw = random.Random(9)
+    # A made-up vocabulary in which merges can give pairs of lower ranks, and many overlaps.
+    tokens = list(dict.fromkeys("".join(draw.choices("ab", k=draw.choice([2, 2, 3, 3, 4, 5]))).encode() for _ in range(60)))
+    draw.shuffle(tokens)
+    ranks = {token: i for i, token in enumerate([*tokens, *(bytes([i]) for i in range(256))])}
+    merger = bpe.Merger(ranks)
+    pieces = ["".join(draw.choices("abc", k=draw.randrange(1, 40))).encode() for _ in range(400)] + [b"a" * 48, b"b"]
+    assert [ids.tolist() for ids in merger.merge_all(pieces)] == [merger.merge(piece) for piece in pieces]
+    alone = bpe.Merger({bytes([i]): i for i in range(256)})
+    assert [ids.tolist() for ids in alone.merge_all([b"ab", b"c"])] == [[97, 98], [99]]
+
+
+def test_bpe_forgets_and_learns_again(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    known = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    draw = random.Random(1)
+    for _ in range(4):
+        texts = ["".join(draw.choices("abcdef ÜñÄ漢\n", k=draw.randrange(300))) for _ in range(20)] + ["", "x" * 5000]
+        assert [bpe.unpack(p).tolist() for p in encoder.encode_all(texts)] == [known.encode_ordinary(t) for t in texts]
+
+
+def test_bpe_keeps_any_column(spark):
+    ranks = {bytes([i]): i for i in range(256)}
+    table = spark.createDataFrame([("ab", "k", "l")], "text string, __text string, text_ string")
+    out = bpe.encode(table, ranks, ".", keep=["__text", "text_", "text"], give=["n_tokens"])
+    assert [tuple(r) for r in out.collect()] == [("k", "l", "ab", 2)]
