@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import Texts, mix, slices, texts_of, words_of
+from ..operators import top_by_count
+from .arrays import Texts, mix, signed, slices, texts_of, words_of
 from .tables import saved
 
 STATE = 24
@@ -39,6 +40,8 @@ PLACES = PER_CLASS * FREQUENT_CLASSES  # ids of frequent words; rare classes fol
 
 # Words with a broadcast count (12 bytes each).
 TABLE_WORDS = 1 << 19
+# Counts from here on are one number when the least count of the table is looked for.
+CLIPPED = 1 << 16
 ROUNDS = 2
 BATCH_TEXTS, WINDOW = 32, 16
 SCORE_WINDOW = 32
@@ -120,17 +123,27 @@ class Vocabulary(NamedTuple):
     types: int
 
 
-def vocabulary(counted: DataFrame) -> Vocabulary:
-    """The frequent words, as many as the table may hold, by a threshold on the count."""
-    sizes = counted.groupBy(F.least("c", F.lit(1 << 16)).alias("c")).agg(F.count("*").alias("n")).orderBy(F.desc("c"))
+def _held(counted: DataFrame) -> DataFrame:
+    """The most frequent words, ``TABLE_WORDS`` at most: all that reach a count or, if even the largest
+    counted one has too many, as many as there is room for, by count and then by word; always with the end."""
+    sizes = counted.groupBy(F.least("c", F.lit(CLIPPED)).alias("c")).agg(F.count("*").alias("n")).orderBy(F.desc("c"))
     least, held = 0, 0
-    for row in sizes.collect():  # at most 2**16 counts
+    for row in sizes.collect():  # at most CLIPPED counts
         held += row.n
         if held > TABLE_WORDS:
             break
         least = row.c
+    if least:
+        return counted.where(F.col("c") >= least)
+    end = F.lit(int(signed(np.array([END]))[0]))
+    others = top_by_count(counted.where(F.col("word") != end), "word", TABLE_WORDS - 1, count="c")
+    return others.drop("rank").unionByName(counted.where(F.col("word") == end))
+
+
+def vocabulary(counted: DataFrame) -> Vocabulary:
+    """The frequent words, as many as the table may hold, and the totals."""
     total = counted.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    rows = counted.where(F.col("c") >= max(least, 1)).select("word", "rare", "c").toArrow()
+    rows = _held(counted).select("word", "rare", "c").toArrow()
     word, c = rows["word"].to_numpy().view(np.uint64), rows["c"].to_numpy()
     order = np.argsort(word)
     word, c = word[order], c[order]

@@ -484,3 +484,15 @@ def test_bpe_keeps_any_column(spark):
     table = spark.createDataFrame([("ab", "k", "l")], "text string, __text string, text_ string")
     out = bpe.encode(table, ranks, ".", keep=["__text", "text_", "text"], give=["n_tokens"])
     assert [tuple(r) for r in out.collect()] == [("k", "l", "ab", 2)]
+
+
+@pytest.mark.parametrize("limit, clipped, want", [(4, 1 << 16, 4), (4, 2, 4), (30, 2, 22), (1, 1, 1)])
+def test_lm_word_table_is_bounded(spark, monkeypatch, limit, clipped, want):
+    """Equal counts, and counts beyond the largest that is told apart."""
+    monkeypatch.setattr(lm, "TABLE_WORDS", limit)
+    monkeypatch.setattr(lm, "CLIPPED", clipped)
+    texts = spark.createDataFrame([(" ".join(f"w{i}" for i in range(21)),)] * 5, "text string")
+    counted = lm.counts(texts.select(F.col("text").cast("binary").alias("text"))).cache()
+    words = lm.vocabulary(counted)
+    assert len(words.word) == want and words.types == 22 and words.tokens == 110
+    assert lm.END in words.word
