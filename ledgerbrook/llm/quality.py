@@ -147,23 +147,25 @@ def judge(table: DataFrame, *, text: str = "text") -> DataFrame:
     Columns of the table that have the name of a measure are replaced.
     """
     raw = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    # Longer than any column's name, so that none clashes.
+    mark = "_" * (1 + max(map(len, table.columns)))
     measures = {
-        "__text": raw,
-        "__words": words(raw),
-        "__lines": F.split(raw, "\n"),
+        f"{mark}text": raw,
+        f"{mark}words": words(raw),
+        f"{mark}lines": F.split(raw, "\n"),
     }
     frame = table.select("*", *[column.alias(name) for name, column in measures.items()])
     # One row in, one row out: keeps the optimizer from computing the arrays once per use.
-    frame = frame.withColumn("__all", F.explode(F.array(F.struct(*measures)))).drop(*measures)
-    body = F.col("__all.__text")
+    frame = frame.withColumn(f"{mark}all", F.explode(F.array(F.struct(*measures)))).drop(*measures)
+    body, parts, lines = (F.col(f"{mark}all.{mark}{name}") for name in ("text", "words", "lines"))
     frame = frame.withColumns(
         {
-            "n_words": F.size("__all.__words").cast("bigint"),
+            "n_words": F.size(parts).cast("bigint"),
             "word_chars": word_chars(body).cast("bigint"),
             "n_symbols": symbols(body).cast("bigint"),
-            "n_dup_lines": duplicate_lines(F.col("__all.__lines")),
-            "n_repeat_words": repeated_words(F.col("__all.__words")),
-            "clean_text": F.array_join(F.filter("__all.__lines", good_line), "\n"),
+            "n_dup_lines": duplicate_lines(lines),
+            "n_repeat_words": repeated_words(parts),
+            "clean_text": F.array_join(F.filter(lines, good_line), "\n"),
         }
     )
     failed = (F.col("n_words") < MIN_WORDS) | (
@@ -176,5 +178,5 @@ def judge(table: DataFrame, *, text: str = "text") -> DataFrame:
             "kept",
             ~F.col("base_failed") & (100 * F.col("clean_chars") >= KEEP_PERCENT * F.col("word_chars")),
         )
-        .drop("__all")
+        .drop(f"{mark}all")
     )

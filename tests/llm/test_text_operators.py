@@ -496,3 +496,10 @@ def test_lm_word_table_is_bounded(spark, monkeypatch, limit, clipped, want):
     words = lm.vocabulary(counted)
     assert len(words.word) == want and words.types == 22 and words.tokens == 110
     assert lm.END in words.word
+
+
+def test_quality_keeps_any_column(spark):
+    names = ["__text", "__words", "__lines", "__all", "n_words", "_", "text"]
+    table = spark.createDataFrame([tuple("abcdef") + ("word " * 30,)], names)
+    row = quality.judge(table).first()
+    assert [row[name] for name in names if name not in ("n_words", "text")] == ["a", "b", "c", "d", "f"] and row.n_words == 30

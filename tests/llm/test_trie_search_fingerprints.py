@@ -310,3 +310,9 @@ def test_merged_is_the_union(spark):
         every = [fingerprints.sketch(t or "") for g, t in texts if g == group]
         union = np.unique(np.concatenate(every))
         assert found[group] == fingerprints.to_text(fingerprints._normal(union)), group
+
+
+def test_fingerprints_keep_any_column(spark):
+    table = spark.createDataFrame([("same text", "k", "l")], "text string, __text string, text_ string")
+    row = fingerprints.fingerprints(table, keep=["__text", "text_", "text"]).first()
+    assert tuple(row) == ("k", "l", "same text", fingerprints.to_text(fingerprints.sketch("same text")))
