@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def key_value_lines(table: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
-    """``key TAB value,value...``; doubles keep the notation of their cast, such as ``3.2488348E7``."""
+    """``key TAB value,value...``; doubles keep the notation of their cast, such as ``2.75E7``."""
     text = F.concat_ws(",", *[F.col(name).cast("string") for name in values])
     return table.select(F.concat_ws("\t", F.col(key).cast("string"), text).alias("value"))
 

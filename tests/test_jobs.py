@@ -18,10 +18,10 @@ BALANCE = """user_id,report_date,tBalance,y,total_purchase_amt,direct_purchase_a
 # The same without values that a strict job refuses.
 CLEAN = BALANCE.replace("50.5", "50").replace(",,0,0,0,30", ",0,0,0,0,30").replace("0,50,0,0,\n", "0,50,0,0,2\n")
 PROFILE = """user_id,Sex,City,constellation
-1,1,6081949,狮子座
-2,0,6081949,双子座
-2,0,6081949,狮子座
-3,1,6281949,双子座
+1,1,101,狮子座
+2,0,101,双子座
+2,0,101,狮子座
+3,1,102,双子座
 """
 NEWS = """id,headline,date,stock
 0,Stocks rise on the Fed's news,x,MS
@@ -75,9 +75,9 @@ def test_daily_flow_as_csv(spark, files, read_out):
 
 
 def test_weekday_flow(spark, write, files, read_out):
-    daily = write("daily", "20130701\t3.2488348E7,5525022.0\n20130708\t2.0,1.0\n20130702\t2.903739E7,2554548.0\n")
+    daily = write("daily", "20150105\t4.4E7,2500000.0\n20150112\t2.0,1.0\n20150106\t2.75E7,1250000.0\n")
     jobs.run_weekday_flow(spark, daily, files["out"])
-    assert read_out(files["out"]) == "Tuesday\t2.903739E7,2554548.0\nMonday\t1.6244175E7,2762511.5\n"
+    assert read_out(files["out"]) == "Tuesday\t2.75E7,1250000.0\nMonday\t2.2000001E7,1250000.5\n"
 
 
 def test_active_days_then_groups(spark, files, read_out):
@@ -105,12 +105,12 @@ def test_active_user_count(spark, files, read_out):
 
 def test_city_average_balance(spark, files, read_out):
     jobs.run_city_average_balance(spark, files["balance"], files["profile"], files["out"], day="20140301")
-    assert read_out(files["out"]) == "City,average_balance\r\n6281949,81.0\r\n6081949,80.0\r\n"
+    assert read_out(files["out"]) == "City,average_balance\r\n102,81.0\r\n101,80.0\r\n"
 
 
 def test_top_users_by_city(spark, files, read_out):
     jobs.run_top_users_by_city(spark, files["clean"], files["profile"], files["out"], first="20140801", last="20140831", n=1)
-    assert read_out(files["out"]) == "City\tuser_id\ttotal_flow\n6081949\t1\t153\n6281949\t3\t30\n"
+    assert read_out(files["out"]) == "City\tuser_id\ttotal_flow\n101\t1\t153\n102\t3\t30\n"
 
 
 def test_forecast(spark, write, files, read_out):
