@@ -16,8 +16,9 @@
    A region whose nodes are all one component is done.  In the others more nodes become pivots, more
    with each round; a pivot is compared with nodes of other components and leaves.  In regions of at most ``LEAF`` nodes all do so at once.  A pair is skipped where the
    shingles before the region's own leave too little to be common: if it links, it has an earlier common one.
-4. Before two sets are compared, a metric that never exceeds the Jaccard distance (that of
-   bucket counts of the shingles) drops the pairs beyond 2r.
+4. Before two sets are compared, metrics that never exceed the size of their difference (of
+   bucket counts of the shingles, and of the parities of ``ODD_BITS`` buckets) drop the pairs beyond 2r. The
+   second is a condition of the join of a region's nodes with its pivots: no row is made of a pair that it tells apart.
 
 The outcome is exact: no cap, no sampling.  What is broadcast are bitmaps of a fixed size that
 only steer the order of shingles and the choice of texts to be read again.
@@ -31,10 +32,12 @@ A null id is ignored as the smallest id of its component.  Shingles and sets are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import Sequences, mix, signed, slices, texts_of, words_of
@@ -49,6 +52,8 @@ FREQUENT = 32
 COUNTED_PERCENT, COUNTED_SHORT = 30, 128
 # In regions up to this size every node becomes a pivot at once; in larger ones more with each round.
 LEAF = 8
+# Parities that a node carries into the later rounds.
+ODD_BITS = 1024
 FIRST_PIVOTS, MORE_PIVOTS = 2, 16
 
 
@@ -86,6 +91,18 @@ def _sketch(ordered: np.ndarray) -> bytes:
     return np.minimum(np.bincount(place.astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
 
 
+def _odd(names: np.ndarray) -> np.ndarray:
+    """The parity of the shingles in each bucket, as 64-bit numbers: a shingle that one of two sets lacks flips one bit."""
+    count = np.bincount((mix(names) & np.uint64(ODD_BITS - 1)).astype(np.int64), minlength=ODD_BITS)
+    return np.packbits((count & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _odds_apart(a: str, b: str) -> Column:
+    """In how many parities two sets differ: at most the size of their symmetric difference."""
+    parts = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(ODD_BITS // 64)]
+    return reduce(add, parts)
+
+
 def _ordered(names: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """Signed numbers whose order has frequent shingles last."""
     hot = in_bitmap(frequent, names >> np.uint64(31))
@@ -113,12 +130,12 @@ def _frequent(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def _sets(table: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Per document: id, node (fingerprint of the set), n, hash of the text, sketch, prefix."""
+    """Per document: id, node (fingerprint of the set), n, hash of the text, sketch, parities, prefix."""
     shipped = table.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            nodes, counts, sketches, prefixes = [], [], [], []
+            nodes, counts, sketches, odds, prefixes = [], [], [], [], []
             for names in shingles(batch.column(1), size):
                 n = len(names)
                 counts.append(n)
@@ -127,6 +144,7 @@ def _sets(table: DataFrame, size: int, percent: int, frequent: np.ndarray) -> Da
                 )
                 order = _ordered(names, shipped.value)
                 sketches.append(_sketch(names) if n else None)
+                odds.append(_odd(names) if n else None)
                 prefixes.append(order[: _prefix(n, percent)] if n else order)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -135,13 +153,14 @@ def _sets(table: DataFrame, size: int, percent: int, frequent: np.ndarray) -> Da
                     pa.array(nodes, pa.int64()),
                     pa.array(counts, pa.int64()),
                     pa.array(sketches, pa.binary()),
+                    pa.array(odds, pa.list_(pa.int64())),
                     pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                names=["id", "text_hash", "node", "n", "sketch", "prefix"],
+                names=["id", "text_hash", "node", "n", "sketch", "odd", "prefix"],
             )
 
     kind = table.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, text_hash bigint, node bigint, n bigint, sketch binary, prefix array<bigint>"
+    schema = f"id {kind}, text_hash bigint, node bigint, n bigint, sketch binary, odd array<bigint>, prefix array<bigint>"
     return table.select("id", "text", "text_hash").mapInArrow(run, schema)
 
 
@@ -221,7 +240,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     """``node, component`` of all nodes that link with another."""
     release(sets.sparkSession)
     filled = sets.where("n > 0")
-    nodes = filled.groupBy("node").agg(*[F.min(c).alias(c) for c in ("n", "sketch", "text_hash")])
+    nodes = filled.groupBy("node").agg(*[F.min(c).alias(c) for c in ("n", "sketch", "text_hash", "odd")])
     nodes = saved(nodes, "nodes")
     rows = filled.select("node", "n", "prefix").dropDuplicates(["node"])
     rows = rows.select("node", "n", F.posexplode("prefix").alias("at", "region"))
@@ -230,10 +249,10 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     rows = rows.select("*", F.count("*").over(Window.partitionBy("region")).alias("m")).where("m > 1")
     rows = saved(rows, "regions")
     # The original of many near copies lies in larger regions than they do, who have parts of their own.
-    central = rows.groupBy("node").agg(F.avg("m").alias("central")).join(nodes.select("node", "n"), "node")
+    central = rows.groupBy("node").agg(F.avg("m").alias("central")).join(nodes.select("node", "n", "odd"), "node")
     central = saved(central, "central")
     release(sets.sparkSession)
-    placed = rows.select("region", "node", "rest").join(central, "node")
+    placed = rows.select("region", "node", "rest").join(central.select("node", "central"), "node")
     middle = placed.groupBy("region").agg(F.max_by("node", F.struct("central", "node")).alias("pivot"))
     rows = saved(rows.join(middle, "region").select("region", "node", "rest", "pivot"), "regions")
     pairs = rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
@@ -267,7 +286,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
             F.max("zone").over(region).alias("far"), F.count("*").over(region).alias("m"),
         ).where("low < high and far = 2")
         number = F.row_number().over(region.orderBy(F.desc("central"), "node"))
-        kept = ("node", "size", "rest", "zone", "n", "c")
+        kept = ("node", "size", "rest", "zone", "n", "c", "odd")
         rows = saved(rows.select("region", *kept, "m", number.alias("k")), "rest")
         release(sets.sparkSession)
         if rows.isEmpty():
@@ -279,8 +298,10 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
             F.col("size") + F.col("pivot_size")
         ) - (100 - percent) * (F.col("n") + F.col("pivot_n"))
         apart = (F.col("c") != F.col("pivot_c")) & (F.greatest("zone", "pivot_zone") == 2)
+        most = F.expr(f"(n + pivot_n) * {100 - percent} div {100 + percent}")
+        alike = _odds_apart("odd", "pivot_odd") <= most
         ends = [F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")]
-        pairs = rows.join(pivots, "region").where(apart & enough).select(*ends).distinct()
+        pairs = rows.join(pivots, "region").where(apart & enough & alike).select(*ends).distinct()
         done = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
