@@ -94,12 +94,19 @@ def rank_by_count(table: DataFrame, key: str, *, count: str = "n", rank: str = "
     placed = _pieces(table, count, F.col(key))
     pieces = placed.groupBy(F.col(count).alias("__n"), F.col("__piece").alias("__p")).agg(F.count("*").alias("__rows"))
     offsets = _ahead(pieces, table, count, [F.col("__p")]).drop("__rows")
-    same = F.col(count).eqNullSafe(F.col("__n")) & (F.col("__piece") == F.col("__p"))
-    place = F.row_number().over(Window.partitionBy(count, "__piece").orderBy("__at"))
-    ranked = placed.withColumn("__place", place).join(offsets, same)
+    # Keys that are never NULL: the join finds the rows where the window has put them.
+    offsets = offsets.select(*_known("__n"), F.col("__p").alias("__piece"), "__ahead")
+    keys = ["__known", "__none", "__piece"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("__at"))
+    ranked = placed.select("*", *_known(count)).withColumn("__place", place).join(offsets, keys)
     return ranked.select(*table.columns, (F.col("__ahead") + F.col("__place")).alias(rank))
 
 
+def _known(name: str) -> list[Column]:
+    value = F.col(name)
+    return [F.coalesce(value, F.lit(0)).alias("__known"), value.isNull().alias("__none")]
+
+
 def top_by_count(table: DataFrame, key: str, k: int, *, count: str = "n", rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of ``rank_by_count``, with their ranks.
 
@@ -113,8 +120,8 @@ def top_by_count(table: DataFrame, key: str, k: int, *, count: str = "n", rank:
     placed = _pieces(kept, count, F.col(key), drawn_from=table)
     pieces = placed.groupBy(F.col(count).alias("__n"), F.col("__piece").alias("__p")).agg(F.count("*").alias("__rows"))
     earlier = F.coalesce(F.sum("__rows").over(_before([F.col("__p")], "__n")), F.lit(0))
-    # A value's first piece has none before it, and most values have no other.
-    pieces = pieces.select("__n", "__p", earlier.alias("__earlier")).where("__p > 0")
+    # A value's first piece has none before it, and most values have no other: a row for ``PIECE_ROWS`` rows.
+    pieces = F.broadcast(pieces.select("__n", "__p", earlier.alias("__earlier")).where("__p > 0"))
     same = F.col(count).eqNullSafe(F.col("__n")) & (F.col("__piece") == F.col("__p"))
     place = F.row_number().over(Window.partitionBy(count, "__piece").orderBy("__at"))
     ranked = placed.withColumn("__place", place).join(pieces, same, "left")
@@ -148,8 +155,8 @@ def rank_by_value_in_groups(
     pieces = placed.groupBy(F.col(group).alias("__g"), F.col("__piece").alias("__p")).agg(F.count("*").alias("__rows"))
     before = F.coalesce(F.sum("__rows").over(_before([F.col("__p")], "__g")), F.lit(0))
     pieces = pieces.select("__g", "__p", before.alias("__offset"))
-    # The first piece of a group has nothing before it: most groups need no join.
-    pieces = pieces.where("__p > 0" if first is None else f"__p > 0 and __offset < {int(first)}")
+    # The first piece of a group has nothing before it, and most groups have no other: a row for ``PIECE_ROWS`` rows.
+    pieces = F.broadcast(pieces.where("__p > 0" if first is None else f"__p > 0 and __offset < {int(first)}"))
     place = F.row_number().over(Window.partitionBy(group, "__piece").orderBy("__at"))
     ranked = placed.withColumn("__place", place)
     if first is not None:

@@ -118,3 +118,14 @@ def test_generic_lists_measure_their_buckets(spark, monkeypatch):
     got = {(r.g, r.k): r.rank for r in ops.top_n_per_group(table, "g", order, 5).collect()}
     every = {(r.g, r.k): r.rank for r in ops.rank_in_groups(table, "g", order).collect()}
     assert got == {key: rank for key, rank in every.items() if rank <= 5}
+
+
+def test_rows_are_shuffled_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3000).selectExpr("id k", "id % 50 n", "id % 7 g").write.parquet(path)
+    table = spark.read.parquet(path)
+    for frame in (ops.rank_by_count(table, "k"), ops.rank_by_value_in_groups(table, "g", "n", "k")):
+        row_shuffles = [line for line in plan_of(frame).splitlines() if "Exchange hashpartitioning" in line and "__piece" in line]
+        assert all("isnull" not in line and "coalesce" not in line for line in row_shuffles)
+        # The rows' own, and those of counts by piece.
+        assert len(row_shuffles) <= 3, row_shuffles
