@@ -12,7 +12,7 @@ from ..session import ensure_checkpoint_dir
 # monotonically_increasing_id keeps the partition above and the row number below this bit.
 _ROW_BITS = 33
 
-# Rows of a hash bucket within which rows are first cut, and at least so many times the rows that stay.
+# Rows of a hash bucket within which rows are first cut, at least so many times the rows that stay.
 BUCKET_ROWS = 1 << 18
 _SHRINK = 8
 
@@ -57,22 +57,17 @@ def global_rank(table: DataFrame, order: Sequence[Column], *, rank: str = "rank"
     )
 
 
-def _cut(table: DataFrame, group: str | None, order: Sequence[Column], n: int) -> DataFrame:
+def _cut(table: DataFrame, group: list[str], order: Sequence[Column], n: int) -> DataFrame:
     """At most the first ``n`` rows of each hash bucket of a group: all that can be among the first n.
 
-    Groups are counted first and get buckets in proportion to their rows, one if they are small.
+    The table is counted first, and its groups get as many buckets as a group of all rows would need, so
+    that no bucket is too large for a task; a small group keeps what it has.
     """
-    fits = F.lit(max(BUCKET_ROWS, _SHRINK * n))
-    buckets = F.greatest(F.lit(1), F.ceil(F.count("*") / fits)).alias("__buckets")
-    if group is None:
-        sized = table.withColumn("__buckets", table.agg(buckets).scalar())
-    else:
-        sizes = table.groupBy(F.col(f"`{group}`").alias("__of")).agg(buckets)
-        sized = table.join(sizes, F.col(f"`{group}`").eqNullSafe(F.col("__of"))).drop("__of")
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in table.columns]), F.col("__buckets"))
-    bucket = Window.partitionBy(*([] if group is None else [F.col(f"`{group}`")]), "__bucket").orderBy(*order)
-    cut = sized.withColumn("__bucket", spread).withColumn("__row", F.row_number().over(bucket))
-    return cut.where(F.col("__row") <= n).drop("__bucket", "__buckets", "__row")
+    buckets = table.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(max(BUCKET_ROWS, _SHRINK * n))))).scalar()
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in table.columns]), buckets)
+    bucket = Window.partitionBy(*[F.col(f"`{name}`") for name in group], "__bucket").orderBy(*order)
+    cut = table.withColumn("__bucket", spread).withColumn("__row", F.row_number().over(bucket))
+    return cut.where(F.col("__row") <= n).drop("__bucket", "__row")
 
 
 def top_k(table: DataFrame, order: Sequence[Column], k: int, *, rank: str = "rank") -> DataFrame:
@@ -81,7 +76,7 @@ def top_k(table: DataFrame, order: Sequence[Column], k: int, *, rank: str = "ran
     Rows are cut within hash buckets, as many as the table needs, and what is left takes the global
     rank: one plan for any ``k``.  ``top_by_count`` does the same without a checkpoint for counts.
     """
-    return global_rank(_cut(table, None, order, k), order, rank=rank).where(F.col(rank) <= k)
+    return global_rank(_cut(table, [], order, k), order, rank=rank).where(F.col(rank) <= k)
 
 
 def rank_in_groups(
@@ -112,9 +107,9 @@ def top_n_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group with ranks 1..n.
 
-    Each group is cut within hash buckets, as many as its rows need (Spark keeps at most ``n`` rows per
+    Each group is cut within hash buckets, as many as the table's rows need (Spark keeps at most ``n`` rows per
     bucket and map task where ``n`` is small), and what is left is ranked in its group: one plan
     for any ``n``.  ``rank_by_value_in_groups`` does the same without a checkpoint for the order by one value.
     """
-    left = _cut(table, group, order, n)
+    left = _cut(table, [group], order, n)
     return rank_in_groups(left, group, order, rank=rank).where(F.col(rank) <= n)
