@@ -236,6 +236,20 @@ def near_pairs(
     return found.where(similar(least)).select("a", "b", zone, "own", "lacks")
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (``node, component``) with more links: only these, seen between components, are followed."""
+    of = found.select(F.col("node").alias("of"), "component")
+    ends = {}
+    for side in "ab":
+        links = links.join(of, F.col(side) == F.col("of"), "left").withColumn(f"{side}_in", F.coalesce("component", side))
+        links = links.drop("of", "component")
+        ends[side] = F.col(f"{side}_in").alias(side)
+    merged = components(saved(links.select(*ends.values()).where("a <> b").distinct(), "links"))
+    moved = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = found.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return saved(old.unionByName(merged.join(found, "node", "left_anti")), "components")
+
+
 def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component`` of all nodes that link with another."""
     release(sets.sparkSession)
@@ -306,9 +320,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             asked = done.unionByName(pairs)
-            new = near_pairs(pairs, nodes, texts, size, percent, percent).select("a", "b")
-            links = saved(links.unionByName(new), "links")
-            found = components(links)
+            found = _joined(found, near_pairs(pairs, nodes, texts, size, percent, percent).select("a", "b"))
         rows = rows.where(~chosen).select("region", "node", "size", "rest", "zone")
         many *= MORE_PIVOTS
 
