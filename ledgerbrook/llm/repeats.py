@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import Sequences, Texts, mix, packed, signed, slices, texts_of, unpacked, words_of
-from .tables import bitmap, in_bitmap, release, saved
+from .tables import bitmap, discard, in_bitmap, release, saved
 
 BYTE_SLICE = 1 << 20
 _BYTE_NAMES = mix(np.arange(1, 257, dtype=np.uint64))
@@ -241,7 +241,9 @@ def _compared(texts: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
                 names=["name", "key", "start"],
             )
 
-    return joined.mapInArrow(windows, "name bigint, key bigint, start int")
+    found = saved(joined.mapInArrow(windows, "name bigint, key bigint, start int"), "windows")
+    discard(joined)
+    return found
 
 
 def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFrame:
@@ -259,7 +261,8 @@ def repeated_spans(texts: DataFrame, anchors: DataFrame, shape: Shape) -> DataFr
     open_cores = open_cores.where("classes > 1 and least = 1").select("core")
     wanted = saved(classes.join(open_cores, "core", "left_semi").select("one.*"), "wanted")
     release(texts.sparkSession)
-    windows = saved(_compared(texts, wanted, shape), "windows")
+    windows = _compared(texts, wanted, shape)
+    discard(wanted)
     release(texts.sparkSession)
     twice = windows.groupBy("name").count().where("count > 1").select("name")
     found = windows.join(twice, "name", "left_semi")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+from urllib.parse import unquote
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,17 @@ def saved(table: DataFrame, label: str) -> DataFrame:
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Give back the space of a table that ``saved`` wrote, once all that reads it is written.
+
+    It is overwritten without rows; no plan that still has to run may read it.
+    """
+    files = table.inputFiles()
+    if files:
+        empty = table.sparkSession.createDataFrame([], table.schema)
+        empty.coalesce(1).write.mode("overwrite").parquet(unquote(files[0].rsplit("/", 1)[0]))
+
+
 def release(spark: SparkSession) -> None:
     """Let executors delete the shuffle files of finished steps.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from ledgerbrook.llm import bpe, decontaminate, jaccard_join, lm, quality, quotes, substring_dedup, suffix_dedup
-from ledgerbrook.llm import toxicity, url_filter
+from ledgerbrook.llm import tables, toxicity, url_filter
 from ledgerbrook.llm.arrays import words_of, texts_of
 from ledgerbrook.llm.repeats import Shape
 from ledgerbrook.llm.tables import components
@@ -164,6 +164,30 @@ def test_suffix_dedup(table, rows, shape):
     assert multiset(suffix_dedup.remove_repeated_bytes(table, shape=shape, digests=True)) == want
 
 
+def test_suffix_ranks_are_places_in_sorted_order(spark):
+    assert suffix_dedup.rounds_of(suffix_dedup.SHAPE) == [26, 52]
+    draw = random.Random(12)
+    rows = [(i, draw.randrange(-3, 3), draw.randrange(-3, 3)) for i in range(60)]
+    rows += [(60, 9, 9), (61, -9, 0)]
+    table = tables.saved(spark.createDataFrame(rows, "key bigint, rank bigint, next bigint"), "suffixes")
+    folder = table.inputFiles()[0].rsplit("/", 1)[0]
+    got = {r.key: r.rank for r in suffix_dedup.reranked(table, "next").collect()}
+    seen = Counter(row[1:] for row in rows)
+    left = {key: (rank, ahead) for key, rank, ahead in rows if seen[rank, ahead] > 1}
+    assert got.keys() == left.keys()
+    for a in left:
+        for b in left:
+            assert (got[a] < got[b]) == (left[a] < left[b])
+    assert spark.read.parquet(folder).count() == 0  # its space is given back
+
+
+def test_suffix_dedup_with_a_full_bitmap(monkeypatch, table, rows):
+    want = multiset(suffix_dedup.remove_repeated_bytes(table, digests=True))
+    full = np.full(1 << (tables.BITMAP_BITS - 6), -1, np.int64)
+    monkeypatch.setattr(suffix_dedup, "bitmap", lambda *_: full)
+    assert multiset(suffix_dedup.remove_repeated_bytes(table, digests=True)) == want
+
+
 # ---- 5
 
 
