@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -293,6 +294,112 @@ def test_quotes_without_origin_stay(spark):
     assert got[2] == (0, "<|user|>\n> from elsewhere\nboth\n")
 
 
+def plain(line):
+    marks = re.match(r"([ \t]*>)+", line)
+    marks = marks.group() if marks else ""
+    return marks.count(">"), " ".join(line[len(marks) :].split()).lower()
+
+
+def pieces_of(text):
+    """``level, first place, lines, words`` of the passages of a text."""
+    out, last = [], (-1, "")
+    for place, line in enumerate(text.split("\n")):
+        now = plain(line)
+        if now[1]:
+            if now[0] != last[0] or not last[1]:
+                out.append((now[0], place, []))
+            out[-1][2].append(now[1])
+        last = now
+    return out
+
+
+def brute_threads(rows):
+    """``parent`` by (conv, turn), and ``linked`` places by (conv, turn, text)."""
+    own = defaultdict(lambda: (set(), set()))
+    runs = lambda words: {tuple(words[i : i + quotes.WINDOW]) for i in range(len(words) - quotes.WINDOW + 1)}
+    for conv, turn, _, text in rows:
+        for level, _, lines in pieces_of(text or ""):
+            if not level and turn is not None:
+                whole, parts = own[conv, turn]
+                whole.update([" ".join(lines), *lines])
+                parts.update(*(runs(x.split()) for x in [" ".join(lines), *lines]))
+
+    def origin(conv, turn, body):
+        if turn is None:
+            return None
+        before = sorted((t for c, t in own if c == conv and t < turn), reverse=True)
+        words, parts = body.split(), Counter()
+        names = [body] + [" ".join(words[i : i + quotes.WINDOW]) for i in range(len(words) - quotes.WINDOW + 1)]
+        known = lambda t, name: name in own[conv, t][0] or tuple(name.split()) in own[conv, t][1]
+        found = [next((t for t in before if known(t, name)), None) for name in names]
+        if found[0] is not None:
+            return found[0]
+        if not found[1:] or None in found[1:]:
+            return None
+        parts = Counter(found[1:])
+        return max(parts, key=lambda t: (parts[t], t))
+
+    votes, linked = defaultdict(list), defaultdict(set)
+    for conv, turn, text in {(c, t, x or "") for c, t, _, x in rows}:
+        for level, first, lines in pieces_of(text):
+            if level:
+                whole = origin(conv, turn, " ".join(lines))
+                each = [(i, origin(conv, turn, x) if whole is None else whole) for i, x in enumerate(lines)]
+                for i, found in each:
+                    if found is not None:
+                        votes[conv, turn].append((found, level))
+                        linked[conv, turn, text].add(first + i)
+    parents = {}
+    for key, cast in votes.items():
+        n = Counter(t for t, _ in cast)
+        parents[key] = min(n, key=lambda t: (min(lv for o, lv in cast if o == t), -n[t], -t))
+    return parents, linked
+
+
+@pytest.mark.parametrize("span", [1024, 3])
+def test_threads_by_brute_force(spark, monkeypatch, span):
+    monkeypatch.setattr(quotes, "SPAN", span)
+    draw = random.Random(span)
+    rows = []
+    for conv in range(6):
+        texts = []
+        for turn in range(14):
+            lines = [sentence(draw, draw.randrange(1, 14), 40) if draw.random() < 0.8 else "" for _ in range(4)]
+            for _ in range(draw.randrange(3) if texts else 0):
+                words = " ".join(x for x in draw.choice(texts).split("\n") if ">" not in x).split()
+                start = draw.choice([0, draw.randrange(len(words) + 1)])
+                words = words[start : start + draw.randrange(5, 40)]
+                width = draw.randrange(3, 12)
+                cut = [words[i : i + width] for i in range(0, len(words), width)]
+                lines += [">" * draw.choice([1, 1, 2]) + " " + " ".join(x).upper() for x in cut] + draw.choice([[], [">"]])
+                lines += draw.choice([["reply"], ["> never written before by any one at all here"], draw.choice(texts).split("\n")[:2]])
+            texts.append("\n".join(lines))
+            rows.append((conv, turn, "user", texts[-1]))
+    rows += [rows[5], (*rows[9][:3], rows[20][3]), (0, None, "user", rows[3][3]), (None, 1, "user", rows[3][3]), (3, 99, None, None)]
+    table = spark.createDataFrame([(*row, "x") for row in rows], "conv_id bigint, turn bigint, role string, text string, body string")
+    got = quotes.threads(table).collect()
+    parents, linked = brute_threads([row for row in rows if row[0] is not None])
+    assert len(set(parents.values())) > 5 and any(len(x) > 3 for x in linked.values())
+
+    def content(conv, turn, role, text):
+        gone, lines = linked.get((conv, turn, text or ""), ()), (text or "").split("\n")
+        keep = [x for i, x in enumerate(lines) if i not in gone and not (gone and plain(x)[0] and not plain(x)[1])]
+        return f"<|{role or ''}|>\n" + "\n".join(keep).strip(" \t\n") + "\n"
+
+    want = Counter((r[0], r[1], parents.get(r[:2]), content(*r)) for r in rows)
+    assert Counter((r.conv_id, r.turn, r.parent_turn, r.content) for r in got) == want
+
+
+def test_a_rewrapped_paragraph_finds_the_nearest_origin(spark):
+    long = " ".join(f"word{i}" for i in range(24))
+    quote = "\n".join("> " + " ".join(long.split()[i : i + 8]) for i in range(0, 24, 8))
+    part = "> " + " ".join(long.split()[5:15])
+    rows = [(1, 0, "user", long), (1, 1, "user", long), (1, 2, "user", quote + "\nyes"), (1, 3, "user", part + "\nno")]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.turn: (r.parent_turn, r.content) for r in quotes.threads(table).collect()}
+    assert got[2] == (1, "<|user|>\nyes\n") and got[3] == (1, "<|user|>\nno\n")
+
+
 def test_url_rules_and_trees(spark):
     urls = [
         "https://a.example.org/es/1", "https://example.org/en/12", "https://x.ORG/en/1", "https://b.com/fr/2?x=1",
