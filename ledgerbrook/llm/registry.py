@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     bpe,
@@ -25,6 +26,9 @@ from . import (
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# Parts of queries that SQL can say when it cannot say the whole.
+VIEWS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+VIEW_ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
@@ -148,6 +152,31 @@ def op7_url_filter(spark, sf_dir):
     return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.RULES)
 
 
+URL_SQL = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+named AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+         AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts),
+rules (verdict, rule_host, rule_path) AS (VALUES """ + ", ".join(map(str, map(tuple, url_filter.RULES))) + r""")
+SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+       arg_max(verdict, length(rule_host || rule_path)) AS rule_verdict
+FROM (SELECT row_number() OVER () AS rid, * FROM named)
+LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY rid, page_id, host, path"""
+
+
+def url_rules(spark, sf_dir):
+    """What the rules alone say of every url."""
+    rows = url_filter.decided(_table(spark, sf_dir, "pages"), url_filter.RULES)
+    verdict = [F.col("found.rule").alias("rule"), F.col("found.verdict").alias("rule_verdict")]
+    return rows.select(F.col("__id").alias("page_id"), "host", "path", *verdict)
+
+
+VIEWS["url_rules"], VIEW_ORACLES["url_rules"] = url_rules, URL_SQL
+
+
 # The conversations' paths as lists of turn names; CRC-32 is folded bit by bit.
 TRIE_SQL = r"""
 WITH turns AS (

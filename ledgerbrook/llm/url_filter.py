@@ -4,7 +4,7 @@ A rule is a host and a path prefix; it fits the host and its subdomains, and the
 decides.  Urls that a rule decides are the labelled ones: boosted trees (MLlib) learn from them what blocked
 urls look like, and decide the urls without a rule.  The features are lexical: lengths, depth, digit
 ratio, entropy, counts of parameters and signs, and the shares of blocked urls with the same domain suffix or file suffix
-(smoothed, in a fixed number of hash buckets, so that the statistics can be sent to all tasks).
+(smoothed; counted for every suffix there is and joined to the urls, a suffix without labels having the overall share).
 
 Null urls and urls without ``://`` have an empty host and path and no rule.  Repeated rows are judged
 alike.  Without labelled urls of both kinds, what no rule decides is allowed.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .tables import saved
 
-BUCKETS = 256
+PRIOR_URLS = 5  # the overall share counts as so many urls of every suffix
 ROUNDS, DEPTH = 12, 3
 
 
@@ -95,27 +95,29 @@ def _features(frame: DataFrame) -> DataFrame:
             "entropy": entropy,
             "parameters": F.regexp_count(url, F.lit("[?&][^=&#]+=")).cast("double"),
             "signs": F.regexp_count(url, F.lit("[-_%~@]")).cast("double"),
-            "domain": F.pmod(F.xxhash64(F.substring_index("host", ".", -1)), F.lit(BUCKETS)).cast("int"),
-            "file": F.pmod(F.xxhash64(F.regexp_extract(path, "[.]([A-Za-z0-9]+)$", 1)), F.lit(BUCKETS)).cast("int"),
+            "domain": F.substring_index("host", ".", -1),
+            "file": F.regexp_extract(path, "[.]([A-Za-z0-9]+)$", 1),
         }
     )
 
 
-def _shares(labelled: DataFrame, bucket: str, prior: float) -> Column:
-    """An array of ``BUCKETS`` smoothed shares of blocked urls."""
-    rows = labelled.groupBy(bucket).agg(F.sum("label").alias("k"), F.count("*").alias("n")).collect()
-    shares = [prior] * BUCKETS
-    for row in rows:
-        shares[row[bucket]] = (row.k + 5 * prior) / (row.n + 5)
-    return F.array(*map(F.lit, shares))
+def shares(labelled: DataFrame, suffix: str, overall: float) -> DataFrame:
+    """``suffix`` and ``<suffix>_share``: the smoothed share of blocked urls of every suffix with labels."""
+    share = (F.sum("label") + PRIOR_URLS * overall) / (F.count("*") + PRIOR_URLS)
+    return labelled.groupBy(suffix).agg(share.alias(f"{suffix}_share"))
 
 
-def judge(table: DataFrame, rules: list[Rule], *, id: str = "page_id", url: str = "url") -> DataFrame:
-    """Per row: the id, ``host``, ``path``, ``rule`` (or null), ``verdict`` and ``blocked`` (the trees' probability)."""
+def decided(table: DataFrame, rules: list[Rule], *, id: str = "page_id", url: str = "url") -> DataFrame:
+    """Per row: ``__id``, ``__url``, ``host``, ``path`` and ``found``, a struct with the rule's text and verdict, or null."""
     rows = table.select(F.col(f"`{id}`").alias("__id"), F.col(f"`{url}`").cast("string").alias("__url"))
     host, path = parts(F.col("__url"))
     rows = rows.withColumn("host", host).withColumn("path", path)
-    rows = _features(rows.withColumn("found", rule_for(F.col("host"), F.col("path"), rules)))
+    return rows.withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
+
+
+def judge(table: DataFrame, rules: list[Rule], *, id: str = "page_id", url: str = "url") -> DataFrame:
+    """Per row: the id, ``host``, ``path``, ``rule`` (or null), ``verdict`` and ``blocked`` (the trees' probability)."""
+    rows = _features(decided(table, rules, id=id, url=url))
     labelled = rows.where("found is not null").withColumn("label", F.expr("if(found.verdict = 'block', 1.0D, 0.0D)"))
     labelled = saved(labelled.drop("__id", "__url", "found"), "labelled")
     total = labelled.agg(F.avg("label").alias("share")).first().share
@@ -123,11 +125,15 @@ def judge(table: DataFrame, rules: list[Rule], *, id: str = "page_id", url: str
     if total is None or total in (0.0, 1.0):
         rows = rows.withColumn("blocked", F.lit(0.0))
     else:
-        shares = {f"{b}_share": F.element_at(_shares(labelled, b, total), F.col(b) + 1) for b in ("domain", "file")}
+        for suffix in ("domain", "file"):
+            known = saved(shares(labelled, suffix, total), "shares")
+            share = {f"{suffix}_share": F.coalesce(f"{suffix}_share", F.lit(total))}
+            labelled = labelled.join(known, suffix, "left").withColumns(share)
+            rows = rows.join(known, suffix, "left").withColumns(share)
         vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
         trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=7)
-        model = trees.fit(vector.transform(labelled.withColumns(shares)).select("features", "label"))
-        scored = model.transform(vector.transform(rows.withColumns(shares)))
+        model = trees.fit(vector.transform(labelled).select("features", "label"))
+        scored = model.transform(vector.transform(rows))
         rows = scored.withColumn("blocked", vector_to_array("probability")[1])
     learned = F.when(F.col("blocked") > 0.5, "block").otherwise("allow")
     return rows.select(*out, F.coalesce("found.verdict", learned).alias("verdict"), "blocked")

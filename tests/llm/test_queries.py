@@ -31,6 +31,18 @@ def test_query_matches_its_sql(spark, name):
     assert shown(frame.select(*columns).collect()) == shown(cursor.fetchall())
 
 
+@pytest.mark.parametrize("name", sorted(registry.VIEWS))
+def test_view_matches_its_sql(spark, name):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{SMALL}/pages.parquet'")
+    cursor = connection.execute(registry.VIEW_ORACLES[name])
+    columns = [c[0] for c in cursor.description]
+    frame = registry.VIEWS[name](spark, SMALL)
+    assert sorted(columns) == sorted(frame.columns)
+    assert shown(frame.select(*columns).collect()) == shown(cursor.fetchall())
+    assert name in entry.queries() and name in entry.oracle_sql()
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumnRenamed("source", "key")
     odd = spark.createDataFrame([(None, None, None, None, None)] * 2, docs.schema)

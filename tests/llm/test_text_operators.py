@@ -417,6 +417,25 @@ def test_url_rules_and_trees(spark):
     assert {r.verdict for r in url_filter.judge(table, []).collect()} == {"allow"}
 
 
+def test_url_suffix_shares_are_of_each_suffix(spark):
+    draw = random.Random(5)
+    rows = [(f"s{draw.randrange(900)}", float(draw.random() < 0.4)) for _ in range(3000)]
+    got = url_filter.shares(spark.createDataFrame(rows, "file string, label double"), "file", 0.25).collect()
+    n, k = Counter(x for x, _ in rows), Counter(x for x, label in rows if label)
+    assert {r.file: round(r.file_share, 12) for r in got} == {x: round((k[x] + 1.25) / (n[x] + 5), 12) for x in n}
+
+
+def test_urls_are_blocked_like_those_with_their_file_suffix(spark):
+    rules = [url_filter.Rule("block", "xyz.net", "/"), url_filter.Rule("allow", "zyx.net", "/")]
+    kinds = {"b": "xyz", "g": "zyx"}  # the hosts have the same letters: only the suffix tells
+    urls = [f"https://{host}.net/p/{i}.{kind}{i % 300}" for i in range(3000) for kind, host in kinds.items()]
+    asked = [f"https://yxz.net/p/{i + 1000}.{kind}{i}" for i in range(300) for kind in kinds]
+    table = spark.createDataFrame([(i, u) for i, u in enumerate([*urls, *asked])], "page_id bigint, url string")
+    got = {r.page_id: r for r in url_filter.judge(table, rules).collect()}
+    for i, url in enumerate(asked, len(urls)):
+        assert (got[i].rule, got[i].verdict) == (None, "block" if ".b" in url else "allow")
+
+
 # ---- 8
 
 
