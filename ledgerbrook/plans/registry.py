@@ -44,6 +44,12 @@ def _stop_words(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*map(F.lit, STOP_WORDS))).alias("word"))
 
 
+def _deal(table: DataFrame, each: int) -> int:
+    """Into how many files to deal rows made from ``table``: so many for each of its partitions, so that a file's size
+    does not follow the table's."""
+    return each * table.rdd.getNumPartitions()
+
+
 def _stop_list_sql() -> str:
     return ", ".join(f"'{word}'" for word in STOP_WORDS)
 
@@ -339,7 +345,7 @@ def daily_flow_in_increments(spark, sf_dir):
     # The third folder repeats lines of the others: they are in files of their own, so they count.
     parts = [lines.where(item == ""), lines.where(item != ""), lines.where(item == "")]
     for path, part in zip(paths, parts):
-        sinks.write_lines(part.repartition(2), path, header=header)
+        sinks.write_lines(part.repartition(_deal(part, 2), "value"), path, header=header)
     for known in (paths[:1], paths[:2], paths, paths):
         increments.add_balance_files(spark, known, state)
     return _whole(increments.daily_flow_of(spark, state))

@@ -66,12 +66,13 @@ def without_own_header(lines: DataFrame, *, repeated: bool = True) -> DataFrame:
 
     ``lines`` has ``line_order``.  Each file's first line is found in the plan itself and joined to
     the file's lines, so files may have different headers, and one file's header may be another's data.
+    The first lines, one per file that the driver has listed, are broadcast: a file's lines stay where they were read.
     """
     order = F.col("line_order")
     begins = lines.where(order["block"] == 0).groupBy(order["file"].alias("__file"))
     # A blank first line is a header too.
     begins = begins.agg(F.min("line_order").alias("__first"), F.min_by("value", "line_order").alias("__header"))
-    joined = lines.join(begins, order["file"] == F.col("__file"))
+    joined = lines.join(F.broadcast(begins), order["file"] == F.col("__file"))
     kept = joined.where(F.col("value") != F.col("__header")) if repeated else joined.where(order != F.col("__first"))
     return kept.select(*lines.columns)
 

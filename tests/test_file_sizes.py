@@ -4,7 +4,8 @@ import os
 
 import pytest
 
-from ledgerbrook import sinks
+from conftest import plan_of
+from ledgerbrook import sinks, sources
 from ledgerbrook.plans import registry
 
 PARTS = 8
@@ -40,6 +41,7 @@ def files_of(folder):
 
 QUERIES = [
     "count_and_rank_headers_as_data",
+    "daily_flow_in_increments",
 ]
 
 
@@ -57,3 +59,14 @@ def test_no_file_holds_more_than_a_partition(spark, tables, monkeypatch, name):
         sizes = files_of(folder)
         assert len(sizes) >= PARTS
         assert max(sizes) <= 1.25 * sum(sizes) / PARTS
+
+
+def test_lines_stay_where_they_were_read_when_their_header_is_found(spark, write, tmp_path):
+    write("in/a.csv", "head\n1\nhead\n2\n")
+    write("in/b.csv", "other\nhead\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    kept = sources.without_own_header(sources.read_lines(spark, str(tmp_path / "in"), positions=True))
+    assert "BroadcastHashJoin" in plan_of(kept) and "SortMergeJoin" not in plan_of(kept)
+    assert sorted(r.value for r in kept.collect()) == ["1", "2", "head"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
