@@ -324,7 +324,7 @@ def balance_files_with_own_headers(spark, sf_dir):
     paths = []
     for part, header in enumerate(["user_id,report_date", "user,day,purchase,redeem"]):
         rows = data.dirty_balance_lines(spark, sf_dir).where(F.pmod(F.xxhash64("value"), F.lit(2)) == part)
-        rows = rows.union(spark.range(3).select(F.lit(header))).repartition(3)
+        rows = rows.union(spark.range(3).select(F.lit(header))).repartition(_deal(rows, 3), "value")
         paths.append(new_shared_path(spark, "balance-lines"))
         sinks.write_lines(rows, paths[-1], header=header)
     return _whole(ops.daily_flow(sources.read_balance(spark, paths, sources.ZERO_BAD_VALUES)))

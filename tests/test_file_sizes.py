@@ -40,6 +40,7 @@ def files_of(folder):
 
 
 QUERIES = [
+    "balance_files_with_own_headers",
     "count_and_rank_headers_as_data",
     "daily_flow_in_increments",
 ]
