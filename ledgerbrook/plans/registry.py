@@ -355,8 +355,8 @@ def daily_flow_in_increments(spark, sf_dir):
 def balance_files_first_lines_skipped(spark, sf_dir):
     """Files whose first lines are no balance lines, under a rule that fails on such lines."""
     path = new_shared_path(spark, "balance-lines")
-    lines = data.clean_balance_lines(spark, sf_dir).repartition(3)
-    sinks.write_lines(lines, path, header="user_id,report_date,and more")
+    lines = data.clean_balance_lines(spark, sf_dir)
+    sinks.write_lines(lines.repartition(_deal(lines, 3), "value"), path, header="user_id,report_date,and more")
     amounts = ("direct_purchase_amt", "total_redeem_amt")
     return ops.active_days(sources.read_balance(spark, path, sources.FAIL_ON_BAD, amounts=amounts))
 
@@ -407,7 +407,7 @@ def active_days_by_group_from_profile_files(spark, sf_dir):
         for turn, group in enumerate([F.lit("an old group"), F.col("c_mktsegment")])
     ]
     # Old lines come first in the first file and in a file before the last.
-    rows = rows[0].unionByName(rows[1]).repartitionByRange(5, "turn", F.xxhash64("value"))
+    rows = rows[0].unionByName(rows[1]).repartitionByRange(_deal(rows[0], 5), "turn", F.xxhash64("value"))
     sinks.write_lines(rows.sortWithinPartitions("turn").select("value"), path, header="user_id,Sex,City,constellation")
     days = ops.active_days(data.orders_balance(spark, sf_dir)).withColumn("user_id", F.col("user_id").cast("string"))
     return ops.active_days_by_group(days, sources.read_profile(spark, path))
@@ -639,7 +639,8 @@ SELECT source AS stock, array_to_string(list_filter(regexp_split_to_array(text,
 def news_records_over_lines(spark, sf_dir):
     """From files in which a quoted headline goes over several lines."""
     path = new_shared_path(spark, "news-records")
-    sinks.write_lines(data.broken_news_records(spark, sf_dir).repartition(3), path)
+    records = data.broken_news_records(spark, sf_dir)
+    sinks.write_lines(records.repartition(_deal(records, 3), "value"), path)
     news = sources.read_news(spark, path, quoting="records")
     breaks = F.length("headline") - F.length(F.replace("headline", F.lit("\n"), F.lit("")))
     return news.groupBy("stock").agg(

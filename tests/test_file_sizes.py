@@ -43,6 +43,8 @@ QUERIES = [
     "balance_files_with_own_headers",
     "count_and_rank_headers_as_data",
     "daily_flow_in_increments",
+    "balance_files_first_lines_skipped",
+    "news_records_over_lines",
 ]
 
 
