@@ -31,7 +31,7 @@ A null id is ignored as the smallest id of its component.  Shingles and sets are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import add
 
@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .arrays import Sequences, mix, signed, slices, texts_of, words_of
-from .tables import bitmap, components, in_bitmap, release, saved
+from .tables import bitmap, components, discard, in_bitmap, release, saved
 
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
@@ -206,9 +206,9 @@ def _coarse_apart(pairs: DataFrame) -> DataFrame:
 
 
 def near_pairs(
-    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int, least: int
+    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int, least: int, give: Sequence[str]
 ) -> DataFrame:
-    """Of the pairs ``a, b``, those of similarity ``least`` percent or more.
+    """Of the pairs ``a, b``, those of similarity ``least`` percent or more, written with the columns to ``give``.
 
     ``zone`` is 0 when they link, else 1; ``own`` and ``lacks`` are what only a and only b has.
     """
@@ -233,7 +233,10 @@ def near_pairs(
     )
     similar = lambda least: 100 * F.col("common") >= least * (F.col("n_a") + F.size("lacks"))
     zone = F.when(similar(percent), 0).otherwise(1).alias("zone")
-    return found.where(similar(least)).select("a", "b", zone, "own", "lacks")
+    near = saved(found.where(similar(least)).select("a", "b", zone, "own", "lacks").select(*give), "near")
+    discard(close)
+    discard(sets)
+    return near
 
 
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -267,14 +270,20 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     central = saved(central, "central")
     release(sets.sparkSession)
     placed = rows.select("region", "node", "rest").join(central.select("node", "central"), "node")
+    unplaced = rows
     middle = placed.groupBy("region").agg(F.max_by("node", F.struct("central", "node")).alias("pivot"))
     rows = saved(rows.join(middle, "region").select("region", "node", "rest", "pivot"), "regions")
+    discard(unplaced)
     pairs = rows.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     asked = pairs = saved(pairs.distinct(), "pairs")
-    near = saved(near_pairs(pairs, nodes, texts, size, percent, max(2 * percent - 100, 1)), "near")
+    near = near_pairs(
+        pairs, nodes, texts, size, percent, max(2 * percent - 100, 1), ["a", "b", "zone", "own", "lacks"]
+    )
     links = near.where("zone = 0").select("a", "b")
     found = components(links)
 
+    # What the next round's rows are made from, and what goes once they are written.
+    behind = [rows, near]
     # Within 2r of a pivot: regions by the shingles in which a set and the pivot differ.
     windows = near.where("zone = 1").select("b").distinct()
     apart = near.join(windows, "b", "left_semi").join(central.select(F.col("node").alias("a"), "n"), "a")
@@ -302,8 +311,13 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         number = F.row_number().over(region.orderBy(F.desc("central"), "node"))
         kept = ("node", "size", "rest", "zone", "n", "c", "odd")
         rows = saved(rows.select("region", *kept, "m", number.alias("k")), "rest")
+        for table in behind:
+            discard(table)
+        behind = [rows]
         release(sets.sparkSession)
         if rows.isEmpty():
+            for table in (nodes, central):
+                discard(table)
             return found
         chosen = (F.col("k") <= many) | (F.col("m") <= LEAF)
         pivots = rows.where(chosen).select("region", *[F.col(x).alias(f"pivot_{x}") for x in kept])
@@ -320,7 +334,8 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
         pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             asked = done.unionByName(pairs)
-            found = _joined(found, near_pairs(pairs, nodes, texts, size, percent, percent).select("a", "b"))
+            near = near_pairs(pairs, nodes, texts, size, percent, percent, ["a", "b"])
+            found = _joined(found, near)
         rows = rows.where(~chosen).select("region", "node", "size", "rest", "zone")
         many *= MORE_PIVOTS
 
@@ -346,7 +361,9 @@ def jaccard_components(
     sets = saved(_sets(texts, shingle_words, similar_percent, frequent), "sets")
     found = _links(texts.select("text", "text_hash"), sets, shingle_words, similar_percent)
     documents = sets.select("id", "n", "node").join(found, "node", "left")
-    documents = documents.select("id", "n", F.coalesce("component", "node").alias("component"))
+    documents = saved(documents.select("id", "n", F.coalesce("component", "node").alias("component")), "documents")
+    discard(sets)
+    release(table.sparkSession)
     smallest = documents.groupBy("component").agg(F.min("id").alias("smallest"))
     joined = documents.join(smallest, "component", "left")
     return joined.select(

@@ -129,6 +129,21 @@ def test_jaccard_clusters_around_missing_originals(spark):
     assert multiset(jaccard_join.jaccard_components(frame)) == brute_components(rows)
 
 
+def test_the_join_gives_its_tables_back(spark, monkeypatch, tmp_path):
+    names = iter(range(10**6))
+    monkeypatch.setattr(tables, "new_shared_path", lambda spark, label: f"{tmp_path}/{label}-{next(names)}")
+    draw = random.Random(8)
+    base = [[f"w{draw.randrange(10**6)}" for _ in range(60)] for _ in range(30)]
+    texts = [" ".join(words[:k] + [f"new{k}"] + words[k + 1 :]) for words in base for k in (3, 30, 58)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert jaccard_join.jaccard_components(frame).count() == len(texts)
+    left = {str(p.name): spark.read.parquet(str(p)).count() for p in tmp_path.iterdir()}
+    for label in ("sets", "nodes", "regions", "central", "close", "rest"):
+        assert [n for name, n in left.items() if name.startswith(label)] and not any(
+            n for name, n in left.items() if name.startswith(label)
+        )
+
+
 # ---- 3 and 4
 
 
