@@ -13,6 +13,10 @@
    one with the cell.  Nodes of an inner region are told apart by how they differ from the
    pivot: |x ^ y| = |(x ^ p) ^ (y ^ p)|, so two that link share some of their differences,
    and the inner region is joined in the same way by these.
+   A row carries the node's last ``EARLIER`` regions before its own, in the order of step 2, and the pivots of its first
+   inner ones: two nodes that have one of these in common meet there and are no pair here, so that near
+   copies do not meet in every region they share.  The pivots count from ``MANY`` pivots a region on: before, pairs would wait
+   for a later round, and what they link would not be known.
    A region whose nodes are all one component is done.  In the others more nodes become pivots, more
    with each round; a pivot is compared with nodes of other components and leaves.  In regions of at most ``LEAF`` nodes all do so at once.  A pair is skipped where the
    shingles before the region's own leave too little to be common: if it links, it has an earlier common one.
@@ -55,6 +59,9 @@ LEAF = 8
 # Parities that a node carries into the later rounds.
 ODD_BITS = 1024
 FIRST_PIVOTS, MORE_PIVOTS = 2, 16
+# How many regions before its own a row carries, and how many pivots of inner ones.
+EARLIER = 8
+MANY = 64
 
 
 def shingles(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -253,6 +260,22 @@ def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
     return saved(old.unionByName(merged.join(found, "node", "left_anti")), "components")
 
 
+def _met(rows: DataFrame, pivots: DataFrame, percent: int, inside: bool) -> DataFrame:
+    """The pairs ``a, b`` of a region's nodes and its pivots that may link and do not meet in an earlier region."""
+    # A pair that can link can do so with the rest from its first common shingle on.
+    enough = 2 * (100 + percent) * F.least("rest", "pivot_rest") >= (100 + percent) * (
+        F.col("size") + F.col("pivot_size")
+    ) - (100 - percent) * (F.col("n") + F.col("pivot_n"))
+    apart = (F.col("c") != F.col("pivot_c")) & (F.greatest("zone", "pivot_zone") == 2)
+    most = F.expr(f"(n + pivot_n) * {100 - percent} div {100 + percent}")
+    alike = _odds_apart("odd", "pivot_odd") <= most
+    first = ~F.arrays_overlap("before", "pivot_before")
+    if inside:
+        first &= ~F.arrays_overlap("outside", "pivot_outside")
+    ends = [F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")]
+    return rows.join(pivots, "region").where(apart & enough & alike & first).select(*ends)
+
+
 def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, component`` of all nodes that link with another."""
     release(sets.sparkSession)
@@ -293,14 +316,23 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
     inner = apart.select(F.col("a").alias("node"), "b", length.alias("size"), F.posexplode(first).alias("at", "name"))
     inner = inner.select(
         F.xxhash64("b", "name").alias("region"), "node", "size", (F.col("size") - F.col("at")).alias("rest"),
-        F.lit(2).alias("zone"),
+        F.lit(2).alias("zone"), F.col("b").alias("inside"),
     )
     # Beyond: the regions as they were, for pairs of which one is not within 2r.
     zones = near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "zone")
     outer = rows.where("node <> pivot").join(zones, ["node", "pivot"], "left")
     outer = outer.select("region", "node", "rest", F.coalesce("zone", F.lit(2)).alias("zone")).where("zone > 0")
     outer = outer.join(central.select("node", F.col("n").cast("int").alias("size")), "node")
-    rows = inner.unionByName(outer)
+    rows = inner.unionByName(outer.withColumn("inside", F.lit(None).cast("bigint")))
+    # Two nodes with a pivot in common are decided inside it, and outside only if they have none.  Among regions of one pivot, or
+    # the outer ones where both are beyond the window, the first they share holds the pair until it is compared or one
+    # component; what leaves enough to be common in a later one does so there.
+    pivots = apart.groupBy(F.col("a").alias("node")).agg(F.sort_array(F.collect_set("b")).alias("pivots"))
+    rows = rows.join(pivots.withColumn("pivots", F.slice("pivots", 1, EARLIER)), "node", "left")
+    outside = F.expr("filter(coalesce(pivots, array()), b -> inside is null or b < inside)")
+    earlier = Window.partitionBy("node", "inside").orderBy(F.desc("rest")).rowsBetween(-EARLIER, -1)
+    regions = F.collect_list(F.when(F.col("zone") == 2, F.col("region"))).over(earlier)
+    rows = rows.withColumn("before", regions).withColumn("outside", outside).drop("inside", "pivots")
     many, region = FIRST_PIVOTS, Window.partitionBy("region")
     while True:
         rows = rows.join(found, "node", "left").join(central, "node")
@@ -309,7 +341,7 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
             F.max("zone").over(region).alias("far"), F.count("*").over(region).alias("m"),
         ).where("low < high and far = 2")
         number = F.row_number().over(region.orderBy(F.desc("central"), "node"))
-        kept = ("node", "size", "rest", "zone", "n", "c", "odd")
+        kept = ("node", "size", "rest", "zone", "n", "c", "odd", "before", "outside")
         rows = saved(rows.select("region", *kept, "m", number.alias("k")), "rest")
         for table in behind:
             discard(table)
@@ -321,22 +353,14 @@ def _links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFr
             return found
         chosen = (F.col("k") <= many) | (F.col("m") <= LEAF)
         pivots = rows.where(chosen).select("region", *[F.col(x).alias(f"pivot_{x}") for x in kept])
-        # A pair that can link can do so with the rest from its first common shingle on.
-        enough = 2 * (100 + percent) * F.least("rest", "pivot_rest") >= (100 + percent) * (
-            F.col("size") + F.col("pivot_size")
-        ) - (100 - percent) * (F.col("n") + F.col("pivot_n"))
-        apart = (F.col("c") != F.col("pivot_c")) & (F.greatest("zone", "pivot_zone") == 2)
-        most = F.expr(f"(n + pivot_n) * {100 - percent} div {100 + percent}")
-        alike = _odds_apart("odd", "pivot_odd") <= most
-        ends = [F.least("node", "pivot_node").alias("a"), F.greatest("node", "pivot_node").alias("b")]
-        pairs = rows.join(pivots, "region").where(apart & enough & alike).select(*ends).distinct()
+        pairs = _met(rows, pivots, percent, many > MANY).distinct()
         done = asked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = saved(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             asked = done.unionByName(pairs)
             near = near_pairs(pairs, nodes, texts, size, percent, percent, ["a", "b"])
             found = _joined(found, near)
-        rows = rows.where(~chosen).select("region", "node", "size", "rest", "zone")
+        rows = rows.where(~chosen).select("region", "node", "size", "rest", "zone", "before", "outside")
         many *= MORE_PIVOTS
 
 

@@ -129,6 +129,36 @@ def test_jaccard_clusters_around_missing_originals(spark):
     assert multiset(jaccard_join.jaccard_components(frame)) == brute_components(rows)
 
 
+@pytest.mark.parametrize("earlier, many", [(8, 64), (1, 1)])
+def test_near_copies_do_not_meet_in_every_region_they_share(spark, monkeypatch, earlier, many):
+    made, met = [], jaccard_join._met
+
+    def counted(*given):
+        pairs = met(*given)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_met", counted)
+    monkeypatch.setattr(jaccard_join, "EARLIER", earlier)
+    monkeypatch.setattr(jaccard_join, "MANY", many)
+    monkeypatch.setattr(jaccard_join, "LEAF", 3)
+    draw = random.Random(11)
+    rows = []
+    for _ in range(2):
+        base = sentence(draw, 300, 10_000).split()
+        for _ in range(30):
+            words = list(base)
+            for at in draw.sample(range(300), draw.randrange(2, 6)):
+                words[at] = f"e{draw.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert multiset(jaccard_join.jaccard_components(frame)) == brute_components(rows)
+    all_made, different = map(sum, zip(*made))
+    assert different > 0
+    if earlier == 8:
+        assert all_made <= 4 * different
+
+
 def test_the_join_gives_its_tables_back(spark, monkeypatch, tmp_path):
     names = iter(range(10**6))
     monkeypatch.setattr(tables, "new_shared_path", lambda spark, label: f"{tmp_path}/{label}-{next(names)}")
