@@ -44,9 +44,10 @@ TABLE_WORDS = 1 << 19
 CLIPPED = 1 << 16
 ROUNDS = 2
 BATCH_TEXTS, WINDOW = 32, 16
-SCORE_WINDOW = 32
 RATE = 0.01
-CHUNK = 1 << 14  # tokens whose outputs are computed at once
+CHUNK = 1 << 11  # tokens whose outputs are computed at once
+ADAM_PART = 1 << 14  # weights updated at once
+MOST = np.float32(80)  # larger numbers have no exponential of 32 bits
 BLOCK = 1 << 12  # numbers in a block of averaged weights
 
 END = np.uint64(0x9D39247E33776D41)
@@ -206,105 +207,204 @@ def step(model: dict, state: np.ndarray, ids: np.ndarray) -> tuple:
     return fresh + keep * (state - fresh), keep, reset, inner, fresh
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+class Unit:
+    """The recurrent unit made ready for many steps; states and all else lie as features x texts.
 
+    A gate is 1 / (1 + exp(-x)), its minus taken into the weights.
+    """
+
+    def __init__(self, model: dict) -> None:
+        self.into = model["into"]
+        self.weights = np.concatenate([-model["gates"], model["fresh"]], axis=1).T.copy()
+
+    def given(self, ids: np.ndarray) -> np.ndarray:
+        """What the tokens (steps x texts) put in, as steps x features x texts."""
+        given = self.into.take(ids, axis=0).transpose(0, 2, 1).copy()
+        gates = given[:, : 2 * STATE]
+        np.negative(gates, out=gates)
+        return given
+
+    def step(self, state: np.ndarray, given: np.ndarray, sums: np.ndarray, after: np.ndarray) -> None:
+        """Puts the gates and the fresh state in place of ``given``, the weighted state into ``sums``."""
+        np.dot(self.weights, state, out=sums)
+        gates, fresh = given[: 2 * STATE], given[2 * STATE :]
+        gates += sums[: 2 * STATE]
+        np.minimum(gates, MOST, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[STATE:], sums[2 * STATE :], out=after)
+        fresh += after
+        np.tanh(fresh, out=fresh)
+        np.subtract(state, fresh, out=after)
+        after *= gates[:STATE]
+        after += fresh
+
+
+def _places(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """The class of each token; the frequent ones by class, and ``(class, range)`` in that order."""
+    frequent = ids < PLACES
+    cls = np.where(frequent, ids // PER_CLASS, ids - (PLACES - FREQUENT_CLASSES))
+    order = np.flatnonzero(frequent)
+    own = cls[order].astype(np.int8)
+    order = order[np.argsort(own, kind="stable")]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=FREQUENT_CLASSES))]).tolist()
+    return cls, order, [(c, slice(a, b)) for c, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+
+
+def _exps(x: np.ndarray, axis: int) -> np.ndarray:
+    """Turns logits into their exponentials over the largest along an axis; gives their sums."""
+    x -= x.max(axis=axis, keepdims=True)
+    np.exp(x, out=x)
+    return x.sum(axis=axis, keepdims=True)
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+
+def _inside(model: dict, h: np.ndarray, some: np.ndarray, parts: list) -> np.ndarray:
+    """Logits of the words of a class, for tokens (by class) and the states before them, a token a row."""
+    inside = np.empty((len(some), PER_CLASS), h.dtype)
+    members = model["members"]
+    for c, at in parts:
+        np.dot(h[at], members[c], out=inside[at])
+    inside += model["member_bias"].take(some // PER_CLASS, axis=0)
+    return inside
+
+
+def _log_likelihood(model: dict, h: np.ndarray, some: np.ndarray) -> np.ndarray:
+    cls, order, parts = _places(some)
+    logits = model["classes"].T @ h
+    logits += model["class_bias"][:, None]
+    got = logits[cls, np.arange(len(some))] - logits.max(axis=0)
+    got = got.astype(np.float64) - np.log(_exps(logits, 0)[0])
+    if len(order):
+        own = some[order]
+        inside = _inside(model, h.T.take(order, axis=0), own, parts)
+        more = inside[np.arange(len(own)), own % PER_CLASS] - inside.max(axis=1)
+        got[order] += more - np.log(_exps(inside, 1)[:, 0])
+    return got
 
 
 def log_likelihood(model: dict, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural logarithms of P(class) and, for frequent words, P(word | class)."""
     out = np.empty(len(ids), np.float64)
     for low in range(0, len(ids), CHUNK):
-        some, h = ids[low : low + CHUNK], states[low : low + CHUNK]
-        frequent = some < PLACES
-        cls = np.where(frequent, some // PER_CLASS, some - PLACES + FREQUENT_CLASSES)
-        got = _log_softmax(h @ model["classes"] + model["class_bias"])[np.arange(len(some)), cls].astype(np.float64)
-        order = np.flatnonzero(frequent)
-        order = order[np.argsort(cls[order], kind="stable")]
-        ends = np.searchsorted(cls[order], np.arange(FREQUENT_CLASSES + 1))
-        for c in range(FREQUENT_CLASSES):
-            at = order[ends[c] : ends[c + 1]]
-            if len(at):
-                inside = _log_softmax(h[at] @ model["members"][c] + model["member_bias"][c])
-                got[at] += inside[np.arange(len(at)), some[at] % PER_CLASS]
-        out[low : low + CHUNK] = got
+        some = slice(low, low + CHUNK)
+        out[some] = _log_likelihood(model, states[some].T.copy(), ids[some])
     return out
 
 
-def gradients(model: dict, state: np.ndarray, ids: np.ndarray, live: np.ndarray) -> tuple[dict, np.ndarray]:
+def gradients(
+    model: dict, state: np.ndarray, ids: np.ndarray, live: np.ndarray, grads: dict | None = None
+) -> tuple[dict, np.ndarray]:
     """Gradients of the loss over one window (texts x steps), and the state it ends in.
 
-    ``live`` masks the steps past a text's end.  Nothing flows back beyond the window.
+    ``live`` masks the steps past a text's end: nothing comes back from them, and the state of a text that has ended
+    means nothing.  Nothing flows back beyond the window.  ``grads`` are arrays of zeros to be filled.
     """
     n, steps = ids.shape
-    full = live.all(axis=0)
-    states, ways = [state], []
+    kind = state.dtype
+    if grads is None:
+        grads = {name: np.zeros_like(value) for name, value in model.items()}
+    unit = Unit(model)
+    rows = ids.T.ravel()
+    way = unit.given(ids.T)
+    sums = np.empty((steps, 3 * STATE, n), kind)
+    states = np.empty((steps + 1, STATE, n), kind)
+    states[0] = state.T
     for t in range(steps):
-        after, *way = step(model, states[-1], ids[:, t])
-        states.append(after if full[t] else np.where(live[:, t, None], after, states[-1]))
-        ways.append(way)
-    before, grads = np.concatenate(states[:-1]), {}
+        unit.step(states[t], way[t], sums[t], states[t + 1])
     # Back through the two softmaxes, for all steps at once.
-    on = np.flatnonzero(live.T.ravel())
-    some, h = ids.T.ravel()[on], before[on]
-    frequent = some < PLACES
-    cls = np.where(frequent, some // PER_CLASS, some - PLACES + FREQUENT_CLASSES)
-    out = _softmax(h @ model["classes"] + model["class_bias"])
-    out[np.arange(len(some)), cls] -= 1
-    grads["classes"] = h.T @ out
-    grads["class_bias"] = out.sum(axis=0)
-    from_outputs = np.zeros_like(before)
-    from_outputs[on] = out @ model["classes"].T
-    order = np.flatnonzero(frequent)
-    order = order[np.argsort(cls[order], kind="stable")]
-    ends = np.searchsorted(cls[order], np.arange(FREQUENT_CLASSES + 1))
-    parts = [(c, slice(ends[c], ends[c + 1])) for c in range(FREQUENT_CLASSES) if ends[c] < ends[c + 1]]
-    h = h[order]
-    inside = model["member_bias"][cls[order]]
-    for c, at in parts:
-        inside[at] += h[at] @ model["members"][c]
-    inside = _softmax(inside)
-    inside[np.arange(len(order)), some[order] % PER_CLASS] -= 1
-    grads["members"] = np.zeros_like(model["members"])
-    grads["member_bias"] = np.zeros_like(model["member_bias"])
-    from_members = np.empty_like(h)
-    for c, at in parts:
-        grads["members"][c] = h[at].T @ inside[at]
-        grads["member_bias"][c] = inside[at].sum(axis=0)
-        from_members[at] = inside[at] @ model["members"][c].T
-    from_outputs[on[order]] += from_members
-    # Back through the unit.
-    from_outputs = from_outputs.reshape(steps, n, STATE)
-    d_given = np.empty((steps, n, 3 * STATE), before.dtype)
-    d_inners = np.empty((steps, n, STATE), before.dtype)
-    gates_back, fresh_back = model["gates"].T.copy(), model["fresh"].T.copy()
-    down = np.zeros_like(state)
-    for t in reversed(range(steps)):
-        keep, reset, inner, fresh = ways[t]
-        d = down if full[t] else np.where(live[:, t, None], down, 0)
-        d_fresh = d * (1 - keep) * (1 - fresh * fresh)
-        d_given[t, :, :STATE] = d * (states[t] - fresh) * keep * (1 - keep)
-        d_given[t, :, STATE : 2 * STATE] = d_fresh * inner * reset * (1 - reset)
-        d_given[t, :, 2 * STATE :] = d_fresh
-        d_inners[t] = d_fresh * reset
-        passed = d * keep + d_given[t, :, : 2 * STATE] @ gates_back + d_inners[t] @ fresh_back
-        down = (passed if full[t] else np.where(live[:, t, None], passed, down)) + from_outputs[t]
-    d_given = d_given.reshape(steps * n, 3 * STATE)
-    grads["gates"] = before.T @ d_given[:, : 2 * STATE]
-    grads["fresh"] = before.T @ d_inners.reshape(steps * n, STATE)
-    rows = ids.T.ravel()
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    grads["into"] = np.zeros_like(model["into"])
-    grads["into"][rows[cut]] = np.add.reduceat(d_given[order], cut, axis=0)
-    return grads, states[-1]
+    h = before = states[:-1].transpose(1, 0, 2).reshape(STATE, -1)
+    some, on = rows, None
+    if not live.all():
+        on = np.flatnonzero(live.T.ravel())
+        some, h = rows[on], before[:, on]
+    cls, order, parts = _places(some)
+    out = model["classes"].T @ h
+    out += model["class_bias"][:, None]
+    out *= 1 / _exps(out, 0)
+    out[cls, np.arange(len(some))] -= 1
+    np.matmul(h, out.T, out=grads["classes"])
+    out.sum(axis=1, out=grads["class_bias"])
+    back = model["classes"] @ out
+    if len(order):
+        own, h = some[order], h.T.take(order, axis=0)
+        inside = _inside(model, h, own, parts)
+        inside *= 1 / _exps(inside, 1)
+        inside[np.arange(len(own)), own % PER_CLASS] -= 1
+        member_grads, members_back = grads["members"], model["members"].transpose(0, 2, 1).copy()
+        from_members = np.empty_like(h)
+        for c, at in parts:
+            part = inside[at]
+            np.dot(h[at].T, part, out=member_grads[c])
+            np.dot(part, members_back[c], out=from_members[at])
+        found = [c for c, _ in parts]
+        grads["member_bias"][found] = np.add.reduceat(inside, [at.start for _, at in parts], axis=0)
+        back[:, order] += from_members.T
+    if on is not None:
+        from_outputs = np.zeros_like(before)
+        from_outputs[:, on] = back
+        back = from_outputs
+    back = back.reshape(STATE, steps, n).transpose(1, 0, 2).copy()
+    # Back through the unit: all that does not depend on what comes back is made for all steps at once.
+    keep, reset, fresh, inner = way[:, :STATE], way[:, STATE : 2 * STATE], way[:, 2 * STATE :], sums[:, 2 * STATE :]
+    lose = 1 - keep
+    d_fresh = lose * (1 - fresh * fresh)
+    slopes = np.empty((steps, 3, STATE, n), kind)
+    np.multiply((states[:-1] - fresh) * keep, lose, out=slopes[:, 0])
+    np.multiply(d_fresh, reset, out=slopes[:, 2])
+    np.multiply(slopes[:, 2], inner * (1 - reset), out=slopes[:, 1])
+    weights = np.concatenate([model["gates"], model["fresh"]], axis=1)
+    downs = np.empty((steps, STATE, n), kind)
+    down, passed = np.zeros((STATE, n), kind), np.empty((STATE, n), kind)
+    for t in range(steps - 1, -1, -1):
+        downs[t] = down
+        slope = slopes[t]
+        slope *= down
+        np.matmul(weights, slope.reshape(3 * STATE, n), out=passed)
+        down *= keep[t]
+        down += passed
+        down += back[t]
+    d_fresh *= downs
+    flat = slopes.transpose(1, 2, 0, 3).reshape(3 * STATE, steps * n)
+    np.matmul(before, flat[: 2 * STATE].T, out=grads["gates"])
+    np.matmul(before, flat[2 * STATE :].T, out=grads["fresh"])
+    slopes[:, 2] = d_fresh
+    d_given = slopes.reshape(steps, 3 * STATE, n).transpose(0, 2, 1).reshape(steps * n, 3 * STATE)
+    order = np.argsort(rows.astype(np.int16), kind="stable")
+    sorted_rows = rows[order]
+    cut = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
+    grads["into"][sorted_rows[cut]] = np.add.reduceat(d_given.take(order, axis=0), cut, axis=0)
+    return grads, states[-1].T
+
+
+class Adam:
+    """Adam's moments of some weights, which every update changes in place."""
+
+    def __init__(self, flat: np.ndarray, grad: np.ndarray) -> None:
+        self._updates = 0
+        whole = (flat, grad, np.zeros_like(flat), np.zeros_like(flat))
+        self._parts = [tuple(x[i : i + ADAM_PART] for x in whole) for i in range(0, len(flat), ADAM_PART)]
+
+    def update(self, scale: float) -> None:
+        """One update by the gradients times ``scale``; they are zeros afterwards."""
+        self._updates += 1
+        # The moments are kept as sums: 10 times the mean and 100 times the mean square.
+        square = 0.1 / math.sqrt(1 - 0.99**self._updates)
+        rate = np.float32(0.1 * RATE / (1 - 0.9**self._updates) / square)
+        least, scale = np.float32(1e-6 / square), np.float32(scale)
+        for flat, grad, first, second in self._parts:
+            grad *= scale
+            first *= np.float32(0.9)
+            first += grad
+            grad *= grad
+            second *= np.float32(0.99)
+            second += grad
+            np.sqrt(second, out=grad)
+            grad += least
+            np.divide(first, grad, out=grad)
+            grad *= rate
+            flat -= grad
+            grad.fill(0)
 
 
 def train(model: dict, texts: list[np.ndarray]) -> dict:
@@ -313,9 +413,9 @@ def train(model: dict, texts: list[np.ndarray]) -> dict:
     Texts of about the same length make a batch; batches come in random order.
     """
     flat = _flat(model)
-    model = _shaped(flat, model)  # parts of ``flat``, which the updates change
-    mean, square = np.zeros_like(flat), np.zeros_like(flat)
-    updates = 0
+    grad = np.zeros_like(flat)
+    model, grads = _shaped(flat, model), _shaped(grad, model)  # parts of ``flat``, which the updates change
+    adam = Adam(flat, grad)
     texts = sorted(texts, key=len, reverse=True)
     starts = np.arange(0, len(texts), BATCH_TEXTS)
     for low in np.random.default_rng(len(texts)).permutation(starts).tolist():
@@ -329,22 +429,8 @@ def train(model: dict, texts: list[np.ndarray]) -> dict:
                 part = t[start : start + WINDOW]
                 row[: len(part)] = part
             live = start + np.arange(WINDOW) < lengths[:on, None]
-            grads, state = gradients(model, state[:on], ids, live)
-            updates += 1
-            grad = _flat(grads)
-            grad *= np.float32(1 / live.sum())
-            mean *= np.float32(0.9)
-            mean += np.float32(0.1) * grad
-            grad *= grad
-            square *= np.float32(0.99)
-            grad *= np.float32(0.01)
-            square += grad
-            np.sqrt(square, out=grad)
-            grad *= np.float32(1 / math.sqrt(1 - 0.99**updates))
-            grad += np.float32(1e-6)
-            np.divide(mean, grad, out=grad)
-            grad *= np.float32(RATE / (1 - 0.9**updates))
-            flat -= grad
+            _, state = gradients(model, state[:on], ids, live, grads)
+            adam.update(1 / int(live.sum()))
     return model
 
 
@@ -418,24 +504,33 @@ def text_scores(model: dict, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     order = np.argsort(-lengths, kind="stable")
     ordered, begin = lengths[order], first[:-1][order]
     total = np.zeros(len(lengths))
-    state = np.zeros((len(lengths), STATE), np.float32)
-    for start in range(0, int(ordered[0]) if len(ordered) else 0, SCORE_WINDOW):
-        state = state[: int(np.searchsorted(-ordered, -start, side="left"))]
-        states, seen, owners = [], [], []
-        for t in range(start, min(start + SCORE_WINDOW, int(ordered[0]))):
-            on = int(np.searchsorted(-ordered, -t, side="left"))
-            if not on:
-                break
-            some = ids[begin[:on] + t]
-            states.append(state[:on])
-            seen.append(some)
-            owners.append(np.arange(on))
-            state = step(model, state[:on], some)[0]
-            if sum(map(len, seen)) > 8 * CHUNK:
-                np.add.at(total, np.concatenate(owners), log_likelihood(model, np.concatenate(states), np.concatenate(seen)))
-                states, seen, owners = [], [], []
+    unit = Unit(model)
+    state = np.zeros((STATE, len(lengths)), np.float32)
+    states, seen, owners = [], [], []
+
+    def add() -> None:
         if seen:
-            np.add.at(total, np.concatenate(owners), log_likelihood(model, np.concatenate(states), np.concatenate(seen)))
+            likely = _log_likelihood(model, np.concatenate(states, axis=1), np.concatenate(seen))
+            total[:] += np.bincount(np.concatenate(owners), weights=likely, minlength=len(total))
+            for some in (states, seen, owners):
+                some.clear()
+
+    waiting = 0
+    for t in range(int(ordered[0]) if len(ordered) else 0):
+        on = int(np.searchsorted(-ordered, -t, side="left"))
+        state = state[:, :on]
+        some = ids[begin[:on] + t]
+        states.append(state)
+        seen.append(some)
+        owners.append(np.arange(on))
+        after = np.empty((STATE, on), np.float32)
+        unit.step(state, unit.given(some[None])[0], np.empty((3 * STATE, on), np.float32), after)
+        state = after
+        waiting += on
+        if waiting >= CHUNK:
+            add()
+            waiting = 0
+    add()
     out = np.empty(len(lengths))
     out[order] = total
     return out

@@ -626,6 +626,46 @@ def test_lm_gradients_and_carried_state():
     assert math.isclose(whole[0], alone, rel_tol=1e-5) and whole[1] == 0
 
 
+def test_lm_steps_side_by_side_are_the_unit():
+    """The step that works in place is the plain one, also where a gate is shut; gradients fill what they are given."""
+    draw = np.random.default_rng(5)
+    words = lm.Vocabulary(
+        np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.ones(lm.RARE_CLASSES), np.ones(lm.PLACES), 9, 5
+    )
+    model = lm.new_model(words)
+    model["into"][:2] = [[-500] * (2 * lm.STATE) + [1] * lm.STATE, [500] * (2 * lm.STATE) + [1] * lm.STATE]
+    ids = np.array([0, 1, 7, lm.PLACES + 3])
+    state = draw.normal(0, 0.3, (4, lm.STATE)).astype(np.float32)
+    unit = lm.Unit(model)
+    given, sums, after = unit.given(ids[None])[0], np.empty((3 * lm.STATE, 4), np.float32), np.empty((lm.STATE, 4), np.float32)
+    with np.errstate(all="raise", under="ignore"):
+        unit.step(state.T.copy(), given, sums, after)
+    with np.errstate(over="ignore"):
+        want, keep, reset, inner, fresh = lm.step(model, state, ids)
+    assert np.allclose(after.T, want, atol=1e-6) and np.allclose(sums[2 * lm.STATE :].T, inner, atol=1e-6)
+    assert np.allclose(given.T, np.concatenate([keep, reset, fresh], axis=1), atol=1e-6)
+    ids, live = draw.integers(0, lm.PLACES + lm.RARE_CLASSES, (4, 3)), np.ones((4, 3), bool)
+    flat = np.zeros(sum(value.size for value in model.values()), np.float32)
+    plain, _ = lm.gradients(model, state, ids, live)
+    lm.gradients(model, state, ids, live, lm._shaped(flat, model))
+    assert np.array_equal(flat, lm._flat(plain)) and flat.any()
+
+
+def test_lm_updates_are_adam(monkeypatch):
+    monkeypatch.setattr(lm, "ADAM_PART", 7)
+    draw = np.random.default_rng(6)
+    flat, grad = draw.normal(0, 1, 30).astype(np.float32), np.zeros(30, np.float32)
+    want, mean, square = flat.astype(float), np.zeros(30), np.zeros(30)
+    adam = lm.Adam(flat, grad)
+    for i in range(1, 40):
+        grad[:] = np.where(draw.random(30) < 0.5, draw.normal(0, 3, 30), 0)
+        own = grad / 4.0
+        mean, square = 0.9 * mean + 0.1 * own, 0.99 * square + 0.01 * own * own
+        want -= lm.RATE * mean / (1 - 0.9**i) / (np.sqrt(square / (1 - 0.99**i)) + 1e-6)
+        adam.update(1 / 4)
+        assert not grad.any() and np.allclose(flat, want, atol=1e-4)
+
+
 def test_lm_probabilities_sum_to_one():
     draw = np.random.default_rng(2)
     words = lm.Vocabulary(
