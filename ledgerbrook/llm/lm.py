@@ -505,7 +505,8 @@ def text_scores(model: dict, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     ordered, begin = lengths[order], first[:-1][order]
     total = np.zeros(len(lengths))
     unit = Unit(model)
-    state = np.zeros((STATE, len(lengths)), np.float32)
+    kind = unit.weights.dtype
+    state = np.zeros((STATE, len(lengths)), kind)
     states, seen, owners = [], [], []
 
     def add() -> None:
@@ -523,8 +524,8 @@ def text_scores(model: dict, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         states.append(state)
         seen.append(some)
         owners.append(np.arange(on))
-        after = np.empty((STATE, on), np.float32)
-        unit.step(state, unit.given(some[None])[0], np.empty((3 * STATE, on), np.float32), after)
+        after = np.empty((STATE, on), kind)
+        unit.step(state, unit.given(some[None])[0], np.empty((3 * STATE, on), kind), after)
         state = after
         waiting += on
         if waiting >= CHUNK:
