@@ -38,13 +38,15 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import add
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import Sequences, mix, signed, slices, texts_of, words_of
+from .arrays import Sequences, mix, powers, signed, slices, texts_of, words_of
 from .tables import bitmap, components, discard, in_bitmap, release, saved
 
 SHINGLE_WORDS = 5
@@ -54,6 +56,8 @@ SIMILAR_PERCENT = 80
 FREQUENT = 32
 # What is counted: this share of a set's shingles, and all of a short text.
 COUNTED_PERCENT, COUNTED_SHORT = 30, 128
+# Bits of a shingle that tell in which piece it is counted.
+PIECES = 12
 # In regions up to this size every node becomes a pivot at once; in larger ones more with each round.
 LEAF = 8
 # Parities that a node carries into the later rounds.
@@ -64,44 +68,85 @@ EARLIER = 8
 MANY = 64
 
 
-def shingles(column: pa.Array, size: int) -> list[np.ndarray]:
-    """The distinct shingles of each text as 63-bit numbers, ascending."""
+class Sets(NamedTuple):
+    """The distinct shingles of some texts as 63-bit numbers: text i has names[first[i]:first[i + 1]], ascending."""
+
+    names: np.ndarray
+    first: np.ndarray
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.first)
+
+    def text(self) -> np.ndarray:
+        """The text of each shingle."""
+        return np.repeat(np.arange(len(self.first) - 1), self.sizes())
+
+    def place(self) -> np.ndarray:
+        """The place of each shingle in its set."""
+        return np.arange(len(self.names)) - np.repeat(self.first[:-1], self.sizes())
+
+    def prints(self) -> np.ndarray:
+        """The fingerprint of each set; an empty one has none that counts."""
+        sizes = self.sizes()
+        up, _ = powers(int(sizes.max(initial=0)) + 1)
+        sums = np.zeros(len(sizes), np.uint64)
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            sums[filled] = np.add.reduceat(self.names * up[self.place()], self.first[filled])
+        return signed(mix(sums))
+
+
+def shingles(column: pa.Array, size: int) -> Sets:
+    """The distinct shingles of each text; a text of fewer words is one."""
     words = words_of(texts_of(column), lower=True)
     sums = Sequences(words.hash)
-    first = words.first
-    count = np.diff(first)
-    last = np.repeat(first[1:], count)
-    at = np.arange(len(words.hash))
-    whole = at + size <= last
-    names = sums.stretch(at[whole], at[whole] + size) >> np.uint64(1)
-    cuts = np.concatenate([[0], np.cumsum(np.maximum(count - size + 1, 0))])
-    sets = []
-    for i, n in enumerate(count):
-        if n >= size:
-            sets.append(np.unique(names[cuts[i] : cuts[i + 1]]))
-        elif n:
-            sets.append(sums.stretch(first[i : i + 1], first[i + 1 : i + 2]) >> np.uint64(1))
-        else:
-            sets.append(names[:0])
-    return sets
-
-
-def _prefix(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
-
-
-def _sketch(ordered: np.ndarray) -> bytes:
+    count = np.diff(words.first)
+    number = np.where(count >= size, count - size + 1, np.minimum(count, 1))
+    cuts = np.concatenate([[0], np.cumsum(number)])
+    at = np.arange(cuts[-1]) + np.repeat(words.first[:-1] - cuts[:-1], number)
+    names = sums.stretch(at, at + np.repeat(np.minimum(count, size), number)) >> np.uint64(1)
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        names[low:high].sort()
+    new = np.ones(len(names), bool)
+    new[1:] = names[1:] != names[:-1]
+    new[cuts[:-1][number > 0]] = True
+    return Sets(names[new], np.concatenate([[0], np.cumsum(new)])[cuts])
+
+
+def _prefixes(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles, in any fixed order, must hold one that a similar set has, too."""
+    return np.where(sizes > 0, sizes + (-percent * sizes) // 100 + 1, 0)
+
+
+def _sketches(sets: Sets, mixed: np.ndarray) -> pa.Array:
     """Counts of the shingles in a power of two of buckets, about as many as half the shingles."""
-    n = len(ordered)
-    buckets = 1 << max(3, (n - 1).bit_length() - 1)
-    place = mix(ordered.view(np.uint64)) & np.uint64(buckets - 1)
-    return np.minimum(np.bincount(place.astype(np.int64), minlength=buckets), 255).astype(np.uint8).tobytes()
+    sizes = sets.sizes()
+    buckets = np.array([1 << max(3, (n - 1).bit_length() - 1) if n else 0 for n in sizes.tolist()], np.int64)
+    first = np.concatenate([[0], np.cumsum(buckets)])
+    text = sets.text()
+    place = first[text] + (mixed & (buckets[text] - 1).astype(np.uint64)).astype(np.int64)
+    count = np.minimum(np.bincount(place, minlength=first[-1]), 255).astype(np.uint8)
+    made = pa.Array.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(first.astype(np.int32)), pa.py_buffer(count)]
+    )
+    return pc.if_else(pa.array(sizes > 0), made, None)
 
 
-def _odd(names: np.ndarray) -> np.ndarray:
+def _odds(sets: Sets, mixed: np.ndarray) -> pa.Array:
     """The parity of the shingles in each bucket, as 64-bit numbers: a shingle that one of two sets lacks flips one bit."""
-    count = np.bincount((mix(names) & np.uint64(ODD_BITS - 1)).astype(np.int64), minlength=ODD_BITS)
-    return np.packbits((count & 1).astype(np.uint8), bitorder="little").view(np.int64)
+    sizes = sets.sizes()
+    place = sets.text() * ODD_BITS + (mixed & np.uint64(ODD_BITS - 1)).astype(np.int64)
+    count = np.bincount(place, minlength=len(sizes) * ODD_BITS)
+    words = np.packbits((count & 1).astype(np.uint8), bitorder="little").view(np.int64)
+    words = words.reshape(len(sizes), ODD_BITS // 64)[sizes > 0]
+    return _lists(words.ravel(), np.where(sizes > 0, ODD_BITS // 64, 0), sizes > 0)
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray, filled: np.ndarray | None = None) -> pa.Array:
+    """Lists of the given sizes; those that are not ``filled`` are null."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    made = pa.ListArray.from_arrays(offsets, pa.array(values))
+    return made if filled is None else pc.if_else(pa.array(filled), made, None)
 
 
 def _odds_apart(a: str, b: str) -> Column:
@@ -110,29 +155,89 @@ def _odds_apart(a: str, b: str) -> Column:
     return reduce(add, parts)
 
 
-def _ordered(names: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """Signed numbers whose order has frequent shingles last."""
-    hot = in_bitmap(frequent, names >> np.uint64(31))
-    order = names.view(np.int64) | np.where(hot, 0, np.int64(-(1 << 63)))
-    order.sort()
+def _ordered(sets: Sets, frequent: np.ndarray) -> np.ndarray:
+    """Signed numbers, in each set in an order that has frequent shingles last."""
+    hot = in_bitmap(frequent, sets.names >> np.uint64(31))
+    cold = np.concatenate([[0], np.cumsum(~hot)])
+    rank = cold[:-1] - np.repeat(cold[sets.first[:-1]], sets.sizes())  # cold ones before it in its set
+    behind = np.repeat(np.diff(cold[sets.first]), sets.sizes()) + sets.place() - rank
+    order = np.empty(len(hot), np.int64)
+    order[np.repeat(sets.first[:-1], sets.sizes()) + np.where(hot, behind, rank)] = sets.names.view(np.int64) | np.where(
+        hot, 0, np.int64(-(1 << 63))
+    )
     return order
 
 
 def _frequent(texts: DataFrame, size: int) -> np.ndarray:
-    """A bitmap of the shingles that many sets have, among the first of each set."""
+    """A bitmap of the shingles that many sets have, among the first of each set.
+
+    They are counted by 32 of their bits, in ``PIECES`` pieces: a task adds up what it has before it sends sorted arrays, and one
+    piece at a time is added up behind the shuffle.  A count goes no further than ``FREQUENT`` and one.
+    """
+    most = FREQUENT + 1
+
+    def added(place: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        cut = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])[: len(place)])
+        count = np.add.reduceat(count[order].astype(np.int64), cut) if len(cut) else count
+        return place[cut], np.minimum(count, most)
+
+    def pieces(parts: list[np.ndarray]) -> pa.RecordBatch:
+        place = np.concatenate(parts)
+        place.sort()
+        cut = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])[: len(place)])
+        count = np.minimum(np.diff(np.append(cut, len(place))), most).astype(np.uint8)
+        place = place[cut]
+        piece = place >> np.uint32(32 - PIECES)
+        cut = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]])[: len(piece)])
+        ends = np.append(cut, len(piece)).tolist()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(piece[cut].astype(np.int32)),
+                pa.array([place[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+                pa.array([count[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+            ],
+            names=["piece", "places", "counts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, waiting = [], 0
         for batch in slices(batches, "text"):
-            parts = [
-                s[: max(-(-COUNTED_PERCENT * len(s) // 100), min(len(s), COUNTED_SHORT))]
-                for s in shingles(batch.column(0), size)
-            ]
-            names = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((names >> np.uint64(31)).astype(np.uint32).view(np.int32))], names=["place"]
-            )
+            sets = shingles(batch.column(0), size)
+            n = sets.sizes()
+            taken = sets.place() < np.repeat(np.maximum(-(-COUNTED_PERCENT * n // 100), np.minimum(n, COUNTED_SHORT)), n)
+            parts.append((sets.names[taken] >> np.uint64(31)).astype(np.uint32))
+            waiting += len(parts[-1])
+            if waiting > 1 << 21:
+                yield pieces(parts)
+                parts, waiting = [], 0
+        if waiting:
+            yield pieces(parts)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, parts, waiting = None, [], 0
+
+        def hot() -> pa.RecordBatch:
+            place, count = added(np.concatenate([p for p, _ in parts]), np.concatenate([c for _, c in parts]))
+            return pa.RecordBatch.from_arrays([pa.array(place[count >= most].view(np.int32))], names=["place"])
 
-    counted = texts.mapInArrow(run, "place int").groupBy("place").count().where(F.col("count") > FREQUENT)
+        for batch in batches:
+            for piece, places, counts in zip(*(batch.column(i) for i in range(3))):
+                if own is not None and piece.as_py() != own:
+                    yield hot()
+                    parts, waiting = [], 0
+                own = piece.as_py()
+                parts.append((np.frombuffer(places.as_buffer(), np.uint32), np.frombuffer(counts.as_buffer(), np.uint8)))
+                waiting += len(parts[-1][0])
+                if waiting > 1 << 22:
+                    parts = [added(np.concatenate([p for p, _ in parts]), np.concatenate([c for _, c in parts]))]
+                    waiting = 0
+        if parts:
+            yield hot()
+
+    sent = texts.mapInArrow(run, "piece int, places binary, counts binary")
+    counted = sent.repartition("piece").sortWithinPartitions("piece").mapInArrow(summed, "place int")
     return bitmap(counted, F.col("place").cast("bigint"))
 
 
@@ -142,26 +247,19 @@ def _sets(table: DataFrame, size: int, percent: int, frequent: np.ndarray) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            nodes, counts, sketches, odds, prefixes = [], [], [], [], []
-            for names in shingles(batch.column(1), size):
-                n = len(names)
-                counts.append(n)
-                nodes.append(
-                    int(signed(Sequences(names).stretch(np.array([0]), np.array([n])))[0]) if n else None
-                )
-                order = _ordered(names, shipped.value)
-                sketches.append(_sketch(names) if n else None)
-                odds.append(_odd(names) if n else None)
-                prefixes.append(order[: _prefix(n, percent)] if n else order)
+            sets = shingles(batch.column(1), size)
+            n, mixed = sets.sizes(), mix(sets.names)
+            first = _prefixes(n, percent)
+            prefixes = _ordered(sets, shipped.value)[sets.place() < np.repeat(first, n)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(2),
-                    pa.array(nodes, pa.int64()),
-                    pa.array(counts, pa.int64()),
-                    pa.array(sketches, pa.binary()),
-                    pa.array(odds, pa.list_(pa.int64())),
-                    pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(sets.prints(), mask=n == 0),
+                    pa.array(n),
+                    _sketches(sets, mixed),
+                    _odds(sets, mixed),
+                    _lists(prefixes, first),
                 ],
                 names=["id", "text_hash", "node", "n", "sketch", "odd", "prefix"],
             )
@@ -178,14 +276,10 @@ def _whole_sets(texts: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             hit = in_bitmap(shipped.value, batch.column(1).to_numpy(zero_copy_only=False))
-            nodes, sets = [], []
-            for names in shingles(batch.column(0).filter(pa.array(hit)), size):
-                if len(names):
-                    nodes.append(int(signed(Sequences(names).stretch(np.array([0]), np.array([len(names)])))[0]))
-                    sets.append(names.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "names"]
-            )
+            sets = shingles(batch.column(0).filter(pa.array(hit)), size)
+            n = sets.sizes()
+            made = [pa.array(sets.prints()), _lists(signed(sets.names), n)]
+            yield pa.RecordBatch.from_arrays(made, names=["node", "names"]).filter(pa.array(n > 0))
 
     return texts.mapInArrow(run, "node bigint, names array<bigint>").dropDuplicates(["node"])
 

@@ -159,6 +159,47 @@ def test_near_copies_do_not_meet_in_every_region_they_share(spark, monkeypatch,
         assert all_made <= 4 * different
 
 
+@pytest.mark.parametrize("frequent, pieces", [(3, 12), (1, 2)])
+def test_frequent_shingles_are_counted_in_pieces(spark, monkeypatch, frequent, pieces):
+    """All of them, over tasks and batches; behind the shuffle is a row per piece and task, not per shingle."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard_join, "PIECES", pieces)
+    tables_of = []
+    monkeypatch.setattr(jaccard_join, "bitmap", lambda table, hashed: tables_of.append(table))
+    draw = random.Random(9)
+    parts = [sentence(draw, 12, 1000) for _ in range(20)]
+    texts = [" ".join(draw.choices(parts[: k % 20 + 1], k=3)) for k in range(60)] + [None, "", "one", *["x " * 30] * 9]
+    frame = spark.createDataFrame([(None if t is None else t.encode(),) for t in texts], "text binary").repartition(4)
+    jaccard_join._frequent(frame, 5)
+    got = [row.place % 2**32 for row in tables_of[0].collect()]
+    c = Counter()
+    for text in texts:
+        names = jaccard_join.shingles(pa.array([None if text is None else text.encode()], pa.binary()), 5).names
+        assert len(names) <= jaccard_join.COUNTED_SHORT and len(set(names.tolist())) == len(names)
+        c.update(x >> 31 for x in names.tolist())
+    assert sorted(got) == sorted(x for x, n in c.items() if n > frequent) and got
+    assert "Aggregate" not in tables_of[0]._jdf.queryExecution().toString()
+
+
+def test_sets_of_many_texts_are_those_of_each():
+    draw = random.Random(10)
+    texts = [None, "", "a", "a b c d", "a b c d e", "x " * 50, *[sentence(draw, draw.randrange(300), 30) for _ in range(40)], ""]
+    column = pa.array([None if t is None else t.encode() for t in texts], pa.binary())
+    hot = np.random.default_rng(0).integers(-(2**62), 2**62, 1 << 18)
+    sets = jaccard_join.shingles(column, 5)
+    order, prints = jaccard_join._ordered(sets, hot), sets.prints()
+    ends, n = sets.first.tolist(), sets.sizes().tolist()
+    for i, text in enumerate(texts):
+        words = split(text)
+        names, own = sets.names[ends[i] : ends[i + 1]], order[ends[i] : ends[i + 1]]
+        assert n[i] == len({tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set()))
+        alone = jaccard_join.shingles(column.slice(i, 1), 5)
+        assert np.array_equal(names, alone.names) and prints[i] == alone.prints()[0]
+        assert (np.diff(names.view(np.int64)) > 0).all() and (np.diff(own) > 0).all()
+        assert sorted((own & np.int64(2**63 - 1)).tolist()) == names.tolist()
+        assert np.array_equal(own >= 0, tables.in_bitmap(hot, (own & np.int64(2**63 - 1)).view(np.uint64) >> np.uint64(31)))
+
+
 def test_the_join_gives_its_tables_back(spark, monkeypatch, tmp_path):
     names = iter(range(10**6))
     monkeypatch.setattr(tables, "new_shared_path", lambda spark, label: f"{tmp_path}/{label}-{next(names)}")
